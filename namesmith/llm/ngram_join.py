@@ -38,7 +38,7 @@ from .shingles import mix, shingle_sets
 #: A shingle is hot if at least one in 2^18 of all shingles (and 64) is it.
 HOT_SHARE, HOT_LEAST = 1 << 18, 64
 #: Shingles gathered before a task counts or deals them, classes and shingles of a block.
-FLUSH, BLOCK, BLOCK_SHINGLES = 4_000_000, 1024, 4_000_000
+FLUSH, BLOCK, BLOCK_SHINGLES = 1_500_000, 1024, 4_000_000
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -367,7 +367,7 @@ def _links(survivors: DataFrame, percent: int, block: int, block_shingles: int)
 def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 75, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``documents(doc_id, text)``; see the module's docstring."""
     spark = ship(documents.sparkSession)
-    buckets = partitions(spark)
+    buckets = 2 * partitions(spark)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     run, schema = _classes(width)
     told = durable(texts.mapInArrow(run, schema), "classes")

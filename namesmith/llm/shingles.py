@@ -18,7 +18,7 @@ _LOWER[65:91] += 32
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
 #: bytes that are hashed in one go; a batch is cut into such slices between documents
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,26 +58,45 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _powers.up = _powers.down = np.zeros(0, np.uint64)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and for each document the index of its first word (one more than documents)."""
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """A-Z and the capitals of UTF-8's Latin-1 letters in lower case."""
+    out = _LOWER[raw]
+    if len(raw) > 1:
+        capital = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)
+        out[1:][capital] += 32
+    return out
+
+
+def word_spans(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word, and for each document the index of its first word (one more than documents)."""
     n = len(raw)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_SEPARATOR[raw]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    inside = ~separator[raw]
+    cuts = offsets[(offsets > 0) & (offsets < n)]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
-    cuts = offsets[(offsets > 0) & (offsets < n)]
     begins[cuts] = inside[cuts]
+    finishes = inside.copy()
+    finishes[:-1] &= ~inside[1:]
+    finishes[cuts - 1] = inside[cuts - 1]
     starts = np.flatnonzero(begins)
-    ends_flag = inside.copy()
-    ends_flag[:-1] &= ~inside[1:]
-    ends_flag[cuts - 1] = inside[cuts - 1]
-    ends = np.flatnonzero(ends_flag) + 1
+    return starts, np.flatnonzero(finishes) + 1, np.searchsorted(starts, offsets)
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span."""
+    n = len(raw)
     up, down = _powers(n)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[_LOWER[raw]] * up[:n], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    np.cumsum(_BYTE_VALUE[raw] * up[:n], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, A-Z in lower case, and for each document the index of its first word (one more than documents)."""
+    starts, ends, first = word_spans(raw, offsets)
+    return span_hashes(_LOWER[raw], starts, ends), first
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
