@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import byte_bpe, language, packing, quality, toxicity
 from .ngram_join import jaccard_components
 from .runtime import table
 
@@ -12,6 +14,29 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+def op2_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.predict(documents, language.fit(documents))
+
+
+def op4_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_language_crf, op4_quality_compression, op7_toxicity_mil, op9_byte_bpe, op10_best_fit_packing)}
 #: DuckDB twins; where SQL is too slow on whole tables or can't express the operator there is none.
 ORACLES: dict[str, str] = {}
