@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import holds_out, ship
+from .runtime import filter_batches, holds_out, ship
 from .shingles import lowered, mix, slices, span_hashes, utf8_buffers, word_spans
 
 PER_LANGUAGE, SAMPLE, WORDS, CHAIN = 400, 20000, 300, 1024
@@ -238,29 +238,45 @@ def _has_letter(part: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return out
 
 
+def languages_of(column: pa.Array, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(language number, score) of each text; the number after the last language means none."""
+    none = len(model["names"])
+    predicted, scores = [np.zeros(0, int)], [np.zeros(0)]
+    if not none:
+        return np.zeros(len(column), int), np.zeros(len(column))
+    for marginal, first, _, _, part, cut in _marginals(model, column):
+        total = np.r_[np.zeros((1, marginal.shape[1])), np.cumsum(marginal, 0, dtype=np.float64)]
+        share = (total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)[:, None]
+        best, known = share.argmax(1), _has_letter(part, cut)
+        predicted.append(np.where(known, best, none))
+        scores.append(np.where(known, np.clip(share[np.arange(len(best)), best], 0, 1), 0.0))
+    return np.concatenate(predicted), np.concatenate(scores)
+
+
 def predict(documents: DataFrame, model: dict, modulus: int = 5, remainder: int = 0) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` of every row."""
     names = np.array([*model["names"], "und"], object)
 
     def run(batches):
         for batch in batches:
-            predicted, scores = [np.zeros(0, int)], [np.zeros(0)]
-            if len(names) == 1:
-                predicted, scores = [np.zeros(batch.num_rows, int)], [np.zeros(batch.num_rows)]
-            else:
-                for marginal, first, _, _, part, cut in _marginals(model, batch.column("text")):
-                    total = np.r_[np.zeros((1, marginal.shape[1])), np.cumsum(marginal, 0, dtype=np.float64)]
-                    share = (total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)[:, None]
-                    best, known = share.argmax(1), _has_letter(part, cut)
-                    predicted.append(np.where(known, best, len(names) - 1))
-                    scores.append(np.where(known, np.clip(share[np.arange(len(best)), best], 0, 1), 0.0))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names[np.concatenate(predicted)], pa.string()), pa.array(np.concatenate(scores), pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+            predicted, scores = languages_of(batch.column("text"), model)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names[predicted], pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     ship(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", holds_out("doc_id", modulus, remainder))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep(documents: DataFrame, model: dict, least: float) -> DataFrame:
+    """The rows, with all their columns, whose text has a language of at least this share of its words."""
+
+    def mask(batch):
+        predicted, scores = languages_of(batch.column("text"), model)
+        return (predicted < len(model["names"])) & (scores >= least)
+
+    return filter_batches(documents, mask)
+
+
 def tag(documents: DataFrame, model: dict) -> DataFrame:
     """``(doc_id, begin, end, lang, probability)``: byte spans of neighbouring words of the same most likely language."""
     names = np.array(model["names"], object)

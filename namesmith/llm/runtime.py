@@ -49,6 +49,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def filter_batches(df: DataFrame, mask) -> DataFrame:
+    """Rows of ``df`` for which ``mask(Arrow batch)``, an array of booleans, is true; all columns pass unchanged."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(mask(batch)))
+
+    return ship(df.sparkSession) and df.mapInArrow(run, df.schema)
+
+
 def holds_out(column: str, modulus: int, remainder: int):
     """Whether crc32 of a key's text leaves this remainder; a null key doesn't."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))

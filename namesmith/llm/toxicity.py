@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import labelled_texts, sigmoid
-from .runtime import holds_out, ship
+from .runtime import filter_batches, holds_out, ship
 from .shingles import lowered, slices, span_hashes, utf8_buffers, word_spans
 
 SAMPLE, LEAST_DOCUMENTS, BITS, ROUNDS, HEADS = 8000, 6, 18, 120, (4, 5, 6)
-RIDGE, LASSO = 0.05, 1.0
+RIDGE, LASSO, THRESHOLD = 0.05, 1.0, 0.3
 _NOT_WORD = np.ones(256, bool)
 _NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _STOP = np.zeros(256, bool)
@@ -119,18 +119,28 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, remainder: in
     return train(*(np.concatenate(x) for x in parts))
 
 
-def _scorer(weights: np.ndarray, bias: float):
+def scores_of(column: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
+    """The score of each text of a string column."""
+    scores = [np.zeros(0)]
+    for features, sentence, document, rows, _ in bags(column):
+        scores.append(noisy_or(sentence_logits(features, sentence, len(document), *model), document, rows))
+    return np.clip(np.concatenate(scores), 0, 1)
+
+
+def _scorer(model: tuple[np.ndarray, float]):
     def run(batches):
         for batch in batches:
-            scores = [np.zeros(0)]
-            for features, sentence, document, rows, _ in bags(batch.column("text")):
-                scores.append(noisy_or(sentence_logits(features, sentence, len(document), weights, bias), document, rows))
-            scores = np.clip(np.concatenate(scores), 0, 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= 0.3).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            scores = scores_of(batch.column("text"), model)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return run
 
 
+def keep(documents: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
+    """The rows, with all their columns, whose text isn't predicted as toxic."""
+    return filter_batches(documents, lambda batch: scores_of(batch.column("text"), model) < THRESHOLD)
+
+
 def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -139,7 +149,7 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], modulus: int =
     """``(doc_id, held_out, score, predicted)`` of every row."""
     ship(documents.sparkSession)
     rows = _texts(documents).withColumn("held_out", holds_out("doc_id", modulus, remainder))
-    return rows.mapInArrow(_scorer(*model), "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(_scorer(model), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def offending_sentences(documents: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.3) -> DataFrame:

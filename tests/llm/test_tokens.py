@@ -99,3 +99,19 @@ def test_words_as_whole_texts():
     ids, bounds = words(*utf8_buffers(pa.array(some)))
     for text, i, j in zip(some, bounds[:-1], bounds[1:]):
         assert ids[i:j].tolist() == [*t.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def test_units_fuzzed():
+    import pyarrow as pa
+
+    from namesmith.llm.shingles import utf8_buffers
+
+    r = random.Random(9)
+    alphabet = ["a", "B", "é", "É", "×", "÷", "'", "'s", "'t", "=", "̸", "́", ",", "—", "…", "1", "٣", " ", "\n", " ", "ß", "漢", "ñ", "#", "ﬁ", "İ", "Σ", "º"]
+    some = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    words = packing.WordIds(P.path("word_bpe_49k.json"))
+    for part in (some[:1500], some[1500:]):
+        ids, bounds = words(*utf8_buffers(pa.array(part)))
+        for text, i, j in zip(part, bounds[:-1], bounds[1:]):
+            assert ids[i:j].tolist() == [*t.encode(text, add_special_tokens=False).ids, 0], ascii(text)
