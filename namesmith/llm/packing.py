@@ -10,8 +10,8 @@ Each task packs its own pieces in groups of ``GROUP`` as they stream by, so noth
 a group ends with at most a few sequences that aren't full, against thousands that are. Sequence numbers hold the
 task's number, so they are unique.
 
-A word (a run without white space) is tokenised once per worker and its ids are reused, which gives the same ids as
-the whole text, since the tokenizer's pieces never span white space. Null text counts as empty: one piece, id 0 alone.
+A word, or part of one that the tokenizer would cut off anyway, is tokenised once per worker and its ids are reused,
+which gives the same ids as the whole text, since the tokenizer's pieces span neither white space nor such cuts. Null text counts as empty: one piece, id 0 alone.
 Null doc_ids and repeated rows get their own pieces; an empty table gives an empty result.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import ship
-from .shingles import slices, span_hashes, utf8_buffers, word_spans
-
-CAPACITY, GROUP, CACHED_WORDS = 2048, 8192, 300_000
+from .shingles import slices, span_hashes, utf8_buffers
+
+CAPACITY, GROUP, CACHED_WORDS = 2048, 8192, 800_000
+#: 0 white space, 1 letters, 2 other ASCII characters, 3 all else
+_KIND = np.full(256, 2, np.uint8)
+_KIND[[32, *range(9, 14)]] = 0
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[[39, *range(128, 256)]] = 3
 WEIGHTS = (1.0, 0.01, 0.1)
 
 
+def unit_spans(raw: np.ndarray, offsets: np.ndarray):
+    """Begin and end of each unit, whether it is all letters, and each document's first unit.
+
+    A unit is a word or, where that surely doesn't change its ids, a part of one: words are cut between letters (ASCII
+    and Latin-1) and other ASCII characters, except at apostrophes.
+    """
+    n = len(raw)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(bool), np.zeros(len(offsets), np.int64)
+    kind = _KIND[raw]
+    if n > 1:
+        latin = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] != 0x97) & (raw[1:] != 0xB7))
+        kind[latin] = kind[latin + 1] = 1
+    cut = np.zeros(n + 1, bool)
+    cut[offsets[offsets <= n]] = True
+    cut[1:n] |= (kind[1:] != kind[:-1]) & ((kind[1:] == 0) | (kind[:-1] == 0) | (kind[1:] + kind[:-1] == 3) & (kind[1:] != 3) & (kind[:-1] != 3))
+    cut[n] = True
+    edges = np.flatnonzero(cut)
+    starts, ends = edges[:-1], edges[1:]
+    own = (kind[starts] > 0) & (ends > starts)
+    starts, ends = starts[own], ends[own]
+    letters = np.r_[0, np.cumsum(kind == 1)]
+    return starts, ends, letters[ends] - letters[starts] == ends - starts, np.searchsorted(starts, offsets)
+
+
 class WordIds:
-    """Ids of words, kept from slice to slice up to a bounded number of words."""
+    """Ids of units of text, kept from slice to slice up to a bounded number of units."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,6 +75,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self):
@@ -50,30 +85,46 @@ class WordIds:
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
         self.start, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _add(self, hashes: list[int], words: list[str]):
-        for h, e in zip(hashes, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            ids, k = e.ids, len(self.place)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-            if k >= len(self.start):
-                self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.start[k], self.count[k] = self.used, len(ids)
-            self.place[h] = k
-            self.used += len(ids)
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
+
+    def _add(self, hashes: list[int], units: list[str], letters: bool):
+        if letters:  # each is one word to the tokenizer, so its ids end where a word-end id stands
+            ids, _ = self._encoded([" ".join(units[i : i + 500]) for i in range(0, len(units), 500)])
+            count = np.diff(np.r_[-1, np.flatnonzero(self.ends_word[ids])])
+            if len(count) != len(units) or count.sum() != len(ids):
+                ids, count = self._encoded(units)
+        else:
+            ids, count = self._encoded(units)
+        k = len(self.place)
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
+        if k + len(units) > len(self.start):
+            self.start, self.count = (np.concatenate([x, np.zeros(max(len(x), len(units)), np.int64)]) for x in (self.start, self.count))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[k : k + len(units)], self.count[k : k + len(units)] = self.used + np.cumsum(count) - count, count
+        self.place.update(zip(hashes, range(k, k + len(units))))
+        self.used += len(ids)
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All documents' ids, each closed by id 0, and their bounds."""
-        starts, ends, first = word_spans(raw, offsets)
+        starts, ends, letters, first = unit_spans(raw, offsets)
         hashes, at, of = np.unique(span_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64), return_index=True, return_inverse=True)
         if len(self.place) + len(hashes) > CACHED_WORDS:
             self.clear()
         keys = hashes.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.place]
-        for i in range(0, len(new), 20000):
-            part = new[i : i + 20000]
-            self._add([keys[k] for k in part], [raw[starts[at[k]] : ends[at[k]]].tobytes().decode("utf-8", "replace") for k in part])
-        place = np.fromiter((self.place[h] for h in keys), np.int64, len(keys))[of]
+        place = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
+        if (place < 0).any():
+            text = raw.tobytes()
+            for kind in (True, False):
+                new = np.flatnonzero((place < 0) & (letters[at] == kind)).tolist()
+                if new:
+                    units = [text[i:j].decode("utf-8", "replace") for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
+                    self._add([keys[k] for k in new], units, kind)
+            place = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
+        place = place[of]
         count = self.count[place]
         before = np.r_[0, np.cumsum(count)]
         total = int(before[-1])
