@@ -7,8 +7,9 @@ count once for each tree, so with 4 trees a share of 1 reaches about two thirds
 reranked by exact cosine in double precision. Vectors without near neighbours need a wide search, hence the large share:
 recall on isotropic vectors is the measured worst case.
 
-Leaves become tasks' groups; a leaf of many rows (copies of one vector fall together) is cut into blocks of ``BLOCK``
-rows, each with all of the leaf's queries, and counts only as a leaf of usual size when the queue's budget is spent.
+Neighbouring leaves of up to ``BLOCK`` rows together form a task's group; a leaf of more rows (copies of one vector fall
+together) is cut into pieces of about that size, each with all of the leaf's queries, and counts only as a leaf of
+usual size when the queue's budget is spent.
 Only trees and leaf counts, both bounded by the sample and ``DEPTH``, are at the driver or sent to all tasks.
 
 Vectors that are null, zero or hold null or non-finite components, rows without an id, and rows of another dimension
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import durable, ship
+from .shingles import mix
 from .vectors import matrix, sample, top, usable
 
 SAMPLE, TREES, DEPTH, LEAF, SHARE, BLOCK = 8192, 4, 9, 192, 1.0, 4096
@@ -114,17 +116,61 @@ def _indexer(trees: list[Tree], dims: int):
     return run
 
 
-def _searcher(trees: list[Tree], counts: list[np.ndarray], total: int, share: float):
+def buckets_of(counts: list[np.ndarray], block: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each tree (bucket of each leaf, pieces of each bucket): neighbouring leaves of up to ``block`` rows together."""
+    out, made = [], 0
+    for c in counts:
+        bucket, pieces, held = np.zeros(len(c), np.int32), {}, block
+        for leaf, n in enumerate(c.tolist()):
+            if held + n > block:
+                made, held = made + 1, 0
+            bucket[leaf], held = made, held + n
+            pieces[made] = max(1, -(-held // block))
+        out.append((bucket, np.array([pieces[b] for b in bucket.tolist()], np.int32)))
+    return out
+
+
+def _placer(places):
+    schema = pa.schema([("bucket", pa.int32()), ("piece", pa.int32()), ("leaf", pa.int32()), ("vec_id", pa.int64()), ("copy", pa.int64()), ("embedding", pa.list_(pa.float64()))])
+
+    def run(batches):
+        for batch in batches:
+            leaves = np.stack(batch.column("leaves").to_numpy(zero_copy_only=False))
+            copy = batch.column("copy").to_numpy()
+            for t, (bucket, pieces) in enumerate(places):
+                piece = (mix(copy.view(np.uint64)) % pieces[leaves[:, t]].astype(np.uint64)).astype(np.int32)
+                columns = (pa.array(bucket[leaves[:, t]]), pa.array(piece), pa.array(leaves[:, t].astype(np.int32)), batch.column("vec_id"), batch.column("copy"), batch.column("embedding"))
+                yield pa.RecordBatch.from_arrays(list(columns), schema=schema)
+
+    return run, "bucket int, piece int, leaf int, vec_id long, copy long, embedding array<double>"
+
+
+def _searcher(trees: list[Tree], counts: list[np.ndarray], places, total: int, share: float):
     usual = [np.minimum(c, 4 * max(1, total // max(1, len(c)))) for c in counts]
     budget = share * sum(c.sum() for c in usual) / len(usual) if usual else 0
+    schema = pa.schema([("bucket", pa.int32()), ("piece", pa.int32()), ("query_id", pa.int64()), ("q", pa.int64()), ("embedding", pa.list_(pa.float64())), ("leaves", pa.list_(pa.int32()))])
 
     def run(batches):
         for batch in batches:
-            x = unit(matrix(batch.column("embedding")))
-            found = [[t << 32 | leaf for t, leaf in search(q, trees, usual, budget)] for q in x]
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("q"), batch.column("embedding"), pa.array(found, pa.list_(pa.int64()))], names=["query_id", "q", "embedding", "found"])
-
-    return run
+            vectors = batch.column("embedding")
+            x = unit(matrix(vectors))
+            rows, of = [], []
+            for i, v in enumerate(x):
+                wanted: dict[int, list[int]] = {}
+                cut = {}
+                for t, leaf in search(v, trees, usual, budget):
+                    b = int(places[t][0][leaf])
+                    wanted.setdefault(b, []).append(leaf)
+                    cut[b] = int(places[t][1][leaf])
+                for b, leaves in wanted.items():
+                    for piece in range(cut[b]):
+                        rows.append((b, piece, leaves))
+                        of.append(i)
+            at = pa.array(of, pa.int64())
+            columns = [pa.array([r[k] for r in rows], schema.types[k]) for k in (0, 1)] + [batch.column("query_id").take(at), batch.column("q").take(at), vectors.take(at), pa.array([r[2] for r in rows], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return run, "bucket int, piece int, query_id long, q long, embedding array<double>, leaves array<int>"
 
 
 def _rerank(k: int):
@@ -135,14 +181,17 @@ def _rerank(k: int):
         if len(rows) and len(queries):
             ids, copy, x = rows["vec_id"].to_numpy(), rows["copy"].to_numpy(), matrix(rows["embedding"])
             norms = np.sqrt((x * x).sum(1))
+            known, leaf = np.unique(rows["leaf"].to_numpy(), return_inverse=True)
             names, numbers, y = queries["query_id"].to_numpy(), queries["q"].to_numpy(), matrix(queries["embedding"])
+            wanted = queries["leaves"].to_pylist()
             for at in range(0, len(y), 256):
                 rough = y[at : at + 256] @ x.T / norms
                 rough /= np.sqrt((y[at : at + 256] ** 2).sum(1))[:, None]
                 rough[names[at : at + 256, None] == ids[None, :]] = -np.inf
-                least = np.partition(rough, max(0, len(x) - k), 1)[:, max(0, len(x) - k)]
                 for i, r in enumerate(rough):
-                    near = np.flatnonzero((r >= least[i] - 1e-9) & (r > -np.inf))
+                    r[~np.isin(known, wanted[at + i])[leaf]] = -np.inf
+                    least = np.partition(r, max(0, len(x) - k))[max(0, len(x) - k)]
+                    near = np.flatnonzero((r >= least - 1e-9) & (r > -np.inf))
                     v = y[at + i]
                     exact = np.clip((x[near] * v).sum(1) / (norms[near] * np.sqrt((v * v).sum())), -1, 1)
                     for j in np.lexsort((copy[near], ids[near], -exact))[:k]:
@@ -165,18 +214,12 @@ def neighbours(embeddings: DataFrame, every: int = 50, k: int = 5, share: float
     total = rows.count()
     trees = forest(points, total, **shape)
     indexed = durable(rows.mapInArrow(_indexer(trees, dims), "vec_id long, embedding array<double>, leaves array<int>").withColumn("copy", F.monotonically_increasing_id()), "index")
-    placed = indexed.select("vec_id", "copy", F.posexplode("leaves").alias("tree", "leaf"), "embedding")
     counts = [np.zeros(t.leaves, np.int64) for t in trees]
-    for t, leaf, n in placed.groupBy("tree", "leaf").count().collect():  # at most TREES * 2^DEPTH rows
+    for t, leaf, n in indexed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect():  # at most TREES * 2^DEPTH rows
         counts[t][leaf] = n
-    place = lambda t, leaf: t.cast("long") * F.lit(1 << 32) + leaf
-    pieces = {t << 32 | leaf: -(-int(n) // block) for t, c in enumerate(counts) for leaf, n in enumerate(c) if n > block}
-    cut = F.coalesce(F.create_map(*[F.lit(x) for kv in pieces.items() for x in kv])[F.col("leaf_key")], F.lit(1)) if pieces else F.lit(1)
-    placed = placed.select(place(F.col("tree"), F.col("leaf")).alias("leaf_key"), "vec_id", "copy", "embedding")
-    placed = placed.withColumn("piece", F.pmod(F.xxhash64("copy"), cut).cast("int"))
+    places = buckets_of(counts, block)
+    placed = indexed.mapInArrow(*_placer(places))
     queries = indexed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("copy").alias("q"), "embedding")
-    found = queries.mapInArrow(_searcher(trees, counts, total, share), "query_id long, q long, embedding array<double>, found array<long>")
-    asked = found.select("query_id", "q", "embedding", F.explode("found").alias("leaf_key"))
-    asked = asked.withColumn("piece", F.explode(F.sequence(F.lit(0), cut - 1))).withColumn("piece", F.col("piece").cast("int"))
-    scores = placed.groupBy("leaf_key", "piece").cogroup(asked.groupBy("leaf_key", "piece")).applyInArrow(_rerank(k), "query_id long, q long, vec_id long, copy long, score double")
+    asked = queries.mapInArrow(*_searcher(trees, counts, places, total, share))
+    scores = placed.groupBy("bucket", "piece").cogroup(asked.groupBy("bucket", "piece")).applyInArrow(_rerank(k), "query_id long, q long, vec_id long, copy long, score double")
     return top(scores.distinct(), k)
