@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .runtime import durable, ship
 from .vectors import matrix, sample, top, usable
 
-SAMPLE, CELLS, BLOCK, PAGE, FANOUT = 2048, 64, 4096, 64, 8
+SAMPLE, CELLS, BLOCK, PAGE, FANOUT = 2048, 64, 4096, 128, 8
 _SMALL, _MOST = 1 << 22, 1 << 28
 
 
@@ -39,40 +39,50 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """Nodes as arrays: a routing object's row, covering radius, distance to the parent's object, children or page."""
+    """Nodes as arrays: routing object, covering radius, distance to the parent's object, children or page.
+
+    Rows are reordered so that a page is a slice; a node keeps its children's routing objects as one matrix.
+    """
 
     def __init__(self, x: np.ndarray, extra: np.ndarray, page: int = PAGE, fanout: int = FANOUT, seed: int = 3):
-        self.x, self.extra = x, extra
+        self.floats = bool(x.size == 0 or np.abs(x).max() < _SMALL and x.shape[1] <= 256)
+        self.x, self.extra = (x.astype(np.float64) if self.floats else x), extra
         self.norm = (x.astype(np.float64) ** 2).sum(1)
-        self.routing, self.radius, self.to_parent, self.children, self.pages, self.entry_distance = [], [], [], [], [], []
-        self.page, self.fanout, self.rng = page, fanout, np.random.default_rng(seed)
-        self.root = self._load(np.arange(len(x)), None)
+        self.routing, self.radius, self.to_parent, self.children, self.pages = [], [], [], [], []
+        self.page, self.fanout, self.rng, order = page, fanout, np.random.default_rng(seed), []
+        self.root = self._load(np.arange(len(x)), None, order)
+        self.rows = np.concatenate(order) if order else np.zeros(0, np.int64)  # place in the pages -> row
+        self.paged, self.entry = self.x[self.rows], np.zeros(len(self.rows))
+        for node, page_ in enumerate(self.pages):
+            if page_ is not None:
+                self.entry[page_[0] : page_[1]] = self.distances(self.routing[node], self.rows[page_[0] : page_[1]])
+        self.below = [(self.x[[self.routing[c] for c in cs]], np.array([self.radius[c] for c in cs]), np.array([self.to_parent[c] for c in cs])) if cs else None for cs in self.children]
 
     def distances(self, a: int, rows: np.ndarray) -> np.ndarray:
         """From row a to other rows, in the space with the extra component."""
         inner = self.x[rows].astype(np.float64) @ self.x[a].astype(np.float64)
         return np.sqrt(np.maximum(self.norm[a] + self.norm[rows] - 2 * inner + (self.extra[a] - self.extra[rows]) ** 2, 0))
 
-    def _load(self, rows: np.ndarray, parent: int | None) -> int:
+    def _load(self, rows: np.ndarray, parent: int | None, order: list) -> int:
         centre = self.x[rows].mean(0)
         routing = int(rows[np.argmin(((self.x[rows] - centre) ** 2).sum(1))])
-        from_routing = self.distances(routing, rows)
         node = len(self.routing)
         self.routing.append(routing)
-        self.radius.append(float(from_routing.max()))
+        self.radius.append(float(self.distances(routing, rows).max()))
         self.to_parent.append(0.0 if parent is None else float(self.distances(parent, np.array([routing]))[0]))
         self.children.append([])
         self.pages.append(None)
-        self.entry_distance.append(None)
         if len(rows) > self.page:
             pivots = self.rng.choice(rows, self.fanout, replace=False)
             near = np.stack([self.distances(int(p), rows) for p in pivots]).argmin(0)
             parts = [rows[near == k] for k in range(self.fanout)]
             if max(map(len, parts)) == len(rows):  # copies of one vector: nothing to tell apart
                 parts = np.array_split(rows, -(-len(rows) // self.page))
-            self.children[node] = [self._load(p, routing) for p in parts if len(p)]
+            self.children[node] = [self._load(p, routing, order) for p in parts if len(p)]
         else:
-            self.pages[node], self.entry_distance[node] = rows, from_routing
+            at = sum(map(len, order))
+            self.pages[node] = (at, at + len(rows))
+            order.append(rows)
         return node
 
     def search(self, q: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, bound: int, most: float):
@@ -80,42 +90,53 @@ class Tree:
 
         ``own``: mask of rows that don't count; ``most``: the squared norm M^2.
         """
+        if self.floats and q.size and np.abs(q).max() >= _SMALL:
+            self.floats, self.x, self.paged = False, self.x.astype(np.int64), self.paged.astype(np.int64)
+            self.below = [(b[0].astype(np.int64), *b[1:]) if b else None for b in self.below]
+        v = q.astype(self.x.dtype)
         qq = float((q.astype(np.float64) ** 2).sum())
-        reach = lambda s: np.sqrt(max(0.0, qq + most - 2.0 * s)) * (1 + 1e-9) + 1e-6 * (1 + np.sqrt(qq + most)) ** 0.5
+        slack = 1e-6 * (1 + (qq + most) ** 0.25)
+        reach = lambda s: max(0.0, qq + most - 2.0 * s) ** 0.5 * (1 + 1e-9) + slack
         best: list[tuple[int, int, int]] = []  # (score, -id, row), least first
-        limit, computed = reach(bound), 1
-        scores = products(self.x[[self.routing[self.root]]], q[None])[:, 0]
-        d = float(np.sqrt(max(0.0, qq + most - 2.0 * scores[0])))
+        limit, least_score, computed = reach(bound), bound, 1
+        d = max(0.0, qq + most - 2.0 * float(self.x[self.routing[self.root]] @ v)) ** 0.5
         queue = [(max(0.0, d - self.radius[self.root]), self.root, d)]
         while queue:
             least, node, d = heapq.heappop(queue)
             if least > limit:
                 break
             if self.pages[node] is not None:
-                rows = self.pages[node]
-                rows = rows[(np.abs(d - self.entry_distance[node]) <= limit) & ~own[rows]]
-                if not len(rows):
+                i, j = self.pages[node]
+                near = np.flatnonzero(np.abs(self.entry[i:j] - d) <= limit)
+                if not len(near):
+                    continue
+                score = self.paged[i:j] @ v if len(near) * 2 > j - i else self.paged[i + near] @ v
+                computed += len(near)
+                good = near[(score[near] if len(score) == j - i else score) >= least_score]
+                if not len(good):
                     continue
-                score = products(self.x[rows], q[None])[:, 0]
-                computed += len(rows)
-                good = np.flatnonzero(score >= (best[0][0] if len(best) == k else bound))
-                for r, s in zip(rows[good].tolist(), score[good].tolist()):
-                    entry = (s, -int(ids[r]), r)
+                rows = self.rows[i + good]
+                for r, s in zip(rows.tolist(), (self.paged[i + good] @ v).tolist()):
+                    if own[r]:
+                        continue
+                    entry = (int(s), -int(ids[r]), r)
                     if len(best) < k:
                         heapq.heappush(best, entry)
                     elif entry > best[0]:
                         heapq.heapreplace(best, entry)
                 if len(best) == k:
-                    limit = min(limit, reach(best[0][0]))
+                    least_score = max(least_score, best[0][0])
+                    limit = min(limit, reach(least_score))
                 continue
-            able = [c for c in self.children[node] if abs(d - self.to_parent[c]) - self.radius[c] <= limit]
-            if able:
-                score = products(self.x[[self.routing[c] for c in able]], q[None])[:, 0]
+            vectors, radius, to_parent = self.below[node]
+            able = np.flatnonzero(np.abs(to_parent - d) - radius <= limit)
+            if len(able):
+                to = np.sqrt(np.maximum(0.0, qq + most - 2.0 * (vectors[able] @ v)))
                 computed += len(able)
-                for c, s in zip(able, score.tolist()):
-                    to = float(np.sqrt(max(0.0, qq + most - 2.0 * s)))
-                    if to - self.radius[c] <= limit:
-                        heapq.heappush(queue, (max(0.0, to - self.radius[c]), c, to))
+                low = to - radius[able]
+                for c, t, l in zip(able.tolist(), to.tolist(), low.tolist()):
+                    if l <= limit:
+                        heapq.heappush(queue, (max(0.0, l), self.children[node][c], t))
         return [r for _, _, r in sorted(best, reverse=True)], computed
 
 
