@@ -22,7 +22,7 @@ from .labelled import labelled_texts, sigmoid
 from .runtime import filter_batches, holds_out, ship
 from .shingles import lowered, slices, span_hashes, utf8_buffers, word_spans
 
-SAMPLE, LEAST_DOCUMENTS, BITS, ROUNDS, HEADS = 8000, 6, 18, 120, (4, 5, 6)
+SAMPLE, LEAST_DOCUMENTS, BITS, ROUNDS, HEADS = 5000, 6, 18, 120, (4, 5, 6)
 RIDGE, LASSO, THRESHOLD = 0.05, 1.0, 0.3
 _NOT_WORD = np.ones(256, bool)
 _NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
