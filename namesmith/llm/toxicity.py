@@ -68,18 +68,30 @@ def noisy_or(logits: np.ndarray, document: np.ndarray, count: int) -> np.ndarray
     return -np.expm1(-np.bincount(document, np.logaddexp(0, logits), count)) if count else np.zeros(0)
 
 
-def train(features: np.ndarray, sentence: np.ndarray, document: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Weights and bias that fit document labels through the noisy-or, by Adam over all bags."""
-    size, count = 1 << BITS, len(y)
-    weights, bias = np.zeros(size), -6.0
-    if not count or y.min() == y.max():
-        return weights.astype(np.float32), -50.0
-    per = np.unique(document[sentence].astype(np.int64) << BITS | features) & (size - 1)
-    known = np.bincount(per, minlength=size) >= LEAST_DOCUMENTS
-    keep = known[features]
-    features, sentence = features[keep], sentence[keep]
-    used, features = np.unique(features, return_inverse=True)
-    sentences = len(document)
+def train(parts, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Weights and bias that fit document labels through the noisy-or, by Adam over all bags.
+
+    ``parts``: (features, sentence of each, document of each sentence, labels) of some documents each.
+    """
+    size = 1 << BITS
+    weights, bias = np.zeros(size, np.float32), -6.0
+    seen = np.zeros(size, np.int64)
+    for f, s, d, _ in parts:
+        seen += np.bincount(np.unique(d[s].astype(np.int64) << BITS | f) & (size - 1), minlength=size)
+    known = seen >= LEAST_DOCUMENTS
+    used = np.flatnonzero(known)
+    number = np.cumsum(known, dtype=np.int32) - 1
+    features, sentence, document, labels, sentences, count = [], [], [], [], 0, 0
+    for f, s, d, y in parts:
+        keep = known[f]
+        features.append(number[f[keep]])
+        sentence.append(s[keep] + np.int32(sentences))
+        document.append(d + np.int32(count))
+        labels.append(y)
+        sentences, count = sentences + len(d), count + len(y)
+    if not count or min(map(int, (y.min() for y in labels if len(y)))) == max(map(int, (y.max() for y in labels if len(y)))):
+        return weights, -50.0
+    features, sentence, document, y = (np.concatenate(x) for x in (features, sentence, document, labels))
     w, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     w[-1] = bias
     for t in range(1, rounds + 1):
@@ -91,7 +103,7 @@ def train(features: np.ndarray, sentence: np.ndarray, document: np.ndarray, y: n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.25 * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
     weights[used] = w[:-1]
-    return weights.astype(np.float32), float(w[-1])
+    return weights, float(w[-1])
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, label: str = "toxic", limit: int = SAMPLE) -> tuple[np.ndarray, float]:
@@ -107,16 +119,8 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, remainder: in
 
     ship(documents.sparkSession)
     got = labelled_texts(documents, labels, label, modulus, remainder, limit).mapInArrow(pack, "f binary, s binary, d binary, y binary").toPandas()
-    parts: list[list[np.ndarray]] = [[], [], [], []]
-    sentences = rows = 0
-    for f, s, d, y in got.itertuples(index=False):
-        f, s, d, y = (np.frombuffer(x, kind) for x, kind in ((f, np.int32), (s, np.int32), (d, np.int32), (y, np.int8)))
-        for into, x in zip(parts, (f, s + sentences, d + rows, y)):
-            into.append(x)
-        sentences, rows = sentences + len(d), rows + len(y)
-    if not rows:
-        return np.zeros(1 << BITS, np.float32), -50.0
-    return train(*(np.concatenate(x) for x in parts))
+    kinds = (np.int32, np.int32, np.int32, np.int8)
+    return train([tuple(np.frombuffer(x, kind) for x, kind in zip(row, kinds)) for row in got.itertuples(index=False)])
 
 
 def scores_of(column: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
