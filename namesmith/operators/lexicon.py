@@ -18,6 +18,14 @@ from ..functions.similarity import ratio
 from .knowledge import Knowledge
 
 
+def once(f, kind: str):
+    """An Arrow function that the optimizer neither repeats nor moves: filters on what follows from it stay above it.
+
+    Deterministic functions would be copied, with all they read, into every filter that is pushed through.
+    """
+    return F.pandas_udf(f, kind, F.PandasUDFType.SCALAR).asNondeterministic()
+
+
 def _cached(values: list[str], accept, threshold: float):
     """text -> best acceptable value of at least this ratio ('' if none), ties to the first in order."""
     values = sorted(values)
@@ -54,7 +62,7 @@ def typo_correction(tokens: Column, knowledge: Knowledge) -> Column:
 
     correct.__annotations__ = {}
     able = F.exists(tokens, lambda t: (F.length(t) >= SETTINGS.typo_length) & ~t.isin(*known))
-    return F.when(able, F.pandas_udf(correct, "array<string>", F.PandasUDFType.SCALAR)(F.when(able, tokens).otherwise(F.array().cast("array<string>")))).otherwise(tokens)
+    return F.when(able, once(correct, "array<string>")(F.when(able, tokens).otherwise(F.array().cast("array<string>")))).otherwise(tokens)
 
 
 def morphological_variant(token: Column, knowledge: Knowledge) -> Column:
@@ -84,7 +92,7 @@ def similar_word(tokens: Column, knowledge: Knowledge) -> Column:
         return column.map(lambda ts: [able["best"](t) for t in ts])
 
     match.__annotations__ = {}
-    return F.pandas_udf(match, "array<string>", F.PandasUDFType.SCALAR)(tokens)
+    return once(match, "array<string>")(tokens)
 
 
 def approximate_candidates(tokens: Column, knowledge: Knowledge) -> Column:

@@ -11,7 +11,7 @@ from ..functions import text as T
 from ..functions.rules import SETTINGS
 from ..functions.similarity import _sorted, ratio
 from .knowledge import Knowledge
-from .lexicon import approximate_candidates, commercial_prefix, morphological_variant, similar_word
+from .lexicon import approximate_candidates, commercial_prefix, morphological_variant, once, similar_word
 from .records import gazetteer_key, horizontal_property
 
 
@@ -44,26 +44,34 @@ def approximate(df: DataFrame, knowledge: Knowledge, tokens: str = "tokens") ->
 
 
 def cascade(df: DataFrame, knowledge: Knowledge) -> DataFrame:
-    """Adds ``nivel, evidencia, seccion, division, peso`` to ``(nucleo, tokens, sufijo_societario)``: the strongest evidence."""
+    """Adds ``nivel, evidencia, seccion, division, peso`` to ``(nucleo, tokens, sufijo_societario)``: the strongest evidence.
+
+    Each level is an array of at most one struct, so that every expression stands in the plan once; the first wins.
+    """
     tokens = F.col("tokens")
-    prefixes = F.get(F.filter(F.transform(tokens, lambda t: commercial_prefix(t, knowledge)), lambda p: p != ""), F.lit(0))
-    df = approximate(df, knowledge)
-    df = df.withColumns({"_g": gazetteer_key(tokens, knowledge), "_ph": horizontal_property(tokens, F.col("sufijo_societario")), "_f": phrase(F.col("nucleo"), knowledge), "_t": best_token(tokens, knowledge), "_p": prefixes})
-    prefix_field = lambda i: F.element_at(F.create_map(*[x for p in rules.COMMERCIAL_PREFIXES for x in (F.lit(p[0]), F.lit(p[i]))]), F.col("_p"))
-    nothing = F.lit("")
-
-    def choose(g, ph, f, t, p, a, none):
-        return F.when(F.col("_g").isNotNull(), g).when(F.col("_ph"), ph).when(F.col("_f").isNotNull(), f).when(F.col("_t").isNotNull(), t).when(F.col("_p").isNotNull(), p).when(F.col("aprox") != "", a).otherwise(none)
-
-    word = lambda c, n: knowledge.field(F.col(c), n)
-    return df.select(
-        "*",
-        choose(*map(F.lit, ("gazetteer", "propiedad_horizontal", "frase", "token", "prefijo_comercial", "token_aproximado", "sin_evidencia"))).alias("nivel"),
-        choose(F.col("_g"), F.lit("PH"), F.col("_f"), F.col("_t"), F.col("_p"), F.col("aprox"), nothing).alias("evidencia"),
-        choose(knowledge.employer(F.col("_g"), "section"), F.lit("L"), word("_f", "section"), word("_t", "section"), prefix_field(1), word("aprox", "section"), nothing).alias("seccion"),
-        choose(knowledge.employer(F.col("_g"), "division"), F.lit("68"), word("_f", "division"), word("_t", "division"), prefix_field(2), word("aprox", "division"), nothing).alias("division"),
-        F.when(F.col("nivel") == "token", word("_t", "weight")).otherwise(F.lit(5)).cast("int").alias("peso"),
-    ).drop("_g", "_ph", "_f", "_t", "_p", "aprox")
+    prefixes = F.filter(F.transform(tokens, lambda t: commercial_prefix(t, knowledge)), lambda p: p != "")
+    prefix_field = lambda p, i: F.element_at(F.create_map(*[x for r in rules.COMMERCIAL_PREFIXES for x in (F.lit(r[0]), F.lit(r[i]))]), p)
+
+    def found(level, key, section, division, weight=None):
+        return F.struct(F.lit(level).alias("nivel"), key.alias("evidencia"), section.alias("seccion"), division.alias("division"), (F.lit(5) if weight is None else weight).cast("int").alias("peso"))
+
+    def level(name, keys, section, division, weight=None):
+        """``keys``: an array whose first text that isn't null or empty is the evidence."""
+        present = F.slice(F.filter(keys, lambda k: k.isNotNull() & (k != "")), 1, 1)
+        return F.transform(present, lambda k: found(name, k, section(k), division(k), weight(k) if weight else None))
+
+    of = lambda name: lambda k: knowledge.field(k, name)
+    levels = [
+        level("gazetteer", F.array(gazetteer_key(tokens, knowledge)), lambda k: knowledge.employer(k, "section"), lambda k: knowledge.employer(k, "division")),
+        level("propiedad_horizontal", F.array(F.when(horizontal_property(tokens, F.col("sufijo_societario")), F.lit("PH"))), lambda k: F.lit("L"), lambda k: F.lit("68")),
+        level("frase", F.array(phrase(F.col("nucleo"), knowledge)), of("section"), of("division")),
+        level("token", F.array(best_token(tokens, knowledge)), of("section"), of("division"), of("weight")),
+        level("prefijo_comercial", prefixes, lambda k: prefix_field(k, 1), lambda k: prefix_field(k, 2)),
+        level("token_aproximado", F.array("aprox"), of("section"), of("division")),
+        F.array(found("sin_evidencia", F.lit(""), F.lit(""), F.lit(""))),
+    ]
+    rows = approximate(df, knowledge).withColumn("_evidence", F.element_at(F.concat(*levels), 1)).drop("aprox")
+    return rows.select(*[c for c in rows.columns if c != "_evidence"], "_evidence.*")
 
 
 #: Votes by level; a token votes with the weight of the first catalogue word.
@@ -131,4 +139,4 @@ def reclassified(text: Column) -> Column:
         return column.map(of)
 
     best.__annotations__ = {}
-    return F.pandas_udf(best, "string", F.PandasUDFType.SCALAR)(text)
+    return once(best, "string")(text)
