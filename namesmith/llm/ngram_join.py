@@ -38,7 +38,7 @@ from .shingles import mix, shingle_sets
 #: A shingle is hot if at least one in 2^18 of all shingles (and 64) is it.
 HOT_SHARE, HOT_LEAST = 1 << 18, 64
 #: Shingles gathered before a task counts or deals them, classes and shingles of a block.
-FLUSH, BLOCK, BLOCK_SHINGLES = 1_500_000, 1024, 4_000_000
+FLUSH, BLOCK, BLOCK_SHINGLES = 1_000_000, 1024, 2_000_000
 _LOW = np.uint64((1 << 48) - 1)
 
 

@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Rows of an Arrow batch: texts are long, so the usual 10000 of them would be tens of MB in each of several copies.
+BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where the repository lies at the same path (else: --py-files)."""
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 

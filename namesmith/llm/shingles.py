@@ -18,7 +18,7 @@ _LOWER[65:91] += 32
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
 #: bytes that are hashed in one go; a batch is cut into such slices between documents
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
