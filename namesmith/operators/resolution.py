@@ -119,15 +119,17 @@ def cohesion(pairs: DataFrame, node: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of an undirected graph (a, b); a component is named by its smallest node.
 
-    Every round each node takes the smallest name among itself and its neighbours and the graph contracts to those
-    names; the renamings are composed. State lies in written tables, so lost executors cost a reread only.
+    Every round each node takes the name of least hash among itself and its neighbours, with another hash every time,
+    and the graph contracts to those names, so even a long path shrinks by a share of itself; the renamings are
+    composed. State lies in written tables, so lost executors cost a reread only.
     """
     edges = durable(edges.select("a", "b").where("a <> b").distinct(), "edges")
     ends = edges
     steps = []
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        step = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("to")), "step")
+        place = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(len(steps))).alias("h"), F.col(c).alias("n"))
+        step = durable(both.groupBy("a").agg(F.min(place("b")).alias("m")).select(F.col("a").alias("node"), F.least(place("a"), "m")["n"].alias("to")), "step")
         steps.append(step)
         x, y = step.select(F.col("node").alias("a"), F.col("to").alias("x")), step.select(F.col("node").alias("b"), F.col("to").alias("y"))
         edges = durable(edges.join(x, "a").join(y, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
