@@ -190,8 +190,12 @@ def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
     ship(documents.sparkSession)
     keys = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("lang").cast("string").alias("language"), F.col("text").isNotNull().alias("there")).where("key is not null and language is not null and there")
     keys = keys.where(~holds_out("key", modulus, remainder))
-    order = Window.partitionBy("language").orderBy(F.xxhash64("key"), "key")
-    chosen = keys.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PER_LANGUAGE).select("key", "language").distinct().orderBy(F.xxhash64("key")).limit(SAMPLE)
+    # First the least keys of each of 64 parts of a language, then of the language: no task sees all of a frequent one.
+    place = [F.xxhash64("key"), F.col("key")]
+    parts = keys.withColumn("part", F.pmod(F.xxhash64("key", F.lit(7)), F.lit(64)))
+    some_of = parts.withColumn("k", F.row_number().over(Window.partitionBy("language", "part").orderBy(*place))).where(F.col("k") <= PER_LANGUAGE)
+    chosen = some_of.withColumn("k", F.row_number().over(Window.partitionBy("language").orderBy(*place))).where(F.col("k") <= PER_LANGUAGE)
+    chosen = chosen.select("key", "language").distinct().orderBy(F.xxhash64("key")).limit(SAMPLE)
 
     def some(batches):
         for batch in batches:

@@ -74,14 +74,16 @@ def holds_out(column: str, modulus: int, remainder: int):
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "components") -> DataFrame:
     """``(node, root)`` of all nodes of an undirected graph; root is one node of the component.
 
-    Each round renames every node to its smallest neighbour (or itself) and maps the edges along, which contracts
-    the graph; the renamings are then composed. All state lies in written tables.
+    Each round renames every node to the neighbour (or itself) of least hash, with another hash every time, and maps
+    the edges along, so even a long path shrinks by a share of itself; the renamings are then composed. All state lies
+    in written tables.
     """
     edges = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), name)
     steps = []
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        to = durable(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("to")), name)
+        place = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(len(steps))).alias("h"), F.col(c).alias("n"))
+        to = durable(both.groupBy(F.col("a").alias("node")).agg(F.min(place("b")).alias("m")).select("node", F.least(place("node"), "m")["n"].alias("to")), name)
         steps.append(to)
         x, y = to.select(F.col("node").alias("a"), F.col("to").alias("x")), to.select(F.col("node").alias("b"), F.col("to").alias("y"))
         edges = durable(edges.join(x, "a").join(y, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), name)

@@ -57,3 +57,12 @@ def test_against_brute_force(spark, seed, block):
 
 def test_empty(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_components_of_a_long_path(spark):
+    from namesmith.llm.runtime import components
+
+    edges = spark.createDataFrame([(k, k + 1) for k in range(150)] + [(500, 501), (7, 7)], "a long, b long")
+    got = {r.node: r.root for r in components(edges).collect()}
+    assert len(got) == 153 and len({got[k] for k in range(151)}) == 1 and got[500] == got[501] != got[0]
+    assert components(edges.where("a = b")).count() == 0
