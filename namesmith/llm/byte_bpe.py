@@ -191,7 +191,7 @@ class Encoder:
 
 @lru_cache(2)
 def worker_encoder(path: str, pattern: str) -> Encoder:
-    """One encoder for all tasks of a worker process."""
+    """One encoder for all tasks of a worker process; ids of pieces are kept for a task only."""
     return Encoder(path, pattern)
 
 
@@ -220,6 +220,7 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = [x.astype("<u4").tobytes() for x in encoder.texts(group)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(group)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
                 at += len(group)
+        encoder.clear()  # idle workers of later stages would hold it
 
     ship(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -138,7 +138,7 @@ class WordIds:
 
 @lru_cache(2)
 def worker_words(path: str) -> WordIds:
-    """One tokenizer for all tasks of a worker process."""
+    """One tokenizer for all tasks of a worker process; ids of units are kept for a task only."""
     return WordIds(path)
 
 
@@ -216,6 +216,7 @@ def _packer(path: str, capacity: int, most_documents: int, most_cost: float, wei
                         full.clear()
         if held or full:
             yield packed(full)
+        encode.clear()  # idle workers of later stages would hold it
 
     return run
 
