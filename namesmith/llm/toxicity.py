@@ -22,8 +22,8 @@ from .labelled import labelled_texts, sigmoid
 from .runtime import filter_batches, holds_out, ship
 from .shingles import lowered, slices, span_hashes, utf8_buffers, word_spans
 
-SAMPLE, LEAST_DOCUMENTS, BITS, ROUNDS, HEADS = 5000, 6, 18, 120, (4, 5, 6)
-RIDGE, LASSO, THRESHOLD = 0.05, 1.0, 0.3
+SAMPLE, LEAST_DOCUMENTS, BITS, ROUNDS, HEADS = 5000, 4, 18, 120, (4, 5, 6)
+RIDGE, LASSO, THRESHOLD, RATE, START = 0.05, 1.0, 0.3, 0.1, 0.7
 _NOT_WORD = np.ones(256, bool)
 _NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _STOP = np.zeros(256, bool)
@@ -75,9 +75,12 @@ def train(parts, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """
     size = 1 << BITS
     weights, bias = np.zeros(size, np.float32), -6.0
-    seen = np.zeros(size, np.int64)
-    for f, s, d, _ in parts:
-        seen += np.bincount(np.unique(d[s].astype(np.int64) << BITS | f) & (size - 1), minlength=size)
+    seen, seen_bad, bad = np.zeros(size, np.int64), np.zeros(size, np.int64), 0
+    for f, s, d, y in parts:
+        pairs = np.unique(d[s].astype(np.int64) << BITS | f)
+        seen += np.bincount(pairs & (size - 1), minlength=size)
+        seen_bad += np.bincount(pairs[y[pairs >> BITS] > 0] & (size - 1), minlength=size)
+        bad += int((y > 0).sum())
     known = seen >= LEAST_DOCUMENTS
     used = np.flatnonzero(known)
     number = np.cumsum(known, dtype=np.int32) - 1
@@ -93,6 +96,8 @@ def train(parts, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
         return weights, -50.0
     features, sentence, document, y = (np.concatenate(x) for x in (features, sentence, document, labels))
     w, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    # Start from the shrunk log-odds of documents with each feature: all-documents steps alone are slow to find them.
+    w[:-1] = START * np.maximum(np.log((seen_bad[used] + 0.5) / bad * (count - bad) / (seen[used] - seen_bad[used] + 0.5)) - 1, 0)
     w[-1] = bias
     for t in range(1, rounds + 1):
         z = w[-1] + np.bincount(sentence, w[features], sentences)
@@ -101,7 +106,7 @@ def train(parts, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
         dz = ds[document] * sigmoid(z)
         g = np.r_[np.bincount(features, dz[sentence], len(used)) + RIDGE * w[:-1] + LASSO * np.tanh(20 * w[:-1]), dz.sum()] / count
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= 0.25 * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
+        w -= RATE * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
     weights[used] = w[:-1]
     return weights, float(w[-1])
 
