@@ -1,6 +1,7 @@
 import hashlib
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -74,3 +75,43 @@ def test_oracles_run(spark):
         got = registry.QUERIES[name](spark, "/root/testdata/sf0.001").toPandas()[list(want.columns)]
         key = lambda df: sorted(map(str, df.astype(object).where(df.notna(), None).itertuples(index=False)))
         assert key(got.convert_dtypes()) == key(want.convert_dtypes()), name
+
+
+def test_licenses_over_line_breaks_and_inside_lines(spark):
+    mit = "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person. All rights reserved.\n\n" + licenses.bodies()["MIT-text"]
+    notice = licenses.TEMPLATES["GPL-3.0-notice"].split()
+    embedded = "lorem ipsum dolor sit amet " * 300
+    cases = [
+        (1, mit, "MIT-text"),
+        (2, " ".join(mit.split()), "MIT-text"),
+        (3, embedded + " ".join(mit.split()) + embedded, "MIT-text"),
+        (4, "\n".join(" ".join(notice[i : i + 6]) for i in range(0, len(notice), 6)), "GPL-3.0-notice"),
+        (5, embedded + "Released under the MIT License. " + embedded, "MIT"),
+        (6, licenses.bodies()["BSD-3-Clause-text"].replace("\n", "\r\n * "), "BSD-3-Clause-text"),
+        (7, "x\n" * 3000 + licenses.bodies()["GPL-3.0-text"], "GPL-3.0-text"),
+        (8, embedded, None),
+        (9, "to any person obtaining a copy of this software " + embedded, None),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([c[:2] for c in cases], "doc_id long, text string")).collect()}
+    assert {d: r.license for d, r in got.items()} == {d: name for d, _, name in cases}
+    assert all(got[d].score == 1.0 for d in (1, 2, 3, 4, 5, 7)) and got[5].n_lines == 0
+
+
+def test_windows_by_definition():
+    import random
+
+    r = random.Random(3)
+    templates = {"p": "a b c d e", "q": "a b a b c a"}
+    known = licenses.Templates({}, templates, 0.5)
+    for _ in range(400):
+        words = r.choices("abcdez", k=r.randint(0, 30))
+        best = (0.0, "")
+        for name, text in templates.items():
+            size, b = len(text.split()), set(licenses.bigrams_of(text))
+            for k in range(max(len(words) - size, 0) + 1):
+                a = set(licenses.bigrams_of(" ".join(words[k : k + size])))
+                if known.low * len(b) <= len(a) <= known.high * len(b):
+                    best = min(best, (-2 * len(a & b) / (len(a) + len(b)), name))
+        raw = "\n".join(words).encode()
+        ((t, dice, lines),) = known.scan(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert (dice, t if t is None else known.names[t], lines) == ((-best[0], best[1], 0) if -best[0] >= 0.5 else (0.0, None, 0))
