@@ -6,9 +6,10 @@ residual capacities for tokens, documents and attention cost (the sum of squared
 must fit; among those that fit, the one of least weighted residual norm after placing (or of largest weighted dot
 product of residual and demand) takes it.
 
-Each task packs its own pieces in groups of ``GROUP`` as they stream by, so nothing is shuffled and memory is bounded;
-a group ends with at most a few sequences that aren't full, against thousands that are. Sequence numbers hold the
-task's number, so they are unique.
+Packing is global: tasks tokenise and write the pieces' lengths, a histogram of at most ``CAPACITY`` lengths comes to
+the driver, and ``plan`` packs it, with runs of alike sequences as one; then each piece looks up its place by its length
+and its rank among all pieces of that length. So the number of sequences depends neither on the order of the rows nor
+on how they are dealt to tasks, and memory is bounded by the number of lengths. Sequence numbers begin at 0.
 
 A word, or part of one that the tokenizer would cut off anyway, is tokenised once per worker and its ids are reused,
 which gives the same ids as the whole text, since the tokenizer's pieces span neither white space nor such cuts. Null text counts as empty: one piece, id 0 alone.
@@ -25,13 +26,13 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import ship
+from .runtime import durable, ship
 from .shingles import slices, span_hashes, utf8_buffers
 
-CAPACITY, GROUP, CACHED_WORDS = 2048, 8192, 800_000
+CAPACITY, CACHED_WORDS = 2048, 800_000
 #: 0 white space, 1 letters, 2 other ASCII characters, 3 all else
 _KIND = np.full(256, 2, np.uint8)
 _KIND[[32, *range(9, 14)]] = 0
@@ -171,57 +172,91 @@ def best_fit(demand: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule
     return out
 
 
+def plan(lengths: list[int], counts: list[int], capacity: int = CAPACITY, most_documents: int = CAPACITY, most_cost: float = CAPACITY * CAPACITY, weights=WEIGHTS, rule: str = "norm") -> np.ndarray:
+    """What ``best_fit`` does with ``counts`` pieces of each of ``lengths`` (falling), many alike sequences at a time.
+
+    Rows (length, first rank, first sequence, pieces a sequence, offset of the first): pieces of that length, by rank
+    from the first, go to consecutive sequences, so many to each.
+    """
+    whole, scale = np.array([capacity, most_documents, most_cost], float), np.asarray(weights, float)
+    room, first, many, used = np.zeros((0, 3)), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    out, made = [], 0
+    for at, (length, left) in enumerate(zip(lengths, counts)):
+        item, rank = np.array([length, 1.0, length * length]), 0
+        while left:
+            fits = np.flatnonzero((room >= item).all(1))
+            if not len(fits):
+                new = -(-left // int((whole // item).min()))
+                room, first, many, used = np.vstack([room, whole]), np.r_[first, made], np.r_[many, new], np.r_[used, 0]
+                made += new
+                fits = np.array([len(first) - 1])
+            if rule == "norm":
+                b = fits[np.argmin(((room[fits] - item) / whole) ** 2 @ scale)]
+                each = int((room[b] // item).min())  # the one just filled stays the best for the next of its length
+            else:
+                b, each = fits[np.argmax((room[fits] / whole * (item / whole)) @ scale)], 1
+            each = min(each, left)
+            n = min(int(many[b]), left // each)
+            out.append((length, rank, int(first[b]), each, int(used[b])))
+            if n < many[b]:  # the others stay as they were
+                room, first, many, used = np.vstack([room, room[b]]), np.r_[first, first[b] + n], np.r_[many, many[b] - n], np.r_[used, used[b]]
+                many[b] = n
+            room[b] -= each * item
+            used[b] += each * length
+            rank, left = rank + n * each, left - n * each
+        if at + 1 < len(lengths):
+            open_ = room[:, 0] >= min(lengths[at + 1 :])
+            room, first, many, used = room[open_], first[open_], many[open_], used[open_]
+    return np.array(sorted(out), np.int64).reshape(-1, 5)
+
+
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
 _SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), *((x, pa.int64()) for x in ("start", "length", "ids_crc32", "sequence_id", "offset"))])
+_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
 
+def _cutter(path: str, capacity: int):
+    """Pieces of documents, each with its task and its rank among the task's pieces of its length."""
 
-def _packer(path: str, capacity: int, most_documents: int, most_cost: float, weights, rule: str, group: int):
     def run(batches):
         encode = worker_words(path)
         context = TaskContext.get()
-        base = (context.partitionId() if context else 0) << 36
-        made = 0
-        held: list[tuple] = []
-
-        def packed(full: list[tuple]):
-            nonlocal made
-            short = sorted(held, key=lambda p: -p[3])
-            held.clear()
-            rows = []
-            if short:
-                length = np.array([p[3] for p in short], float)
-                bins = best_fit(np.stack([length, np.ones_like(length), length * length], 1), np.array([capacity, most_documents, most_cost], float), weights, rule)
-                fill: dict[int, int] = {}
-                for p, b in zip(short, bins.tolist()):
-                    rows.append((*p, base + made + b, fill.get(b, 0)))
-                    fill[b] = rows[-1][-1] + p[3]
-                made += int(bins.max()) + 1
-            for p in full:
-                rows.append((*p, base + made, 0))
-                made += 1
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-
-        full: list[tuple] = []
+        task = context.partitionId() if context else 0
+        seen = [0] * (capacity + 1)
         for batch in batches:
             names = batch.column("doc_id").to_pylist()
             raw, offsets = utf8_buffers(batch.column("text"))
             for begin, _, part, cut in slices(raw, offsets):
                 ids, bounds = encode(part, cut)
+                rows = []
                 for d, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                     for k, at in enumerate(range(i, j, capacity)):
                         own = ids[at : min(at + capacity, j)]
-                        (full if len(own) == capacity else held).append((names[begin + d], k, at - i, len(own), zlib.crc32(own.astype("<u4").tobytes())))
-                    if len(held) >= group or len(full) >= group:
-                        yield packed(full)
-                        full.clear()
-        if held or full:
-            yield packed(full)
+                        rows.append((names[begin + d], k, at - i, len(own), zlib.crc32(own.astype("<u4").tobytes()), task, seen[len(own)]))
+                        seen[len(own)] += 1
+                kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[*_NAMES, "part", "nth"])
         encode.clear()  # idle workers of later stages would hold it
 
     return run
 
 
-def pack(documents: DataFrame, path: str, capacity: int = CAPACITY, most_documents: int = CAPACITY, most_cost: float = CAPACITY * CAPACITY, weights=WEIGHTS, rule: str = "norm", group: int = GROUP) -> DataFrame:
+def _placer(places: np.ndarray):
+    """Pieces with their sequence and offset, by length and rank."""
+    keys = places[:, 0] << 44 | places[:, 1]
+
+    def run(batches):
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+            own = places[np.searchsorted(keys, length << 44 | rank, "right") - 1] if len(length) else places[:0]
+            nth = rank - own[:, 1]
+            columns = [pa.array(own[:, 2] + nth // own[:, 3]), pa.array(own[:, 4] + nth % own[:, 3] * length)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _NAMES), *columns], names=[*_NAMES, "sequence_id", "offset"])
+
+    return run
+
+
+def pack(documents: DataFrame, path: str, capacity: int = CAPACITY, most_documents: int = CAPACITY, most_cost: float = CAPACITY * CAPACITY, weights=WEIGHTS, rule: str = "norm") -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of every piece of ``documents(doc_id, text)``.
 
     The default bounds on documents and attention cost never bind before that on tokens does; smaller ones must leave
@@ -231,4 +266,11 @@ def pack(documents: DataFrame, path: str, capacity: int = CAPACITY, most_documen
         raise ValueError("a single full piece must fit a sequence")
     ship(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_packer(path, capacity, most_documents, most_cost, weights, rule, group), _SCHEMA)
+    pieces = durable(rows.mapInArrow(_cutter(path, capacity), _PIECES), "pieces")
+    counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
+    histogram = sorted(((r["length"], r["n"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()), reverse=True)
+    places = plan([x for x, _ in histogram], [n for _, n in histogram], capacity, most_documents, most_cost, weights, rule)
+    # A piece's rank: the pieces of its length in earlier tasks, then its own task's.
+    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).drop("n")
+    ranked = pieces.join(before, ["part", "length"]).select(*_NAMES, (F.col("before") + F.col("nth")).alias("rank"))
+    return ranked.mapInArrow(_placer(places), _SCHEMA)

@@ -115,3 +115,39 @@ def test_units_fuzzed():
         ids, bounds = words(*utf8_buffers(pa.array(part)))
         for text, i, j in zip(part, bounds[:-1], bounds[1:]):
             assert ids[i:j].tolist() == [*t.encode(text, add_special_tokens=False).ids, 0], ascii(text)
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_plan_is_best_fit(rule):
+    r = np.random.default_rng(2)
+    for n, most in ((4000, 2048), (3000, 5)):
+        length = np.sort(r.integers(1, 2049, n) if most == 5 else r.choice([3, 40, 41, 700, 900, 1100, 2048], n))[::-1]
+        lengths, counts = np.unique(length, return_counts=True)
+        places = packing.plan(lengths[::-1].tolist(), counts[::-1].tolist(), most_documents=most, rule=rule)
+        bins = defaultdict(list)
+        for x, c in zip(lengths.tolist(), counts.tolist()):
+            own = places[places[:, 0] == x]
+            for k in range(c):
+                _, first, sequence, each, offset = own[np.searchsorted(own[:, 1], k, "right") - 1].tolist()
+                bins[sequence + (k - first) // each].append((offset + (k - first) % each * x, x))
+        for own in bins.values():
+            own.sort()
+            assert len(own) <= most and [o for o, _ in own] == np.cumsum([0, *(x for _, x in own[:-1])]).tolist() and own[-1][0] + own[-1][1] <= 2048
+        demand = np.stack([length, np.ones(n), length**2.0], 1).astype(float)
+        one = int(packing.best_fit(demand, np.array([2048, most, 2048.0**2]), np.array(packing.WEIGHTS), rule).max()) + 1
+        assert sorted(bins) == list(range(len(bins))) and abs(len(bins) - one) <= 1 + one // 200
+    assert packing.plan([], []).shape == (0, 5)
+
+
+def test_sequences_over_all_tasks(spark):
+    path = P.path("word_bpe_49k.json")
+    hot = [(k, "a " * 1099) for k in range(60)] + [(100 + k, "a " * 899) for k in range(60)] + [(200 + k, "a " * 47) for k in range(60)]
+    # Length-ordered rows, a task for each length; then as many tasks as rows.
+    for tasks in (3, 180):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(hot, tasks), "doc_id long, text string")
+        got = packing.pack(df, path).collect()
+        tokens = sum(r.length for r in got)
+        assert len(got) == 180 and {r.length for r in got} == {1100, 900, 48}
+        assert len({r.sequence_id for r in got}) == -(-tokens // 2048) == 60
+        for s in {r.sequence_id for r in got}:
+            assert sorted(r.offset for r in got if r.sequence_id == s) == [0, 1100, 2000]
