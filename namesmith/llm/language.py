@@ -3,7 +3,10 @@
 Every word of a text gets one of the learned languages as its hidden label. Affixes, byte n-grams and lexicon
 membership make the emission scores, learned transitions tie neighbouring words, and forward-backward gives each
 word's marginals, so code-switched texts are labelled word by word. A document's language is that of the largest share
-of marginal mass; the share is its score.
+of marginal mass. Marginals sum to 1 over the learned languages, so they can't tell that a text is in none of them; for
+that, a word is *typical* of a language if its byte n-grams have a mean log-probability there that is reached by all
+but ``ATYPICAL`` of that language's words in texts the probabilities weren't taken from. A document's score is its
+language's share of marginal mass over typical words only, out of all words: the share of words that are in it.
 
 Training takes at most ``PER_LANGUAGE`` documents a language (``SAMPLE`` in all, least key hash first) that aren't held
 out, and ``WORDS`` words from places spread over each; they are spliced into sequences that switch language now and
@@ -27,6 +30,7 @@ from .shingles import lowered, mix, slices, span_hashes, utf8_buffers, word_span
 
 PER_LANGUAGE, SAMPLE, WORDS, CHAIN = 400, 20000, 300, 1024
 BITS, LEXICON, SEGMENT, SEQUENCE, ROUNDS = 16, 20000, 15, 60, 40
+ATYPICAL = 0.02
 _LETTERS = np.ones(256, bool)
 _LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _MASK = np.uint64((1 << BITS) - 1)
@@ -78,6 +82,29 @@ class Words:
         return out
 
 
+def gram_scores(words: Words, of: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """Log-probability of every n-gram in each language, from word occurrences ``of`` with labels ``y``."""
+    out = np.zeros((1 << BITS, n))
+    for k in range(n):
+        out[:, k] = np.bincount(words.grams, np.bincount(of[y == k], minlength=words.count)[words.gram_owner], 1 << BITS)
+    return np.log((out + 0.1) / (out + 0.1).sum(0)).astype(np.float32)
+
+
+def word_scores(words: Words, grams: np.ndarray) -> np.ndarray:
+    """Mean log-probability of each distinct word's n-grams in each language."""
+    return np.stack([np.bincount(words.gram_owner, grams[words.grams, k], words.count) / words.gram_count for k in range(grams.shape[1])], 1)
+
+
+def typical_words(words: Words, document: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """N-gram scores of the languages and the least score of a typical word, from documents the other half has scored."""
+    odd, own = document % 2 == 1, np.zeros(len(y))
+    for half in (odd, ~odd):
+        scores = word_scores(words, gram_scores(words, words.of[half], y[half], n))
+        own[~half] = scores[words.of[~half], y[~half]]
+    least = np.array([np.quantile(own[y == k], ATYPICAL) if (y == k).any() else 0.0 for k in range(n)])
+    return gram_scores(words, words.of, y, n), least
+
+
 def forward_backward(emissions: np.ndarray, transitions: np.ndarray, first: np.ndarray, length: np.ndarray, pairs: bool = False):
     """Marginals of every position (sequences lie at first[i] .. first[i] + length[i]); all sequences move together.
 
@@ -182,7 +209,9 @@ def train(texts: list[bytes], languages: list[str], seed: int = 7) -> dict:
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    return {"names": names, "lexicon": lexicon, "parameters": [p.astype(np.float32) for p in parameters]}
+    document = np.repeat(np.arange(len(texts)), np.diff(first))
+    typical = typical_words(words, document, np.array([label[x] for x in languages])[document], n)
+    return {"names": names, "lexicon": lexicon, "parameters": [p.astype(np.float32) for p in parameters], "typical": typical}
 
 
 def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
@@ -216,22 +245,25 @@ def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
 
 
 def _marginals(model: dict, column: pa.Array):
-    """For each slice: (marginals of all words, document bounds in words, word begins and ends, its bytes and offsets)."""
+    """For each slice: (marginals of all words, whether they are typical, document bounds in words, word begins and ends, its bytes and offsets)."""
     raw, offsets = utf8_buffers(column)
     for _, _, part, cut in slices(raw, offsets):
         low = lowered(part)
         starts, ends, first = word_spans(low, cut, _LETTERS)
         if not len(starts):
-            yield np.zeros((0, len(model["names"]))), first, starts, ends, part, cut
+            none = np.zeros((0, len(model["names"])))
+            yield none, none, first, starts, ends, part, cut
             continue
         words = Words(low, starts, ends, model["lexicon"])
         emission = words.emissions(*model["parameters"][:3])[words.of]
+        grams, least = model["typical"]
+        typical = (word_scores(words, grams) >= least)[words.of]
         size = np.diff(first)
         pieces = -(-size // CHAIN)
         owner = np.repeat(np.arange(len(size)), pieces)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = first[:-1][owner] + nth * CHAIN
-        yield forward_backward(emission, model["parameters"][3], begin, np.minimum(size[owner] - nth * CHAIN, CHAIN)), first, starts, ends, part, cut
+        yield forward_backward(emission, model["parameters"][3], begin, np.minimum(size[owner] - nth * CHAIN, CHAIN)), typical, first, starts, ends, part, cut
 
 
 def _has_letter(part: np.ndarray, cut: np.ndarray) -> np.ndarray:
@@ -248,12 +280,12 @@ def languages_of(column: pa.Array, model: dict) -> tuple[np.ndarray, np.ndarray]
     predicted, scores = [np.zeros(0, int)], [np.zeros(0)]
     if not none:
         return np.zeros(len(column), int), np.zeros(len(column))
-    for marginal, first, _, _, part, cut in _marginals(model, column):
-        total = np.r_[np.zeros((1, marginal.shape[1])), np.cumsum(marginal, 0, dtype=np.float64)]
-        share = (total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)[:, None]
+    for marginal, typical, first, _, _, part, cut in _marginals(model, column):
+        total, sure = (np.r_[np.zeros((1, x.shape[1])), np.cumsum(x, 0, dtype=np.float64)] for x in (marginal, marginal * typical))
+        share, sure = ((x[first[1:]] - x[first[:-1]]) / np.maximum(np.diff(first), 1)[:, None] for x in (total, sure))
         best, known = share.argmax(1), _has_letter(part, cut)
         predicted.append(np.where(known, best, none))
-        scores.append(np.where(known, np.clip(share[np.arange(len(best)), best], 0, 1), 0.0))
+        scores.append(np.where(known, np.clip(sure[np.arange(len(best)), best], 0, 1), 0.0))
     return np.concatenate(predicted), np.concatenate(scores)
 
 
@@ -288,7 +320,7 @@ def tag(documents: DataFrame, model: dict) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, out, at = batch.column("doc_id").to_pylist(), [], 0
-            for marginal, first, starts, ends, _, cut in _marginals(model, batch.column("text")) if len(names) else ():
+            for marginal, _, first, starts, ends, _, cut in _marginals(model, batch.column("text")) if len(names) else ():
                 best = marginal.argmax(1)
                 for d in range(len(first) - 1):
                     i, j = first[d], first[d + 1]

@@ -33,3 +33,19 @@ def test_odd_rows(spark):
     assert sorted(map(str, (r.doc_id for r in cp.near_duplicate_stage(spark, docs, SF).collect()))) == ["1", "2", "None"]
     for name, stage in cp.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
+def test_texts_in_no_learned_language(spark):
+    docs = table(spark, SF, "documents")
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä"
+    polish = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa"
+    junk = "xqzj kwvx qqpzt zzkx vvbnq xkcd jjwq pzqx wqjk zxcvb qwrtp hjklz mnbvq xzqk"
+    own = docs.where("lang = 'de' and length(text) > 400").first().text
+    odd = [(-1, finnish), (-2, polish), (-3, junk), (-4, own + " " + finnish)]
+    both = docs.unionByName(spark.createDataFrame([(d, t, None, None, None) for d, t in odd], docs.schema))
+    kept = {r.doc_id for r in cp.language_stage(spark, both, SF).collect()}
+    assert kept & {-1, -2, -3, -4} == {-4}
+    assert len(kept) > 0.99 * docs.where("text is not null").count()
+    # With two learned languages one always has half of the marginal mass.
+    two = docs.where("lang in ('de', 'en')").unionByName(both.where("doc_id < 0"))
+    assert {r.doc_id for r in cp.language_stage(spark, two, SF).collect()} & {-1, -2, -3, -4} == {-4}
