@@ -5,7 +5,7 @@ writes as Parquet and rereads as the next one's ``docs``. All but the last retur
 
 Null texts and texts without a letter are no language and go at the second stage. Other decisions: a document goes for
 toxicity if its score is 0.3 or more, for language if no learned language has half of its words, and as a
-near-duplicate if it isn't the one of least doc_id in its group.
+near-duplicate if it isn't the one of least doc_id (then of least hash of its text) in its group.
 """
 
 from __future__ import annotations
@@ -32,14 +32,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of least doc_id."""
+    """One document of each group of near-duplicates: that of least doc_id, also where a doc_id stands on several texts."""
     # A document without an id goes by its text, after all that have one.
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1)))
-    groups = jaccard_components(docs.select(key.alias("doc_id"), "text"))
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    kept = docs.withColumn("row_key", key).join(first, F.col("row_key") == F.col("kept"), "left_semi")
-    # Repeated rows of one doc_id and text are one document.
-    return kept.withColumn("text_key", F.xxhash64("text")).dropDuplicates(["row_key", "text_key"]).drop("row_key", "text_key")
+    # Repeated rows of one doc_id and text are one document; different texts of one doc_id are several.
+    keyed = docs.withColumn("row_key", key).withColumn("row_id", F.xxhash64("row_key", F.col("text").isNull(), "text"))
+    groups = jaccard_components(keyed.select(F.col("row_id").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("row_id"), "component_id").distinct()
+    named = keyed.select("row_id", "row_key").distinct().join(groups, "row_id")
+    first = named.groupBy("component_id").agg(F.min(F.struct("row_key", "row_id"))["row_id"].alias("row_id")).select("row_id")
+    kept = keyed.join(first, "row_id", "left_semi")
+    return kept.dropDuplicates(["row_id"]).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,15 @@ def test_texts_in_no_learned_language(spark):
     # With two learned languages one always has half of the marginal mass.
     two = docs.where("lang in ('de', 'en')").unionByName(both.where("doc_id < 0"))
     assert {r.doc_id for r in cp.language_stage(spark, two, SF).collect()} & {-1, -2, -3, -4} == {-4}
+
+
+def test_near_copies_of_one_doc_id(spark):
+    words = [f"w{k}" for k in range(60)]
+    text, near, other = " ".join(words), " ".join([*words[:-1], "end"]), " ".join(f"x{k}" for k in range(60))
+    rows = [(1, text), (1, near), (1, near), (1, other), (0, other), (5, near), (7, None), (7, None), (7, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = cp.near_duplicate_stage(spark, docs, SF)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == docs.columns and len(got) == 4
+    assert sum(t in (text, near) and d == 1 for d, t in got) == 1
+    assert {(0, other), (7, None), (7, "")} < set(got)
