@@ -10,14 +10,15 @@ from .runtime import holds_out
 
 
 def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, limit: int) -> DataFrame:
-    """``(text, y)`` of at most ``limit`` labelled rows that aren't held out: those of least key hash, a uniform sample.
+    """``(text, y)`` of at most ``limit`` labelled keys that aren't held out: those of least key hash, a uniform sample.
 
-    The sample's keys (``limit`` rows at most) are the only thing that is broadcast.
+    A repeated key counts once, with its least label and its least text. The sample's keys (``limit`` at most) are the
+    only thing that is broadcast.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("key"), F.col(label).cast("int").alias("y")).where("key is not null and y in (0, 1)")
-    rows = rows.where(~holds_out("key", modulus, remainder)).orderBy(F.xxhash64("key"), "key", "y").limit(limit).dropDuplicates(["key"])
+    rows = rows.where(~holds_out("key", modulus, remainder)).groupBy("key").agg(F.min("y").alias("y")).orderBy(F.xxhash64("key"), "key").limit(limit)
     texts = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(rows), "key").select("text", "y")
+    return texts.join(F.broadcast(rows), "key").groupBy("key").agg(F.min("text").alias("text"), F.first("y").alias("y")).select("text", "y")
 
 
 def sigmoid(x):

@@ -217,14 +217,15 @@ def train(texts: list[bytes], languages: list[str], seed: int = 7) -> dict:
 def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
     """Learn from ``documents(doc_id, text, lang)``; only the sample's words come to the driver."""
     ship(documents.sparkSession)
-    keys = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("lang").cast("string").alias("language"), F.col("text").isNotNull().alias("there")).where("key is not null and language is not null and there")
-    keys = keys.where(~holds_out("key", modulus, remainder))
+    keys = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("lang").cast("string").alias("language"), F.col("text").cast("string").alias("text")).where("key is not null and language is not null and text is not null")
+    # A repeated key counts once, with one of its languages and texts.
+    keys = keys.where(~holds_out("key", modulus, remainder)).groupBy("key").agg(F.min(F.struct("language", F.xxhash64("text").alias("text_key"))).alias("row")).select("key", "row.*")
     # First the least keys of each of 64 parts of a language, then of the language: no task sees all of a frequent one.
     place = [F.xxhash64("key"), F.col("key")]
     parts = keys.withColumn("part", F.pmod(F.xxhash64("key", F.lit(7)), F.lit(64)))
     some_of = parts.withColumn("k", F.row_number().over(Window.partitionBy("language", "part").orderBy(*place))).where(F.col("k") <= PER_LANGUAGE)
     chosen = some_of.withColumn("k", F.row_number().over(Window.partitionBy("language").orderBy(*place))).where(F.col("k") <= PER_LANGUAGE)
-    chosen = chosen.select("key", "language").distinct().orderBy(F.xxhash64("key")).limit(SAMPLE)
+    chosen = chosen.select("key", "language", "text_key").orderBy(F.xxhash64("key")).limit(SAMPLE)
 
     def some(batches):
         for batch in batches:
@@ -236,10 +237,11 @@ def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
                     step = max(1, (j - i) * 20 // WORDS)  # pieces of 20 words from evenly spread places
                     pieces = [(starts[k], ends[min(k + 20, j) - 1]) for k in range(i, j, max(step, 20))]
                     out.append(b" ".join(part[a:b].tobytes() for a, b in pieces))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column("language")], names=["text", "language"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary()), batch.column("language")], names=["key", "text", "language"])
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
-    got = texts.join(F.broadcast(chosen), "key").select("text", "language").mapInArrow(some, "text binary, language string").toPandas()
+    texts = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
+    got = texts.join(F.broadcast(chosen), ["key", "text_key"]).select("key", "text", "language").mapInArrow(some, "key long, text binary, language string")
+    got = got.groupBy("key").agg(F.min("text").alias("text"), F.first("language").alias("language")).select("text", "language").toPandas()
     got = got.sort_values(["language", "text"])
     return train(list(got["text"]), list(got["language"]))
 

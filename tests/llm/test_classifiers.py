@@ -124,3 +124,29 @@ def test_nothing_to_learn(spark, module):
     else:
         assert len(module.score(one, module.fit(d, labels)).collect()) == 2
         assert module.score(d, module.fit(d, labels)).count() == 0
+
+
+def repeated_key(spark, hot=2000):
+    """The key of least hash that isn't held out by either fit, many times, and 500 others."""
+    keys = [r.k for r in spark.range(4000).selectExpr("id k", "xxhash64(id) h").orderBy("h").collect() if not held(r.k, 5, 0) and not held(r.k, 4, 2)][:501]
+    return [keys[0]] * hot, keys[1:]
+
+
+def test_repeated_keys_count_once_in_labelled_sample(spark):
+    from namesmith.llm.labelled import labelled_texts
+
+    hot, others = repeated_key(spark)
+    labels = spark.createDataFrame([(k, 1) for k in hot] + [(k, n % 2) for n, k in enumerate(others)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(k, f"text {k}") for k in hot + others] + [(hot[0], "another text")], "doc_id long, text string")
+    rows = labelled_texts(docs, labels, "quality", 5, 0, 300).collect()
+    assert len(rows) == 300 and {r.text for r in rows} == {"another text", *(f"text {k}" for k in others[:299])}
+
+
+def test_repeated_keys_count_once_in_language_sample(spark, monkeypatch):
+    hot, others = repeated_key(spark)
+    docs = spark.createDataFrame([(k, "hot words", "en") for k in hot] + [(hot[0], "mots rares", "fr")] + [(k, f"word of {k} abc", "en") for k in others], "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language, "train", lambda texts, languages: seen.append(list(zip(texts, languages))))
+    language.fit(docs)
+    (sample,) = seen
+    assert len(sample) == 400 and sample.count((b"hot words", "en")) == 1 and all(y == "en" for _, y in sample)
