@@ -1,45 +1,50 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 ``jaccard_components`` links documents whose sets of word shingles have a Jaccard similarity of at least
-``percent``/100 and returns each document's component. All link tests are exact on 64-bit shingle hashes
-(53 bits of them after dealing); nothing is dropped, capped or sampled.
+``percent``/100 and returns each document's component. All link tests are exact on 64-bit shingle hashes; nothing is
+dropped, capped or sampled.
 
 How it runs:
 
-1. Documents with equal sets are one *class* (64-bit key of the set), so groups of exact copies collapse to one
-   node. A first pass also counts locally frequent shingles (Misra-Gries style, at most one in 2^18 of the
-   shingles seen can pass), from which the global *hot* shingles follow: at most 2^18 of them, so that list, and
-   only that, is sent to all tasks.
-2. A second pass deals all other shingles by hash range, as packed arrays, to tasks that count document
-   frequencies over classes and send back only shingles that two classes hold. A class of which fewer than
-   ``percent`` per cent of its shingles came back can't have a link and ends here.
-3. The others order their shared shingles from rare to frequent. With required overlap ``need``, two linked sets
-   share at least l shingles among the first ``size - need + l`` of each (for every l). Each class picks the l of
+1. Documents with equal sets are one *class* (64-bit key of the set), so groups of exact copies collapse to one node.
+2. *Screen.* In the order of their hashes, two linked sets share at least l shingles among the first
+   ``size - need + l`` of each (``need``: required overlap; l falls with the size). Each class deals that prefix, four
+   bytes a shingle, to hash ranges whose tasks report which of them a second class holds. A class of which fewer than l
+   came back can't have a link and ends here; a shingle taken for shared by mistake only keeps a class a while longer.
+3. Texts of the classes that are left are read once more. Their shingles are counted over those classes the same way,
+   and each class orders its shared shingles from rare to frequent (counts rounded to an eighth of an octave: any order
+   that all classes use is right). A class with fewer than ``need`` shared ones ends. Each other picks its l anew, of
    least estimated cost: postings probed plus estimated candidates to verify, which a larger l thins.
-4. Every prefix shingle has a pivot, the class of least hash in its posting list. Classes meet at their pivots;
-   there pairs with enough shared prefix shingles (the smaller l of both) are verified. Large pivot groups are cut
-   into blocks: first each block is linked within itself, then blocks are paired except those of one component.
+4. Every prefix shingle has a pivot, the class of least hash in its posting list. Classes meet at their pivots, first
+   with prefixes only; where pairs have enough shared prefix shingles (the smaller l of both), their whole sets follow
+   and the pairs are verified. Large pivot groups are cut into blocks: first each block is linked within itself, then
+   blocks are paired except those of one component.
 5. Verified links, a spanning forest per group, go through contraction to components.
 
-Null, empty or blank text: no shingles, linked with nothing. Null doc_id: the row stays; its class's smallest
-non-null doc_id is its component. Repeated rows: all stay. An empty table gives an empty result.
+A shingle that is frequent everywhere costs one entry for each ``FLUSH`` shingles of a task, not one a document, and the
+number of hash ranges follows from the size of the texts.
+
+Null, empty or blank text: no shingles, linked with nothing. Very long texts: a set of any size is one row. Null doc_id:
+the row stays; its class's smallest non-null doc_id is its component. Repeated rows: all stay. Ties don't arise: a
+component's name is its least doc_id. An empty table gives an empty result. Other columns of the input are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import components, durable, partitions, ship
+from .runtime import components, discard, durable, ship
 from .shingles import mix, shingle_sets
 
-#: A shingle is hot if at least one in 2^18 of all shingles (and 64) is it.
-HOT_SHARE, HOT_LEAST = 1 << 18, 64
-#: Shingles gathered before a task counts or deals them, classes and shingles of a block.
-FLUSH, BLOCK, BLOCK_SHINGLES = 1_000_000, 1024, 2_000_000
-_LOW = np.uint64((1 << 48) - 1)
+#: Shingles that a task gathers before it deals them (of at most so many classes), shingles of a hash range.
+FLUSH, FLUSH_CLASSES, RANGE = 1_000_000, 60_000, 1_000_000
+#: Classes and shingles of a block; classes that a task remembers, so as not to deal them twice.
+BLOCK, BLOCK_SHINGLES, KNOWN, SALTS = 1024, 2_000_000, 500_000, 16
 
 
 def _class_key(tokens: np.ndarray) -> int:
@@ -48,57 +53,103 @@ def _class_key(tokens: np.ndarray) -> int:
         return int(mix(np.array([a ^ mix(np.array([b + np.uint64(len(tokens))], np.uint64))[0]], np.uint64)).view(np.int64)[0])
 
 
-def _classes(width: int):
-    schema = pa.schema([("kind", pa.int8()), ("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("token", pa.int64()), ("seen", pa.int64())])
+class _Known:
+    """Whether a task has met a class lately."""
 
-    def run(batches):
-        known: set[int] = set()
-        waiting: list[np.ndarray] = []
-
-        def counted():
-            tokens, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            total = int(counts.sum())
-            waiting.clear()
-            often = counts >= max(2, total // HOT_SHARE)
-            k = int(often.sum()) + 1
-            none = pa.nulls(k, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.ones(k - 1, np.int8), np.int8(2)]), none, none, none, pa.array(np.r_[tokens[often].view(np.int64), 0]), pa.array(np.r_[counts[often], total])], schema=schema)
+    def __init__(self):
+        self.keys: set[int] = set()
 
-        for batch in batches:
-            keys, sizes = [], []
-            for s in shingle_sets(batch.column("text"), width):
-                keys.append(_class_key(s) if len(s) else 0)
-                sizes.append(len(s))
-                if len(s) and keys[-1] not in known:
-                    known.add(keys[-1])
-                    waiting.append(s)
-                    if sum(map(len, waiting[-64:])) > FLUSH or len(waiting) % 64 == 0 and sum(map(len, waiting)) > FLUSH:
-                        yield from counted()
-            none = pa.nulls(len(keys), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int8)), batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), none, none], schema=schema)
-        if waiting:
-            yield from counted()
+    def __call__(self, key: int) -> bool:
+        if key in self.keys:
+            return True
+        if len(self.keys) >= KNOWN:
+            self.keys.clear()
+        self.keys.add(key)
+        return False
+
+
+def required(n: int, percent: int) -> int:
+    """Shingles that a linked set shares with one of ``n``."""
+    return -(-percent * n // 100)
+
+
+def screen_matches(n: int, percent: int) -> int:
+    """l of the screen for a set of ``n``: grows with n."""
+    return max(1, required(n, percent) // 12)
 
-    return run, "kind tinyint, doc_id long, n long, class long, token long, seen long"
 
+def _ranges(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash range and a 32-bit name within it."""
+    x = mix(tokens)
+    return ((x >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), x.astype(np.uint32)
 
-_DEALT = "bucket int, classes binary, sizes binary, counts binary, tokens binary, frequencies binary"
-_DEALT_ARROW = pa.schema([("bucket", pa.int32()), *((x, pa.binary()) for x in ("classes", "sizes", "counts", "tokens", "frequencies"))])
 
+def _flush_id(seq: int) -> int:
+    context = TaskContext.get()
+    return (context.partitionId() if context else 0) << 32 | seq
 
-def _narrow(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    """(bucket of the hash range) << 48 | low 48 bits."""
-    return ((((tokens >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)) << np.uint64(48)) | (tokens & _LOW)
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
-def _pack6(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows, schema)])
 
-def _unpack6(x: bytes) -> np.ndarray:
-    out = np.zeros((len(x) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+
+_TOLD = "doc_id long, n long, class long, bucket long, flush long, names binary, owners binary, counts binary"
+_TOLD_ARROW = pa.schema([*((x, pa.int64()) for x in ("doc_id", "n", "class", "bucket", "flush")), *((x, pa.binary()) for x in ("names", "owners", "counts"))])
+
+
+def _classes(width: int, percent: int, buckets: int, flush: int):
+    """Each row's class, with ``bucket`` null; and prefixes dealt to buckets, with each flush's own row under bucket -1."""
+
+    def run(batches):
+        known, keys, needs, prefixes, seq = _Known(), [], [], [], 0
+
+        def dealt():
+            m, number = len(keys), _flush_id(seq)
+            tokens = np.concatenate(prefixes)
+            owner = np.repeat(np.arange(m), [len(p) for p in prefixes])
+            order = np.argsort(tokens, kind="stable")
+            tokens, owner = tokens[order], owner[order]
+            start = _runs(tokens)
+            length = np.diff(np.r_[start, len(tokens)])
+            # Shingles of several classes here are known as shared; one entry, of no owner, tells other flushes.
+            local = np.bincount(owner[np.repeat(length > 1, length)], minlength=m)
+            own = np.where(length == 1, owner[start], m)
+            bucket, name = _ranges(tokens[start], buckets)
+            order = np.lexsort((own, bucket))
+            bucket, name, own = bucket[order], name[order], own[order].astype(np.uint16)
+            begin = _runs(bucket)
+            rows = [(None, None, None, int(bucket[i]), number, name[i:j].tobytes(), own[i:j].tobytes(), None) for i, j in zip(begin, np.r_[begin[1:], len(bucket)])]
+            left = np.array(needs) - local
+            rows.append((None, None, None, -1, number, np.array(keys, np.int64).tobytes(), None, left.astype(np.int32).tobytes()))
+            keys.clear(), needs.clear(), prefixes.clear()
+            return _batch(rows, _TOLD_ARROW)
+
+        held = 0
+        for batch in batches:
+            names, sizes = [], []
+            for s in shingle_sets(batch.column("text"), width):
+                n = len(s)
+                names.append(_class_key(s) if n else 0)
+                sizes.append(n)
+                if n and not known(names[-1]):
+                    l = screen_matches(n, percent)
+                    keys.append(names[-1])
+                    needs.append(screen_matches(required(n, percent), percent))
+                    prefixes.append(s[: n - required(n, percent) + l].copy())
+                    held += len(prefixes[-1])
+                    if held >= flush or len(keys) >= FLUSH_CLASSES:
+                        yield dealt()
+                        held, seq = 0, seq + 1
+            none, empty = pa.nulls(len(names), pa.int64()), pa.nulls(len(names), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), none, none, empty, empty, empty], schema=_TOLD_ARROW)
+        if keys:
+            yield dealt()
+
+    return run
 
 
 def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
@@ -110,102 +161,119 @@ def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _deal(width: int, buckets: int, hot: np.ndarray, hot_count: np.ndarray):
-    """Packed shingles by hash range; under buckets + class mod buckets each class's size and hot shingles."""
+_SHARED = "flush long, owners binary, counts binary"
+_SHARED_ARROW = pa.schema([("flush", pa.int64()), ("owners", pa.binary()), ("counts", pa.binary())])
+
+
+def _met(key, group):
+    """For each flush the owners of shingles of one hash range that others hold too, and how many each has."""
+    if key[0].as_py() < 0:
+        return _table([], _SHARED_ARROW)
+    names = [np.frombuffer(x, np.uint32) for x in group["names"].to_pylist()]
+    row = np.repeat(np.arange(len(names)), [len(x) for x in names])
+    owner = np.concatenate([np.frombuffer(x, np.uint16) for x in group["owners"].to_pylist()])
+    name = np.concatenate(names)
+    order = np.argsort(name, kind="stable")
+    start = _runs(name[order])
+    length = np.diff(np.r_[start, len(name)])
+    hit = order[np.repeat(length > 1, length)]
+    pair, count = np.unique(row[hit] << 16 | owner[hit], return_counts=True)
+    begin, flush, out = _runs(pair >> 16), group["flush"].to_numpy(), []
+    for i, j in zip(begin, np.r_[begin[1:], len(pair)]):
+        out.append((int(flush[pair[i] >> 16]), pair[i:j].astype(np.uint16).tobytes(), count[i:j].astype(np.uint32).tobytes()))
+    return _table(out, _SHARED_ARROW)
+
+
+def _passed(key, group):
+    """Classes of one flush of which enough shingles are shared."""
+    schema = pa.schema([("class", pa.int64())])
+    told = group.to_pylist()
+    names, left = next((np.frombuffer(r["names"], np.int64), np.frombuffer(r["counts"], np.int32).astype(np.int64)) for r in told if r["names"] is not None)
+    left = np.r_[left, 0]  # the last is that of entries without an owner
+    for r in told:
+        if r["names"] is None:
+            left[np.frombuffer(r["owners"], np.uint16)] -= np.frombuffer(r["counts"], np.uint32)
+    return pa.Table.from_arrays([pa.array(names[left[:-1] <= 0])], schema=schema)
+
+
+def _texts_of_classes(width: int):
+    """``(class, text)``: texts with their class, a repeated class once."""
 
     def run(batches):
-        known: set[int] = set()
-        keys: list[int] = []
-        sets: list[np.ndarray] = []
-
-        def rows():
-            sizes, names = np.array([len(s) for s in sets]), np.array(keys, np.int64)
-            tokens = _narrow(np.concatenate(sets), buckets)
-            owner = np.repeat(np.arange(len(sets)), sizes)
+        known = _Known()
+        for batch in batches:
+            keys = [_class_key(s) if len(s) else None for s in shingle_sets(batch.column("text"), width)]
+            mask = pa.array([k is not None and not known(k) for k in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()).filter(mask), batch.column("text").filter(mask)], names=["class", "text"])
+
+    return run
+
+
+_SETS = "flush long, classes binary, sizes binary, tokens binary, total long"
+_SETS_ARROW = pa.schema([("flush", pa.int64()), *((x, pa.binary()) for x in ("classes", "sizes", "tokens")), ("total", pa.int64())])
+
+
+def _sets(width: int, flush: int):
+    """Packed shingle sets of ``(class, text)``."""
+
+    def run(batches):
+        keys, sets, held, seq = [], [], 0, 0
+
+        def packed():
+            row = (_flush_id(seq), np.array(keys, np.int64).tobytes(), np.array([len(s) for s in sets], np.int64).tobytes(), np.concatenate(sets).tobytes(), sum(map(len, sets)))
             keys.clear(), sets.clear()
-            frequencies = np.zeros(len(tokens), np.int64)
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
-                frequencies = np.where(hot[at] == tokens, hot_count[at], 0)
-            out = []
-            cold = frequencies == 0
-            t, o = tokens[cold], owner[cold]
-            b = (t >> np.uint64(48)).astype(np.uint16)
-            order = np.argsort(b, kind="stable")
-            t, o, b = t[order], o[order], b[order]
-            start = _runs(b, o)
-            length = np.diff(np.r_[start, len(t)]).astype(np.uint32)
-            edges = np.searchsorted(b[start], np.arange(buckets + 1)) if len(start) else np.zeros(buckets + 1, int)
-            begin = np.r_[start, len(t)]
-            for k in np.flatnonzero(np.diff(edges)):
-                i, j = edges[k], edges[k + 1]
-                out.append((int(k), names[o[start[i:j]]].tobytes(), b"", length[i:j].tobytes(), _pack6(t[begin[i] : begin[j]]), b""))
-            t, o, f = tokens[~cold], owner[~cold], frequencies[~cold]
-            hot_of = np.bincount(o, minlength=len(names))
-            home = names % buckets
-            order = np.argsort(home, kind="stable")
-            place = np.empty(len(order), int)
-            place[order] = np.arange(len(order))
-            by = np.argsort(place[o], kind="stable")
-            t, f = t[by], f[by]
-            upto = np.r_[0, np.cumsum(hot_of[order])]
-            edges = np.searchsorted(home[order], np.arange(buckets + 1))
-            for k in np.flatnonzero(np.diff(edges)):
-                i, j = edges[k], edges[k + 1]
-                a, z = upto[i], upto[j]
-                out.append((buckets + int(k), names[order[i:j]].tobytes(), sizes[order[i:j]].astype(np.int64).tobytes(), hot_of[order[i:j]].astype(np.uint32).tobytes(), t[a:z].tobytes(), f[a:z].astype(np.int64).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), _DEALT_ARROW.types)], schema=_DEALT_ARROW)
+            return _batch([row], _SETS_ARROW)
 
-        held = 0
         for batch in batches:
-            for s in shingle_sets(batch.column("text"), width):
-                if len(s) and (key := _class_key(s)) not in known:
-                    known.add(key)
-                    keys.append(key)
-                    sets.append(s)
-                    held += len(s)
-                    if held > FLUSH:
-                        yield from rows()
-                        held = 0
-        if sets:
-            yield from rows()
+            for key, s in zip(batch.column("class").to_pylist(), shingle_sets(batch.column("text"), width)):
+                keys.append(key)
+                sets.append(s)
+                held += len(s)
+                if held >= flush:
+                    yield packed()
+                    held, seq = 0, seq + 1
+        if keys:
+            yield packed()
 
     return run
 
 
-def _count(buckets: int):
-    """Frequencies over classes within one hash range; only shingles of two classes go back, dealt by class."""
+def _in_ranges(tokens: bytes, buckets: int):
+    """Distinct shingles of a flush in the order of their hash ranges, how often each occurs, range, 32-bit name."""
+    token, count = np.unique(np.frombuffer(tokens, np.uint64), return_counts=True)
+    bucket, name = _ranges(token, buckets)
+    order = np.argsort(bucket, kind="stable")
+    return token[order], count[order], bucket[order], name[order]
+
+
+_DEALT = "bucket long, flush long, names binary, counts binary"
+_DEALT_ARROW = pa.schema([("bucket", pa.int64()), ("flush", pa.int64()), ("names", pa.binary()), ("counts", pa.binary())])
 
-    def run(key, group):
-        bucket = key[0].as_py()
-        if bucket >= buckets:
-            return group.set_column(0, "bucket", pa.array(np.full(len(group), bucket - buckets, np.int32)))
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"].to_pylist()])
-        names = np.repeat(np.concatenate([np.frombuffer(x, np.int64) for x in group["classes"].to_pylist()]), counts)
-        tokens = np.concatenate([_unpack6(x) for x in group["tokens"].to_pylist()])
-        order = np.lexsort((names, tokens))
-        names, tokens = names[order], tokens[order]
-        kept = _runs(tokens, names)
-        names, tokens = names[kept], tokens[kept]
-        start = _runs(tokens)
-        length = np.diff(np.r_[start, len(tokens)])
-        frequency = np.repeat(length, length)
-        shared = frequency > 1
-        names, tokens, frequency = names[shared], tokens[shared] | np.uint64(bucket << 48), frequency[shared]
-        home = names % buckets
-        order = np.lexsort((names, home))
-        names, tokens, frequency, home = names[order], tokens[order], frequency[order], home[order]
-        edges = np.searchsorted(home, np.arange(buckets + 1))
-        out = []
-        for k in np.flatnonzero(np.diff(edges)):
-            own = slice(edges[k], edges[k + 1])
-            start = _runs(names[own])
-            out.append((int(k), names[own][start].tobytes(), b"", np.diff(np.r_[start, edges[k + 1] - edges[k]]).astype(np.uint32).tobytes(), tokens[own].tobytes(), frequency[own].tobytes()))
-        return pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out) if out else [[]] * 6, _DEALT_ARROW.types)], schema=_DEALT_ARROW)
+
+def _deal(buckets: int):
+    def run(batches):
+        for batch in batches:
+            for flush, tokens in zip(batch.column("flush").to_pylist(), batch.column("tokens").to_pylist()):
+                _, count, bucket, name = _in_ranges(tokens, buckets)
+                begin = _runs(bucket)
+                yield _batch([(int(bucket[i]), flush, name[i:j].tobytes(), count[i:j].astype(np.uint32).tobytes()) for i, j in zip(begin, np.r_[begin[1:], len(bucket)])], _DEALT_ARROW)
 
     return run
 
 
+_CODES_ARROW = pa.schema([("flush", pa.int64()), ("bucket", pa.int64()), ("codes", pa.binary())])
+
+
+def _count(key, group):
+    """Frequencies of the shingles of one hash range, as codes: 8 log2 of the number of classes, rounded down."""
+    names = [np.frombuffer(x, np.uint32) for x in group["names"].to_pylist()]
+    count = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"].to_pylist()])
+    _, of = np.unique(np.concatenate(names), return_inverse=True)
+    code = np.minimum(np.floor(8 * np.log2(np.bincount(of, count))), 255).astype(np.uint8)[of]
+    edges = np.r_[0, np.cumsum([len(x) for x in names])]
+    return _table([(flush, key[0].as_py(), code[i:j].tobytes()) for flush, i, j in zip(group["flush"].to_pylist(), edges, edges[1:])], _CODES_ARROW)
+
+
 def prefix_choice(n: int, need: int, frequencies: np.ndarray) -> tuple[int, int]:
     """(matches l, prefix length among the shared shingles) of least estimated cost.
 
@@ -219,7 +287,7 @@ def prefix_choice(n: int, need: int, frequencies: np.ndarray) -> tuple[int, int]
         if l > need:
             break
         q = spare + l
-        probes = int(total[q - 1])
+        probes = float(total[q - 1])
         cost = probes + (probes - q) / l * n / 8
         if best is None or cost < best[0]:
             best = (cost, l, q)
@@ -230,32 +298,29 @@ _SURVIVOR = "class long, n long, matches int, prefix array<long>, tokens binary"
 _SURVIVOR_ARROW = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("matches", pa.int32()), ("prefix", pa.list_(pa.int64())), ("tokens", pa.binary())])
 
 
-def _prefixes(percent: int):
-    def run(key, group):
-        names, counts, tokens, frequencies = [], [], [], []
-        size: dict[int, int] = {}
-        for c, s, k, t, f in zip(*(group[x].to_pylist() for x in ("classes", "sizes", "counts", "tokens", "frequencies"))):
-            names.append(np.frombuffer(c, np.int64))
-            counts.append(np.frombuffer(k, np.uint32))
-            tokens.append(np.frombuffer(t, np.uint64))
-            frequencies.append(np.frombuffer(f, np.int64))
-            if s:
-                size.update(zip(names[-1].tolist(), np.frombuffer(s, np.int64).tolist()))
-        name = np.repeat(np.concatenate(names), np.concatenate(counts))
-        token, frequency = np.concatenate(tokens), np.concatenate(frequencies)
-        order = np.lexsort((token, frequency, name))
-        name, token, frequency = name[order], token[order], frequency[order]
-        kept = _runs(name, token, frequency)  # hot shingles of a class come once from each task that met the class
-        name, token, frequency = name[kept], token[kept], frequency[kept]
-        start = _runs(name)
+def _prefixes(percent: int, buckets: int):
+    """Classes of one flush with their shared shingles and the prefix that each chooses."""
+
+    def run(sets, codes):
         out = []
-        for i, j in zip(start, np.r_[start[1:], len(name)]):
-            n = size[int(name[i])]
-            need = -(-percent * n // 100)
-            if j - i >= need:
-                l, q = prefix_choice(n, need, frequency[i:j])
-                out.append((int(name[i]), n, l, token[i : i + q].view(np.int64), np.sort(token[i:j]).tobytes()))
-        return pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out) if out else [[]] * 5, _SURVIVOR_ARROW.types)], schema=_SURVIVOR_ARROW)
+        for classes, sizes, tokens in zip(*(sets[x].to_pylist() for x in ("classes", "sizes", "tokens"))):
+            token = _in_ranges(tokens, buckets)[0]
+            parts = dict(zip(codes["bucket"].to_pylist(), codes["codes"].to_pylist()))
+            code = np.frombuffer(b"".join(parts[b] for b in sorted(parts)), np.uint8)
+            order = np.argsort(token)
+            token, code = token[order], code[order]
+            names, sizes, tokens = np.frombuffer(classes, np.int64), np.frombuffer(sizes, np.int64), np.frombuffer(tokens, np.uint64)
+            code = code[np.searchsorted(token, tokens)]
+            edges = np.r_[0, np.cumsum(sizes)]
+            for name, n, i, j in zip(names.tolist(), sizes.tolist(), edges, edges[1:]):
+                shared = code[i:j] > 0
+                own, frequency = tokens[i:j][shared], code[i:j][shared]
+                need = required(n, percent)
+                if len(own) >= need:
+                    order = np.lexsort((own, frequency))
+                    l, q = prefix_choice(n, need, np.exp2(frequency[order] / 8))
+                    out.append((name, n, l, own[order[:q]].view(np.int64), own.tobytes()))
+        return _table(out, _SURVIVOR_ARROW)
 
     return run
 
@@ -278,20 +343,25 @@ def _together(owner: np.ndarray, token: np.ndarray, m: int) -> np.ndarray:
     return out
 
 
-def links_of_group(names, sizes, matches, prefixes, tokens, labels, sides, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the verified links among the members of a group.
+def able_pairs(names, sizes, matches, prefixes, labels, sides, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group's members that share enough prefix shingles and may be linked by their sizes.
 
     ``sides``: 0 or 1; if both occur, only pairs across count. Pairs of one non-negative label are known to be connected.
     """
     m = len(names)
-    owner = np.repeat(np.arange(m), [len(p) for p in prefixes])
-    shared = _together(owner, np.concatenate(prefixes), m)
+    shared = _together(np.repeat(np.arange(m), [len(p) for p in prefixes]), np.concatenate(prefixes), m)
     able = shared >= np.minimum(matches[:, None], matches[None, :])
     able &= 100 * np.minimum(sizes[:, None], sizes[None, :]) >= percent * np.maximum(sizes[:, None], sizes[None, :])
     able &= (labels[:, None] != labels[None, :]) | (labels[:, None] < 0)
     if sides.min() != sides.max():
         able &= sides[:, None] != sides[None, :]
-    i, j = np.nonzero(np.triu(able, 1))
+    return np.nonzero(np.triu(able, 1))
+
+
+def links_of_group(names, sizes, matches, prefixes, tokens, labels, sides, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the verified links among the members of a group."""
+    m = len(names)
+    i, j = able_pairs(names, sizes, matches, prefixes, labels, sides, percent)
     if not len(i):
         return []
     if len(i) > 4 * m:
@@ -316,20 +386,48 @@ def links_of_group(names, sizes, matches, prefixes, tokens, labels, sides, perce
     return out
 
 
+def _columns(group):
+    column = lambda x: group[x].to_numpy()
+    prefixes = [np.asarray(p, np.int64) for p in group["prefix"].to_pylist()]
+    return (column("class"), column("n"), column("matches"), prefixes), (column("label"), column("side"))
+
+
+def _candidates(percent: int):
+    """Members of a group that have a partner by their prefixes."""
+    schema = pa.schema([("pivot", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("class", pa.int64()), ("label", pa.int64()), ("side", pa.int32())])
+
+    def run(key, group):
+        own = np.zeros(0, np.int64)
+        if len(group) > 1:
+            left, right = _columns(group)
+            own = np.unique(np.concatenate(able_pairs(*left, *right, percent)))
+        return group.select(schema.names).take(pa.array(own)).cast(schema)
+
+    return run, "pivot long, i long, j long, class long, label long, side int"
+
+
 def _link(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(key, group):
         found = []
         if len(group) > 1:
-            column = lambda x: group[x].to_numpy()
-            prefixes = [np.asarray(p, np.int64) for p in group["prefix"].to_pylist()]
-            found = links_of_group(column("class"), column("n"), column("matches"), prefixes, group["tokens"].to_pylist(), column("label"), column("side"), percent)
+            left, right = _columns(group)
+            found = links_of_group(*left, group["tokens"].to_pylist(), *right, percent)
         return pa.Table.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
 
+def _verified(placed: DataFrame, survivors: DataFrame, percent: int) -> DataFrame:
+    """Links within groups (pivot, i, j); whole sets go only where their prefixes found a partner."""
+    keys = ["pivot", "i", "j"]
+    prefixed = placed.join(survivors.select("class", "n", "matches", "prefix"), "class")
+    run, schema = _candidates(percent)
+    candidates = durable(prefixed.groupBy(*keys).applyInArrow(run, schema), "candidates")
+    return durable(candidates.join(survivors, "class").groupBy(*keys).applyInArrow(_link(percent), "a long, b long"), "links")
+
+
 def _links(survivors: DataFrame, percent: int, block: int, block_shingles: int) -> DataFrame:
     """Verified links of all classes: every pair with a common prefix shingle meets at that shingle's pivot."""
     posts = survivors.select("class", F.explode("prefix").alias("token"))
@@ -339,10 +437,7 @@ def _links(survivors: DataFrame, percent: int, block: int, block_shingles: int)
     members = durable(members.join(weights, "class").select("pivot", "class", "t"), "members")
     groups = members.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / (2 * block)), F.ceil(F.sum("t") / block_shingles)).cast("long").alias("blocks"), F.count("*").alias("k")).where("k > 1").drop("k")
     placed = members.join(groups, "pivot").withColumn("i", F.pmod(F.xxhash64("class", F.lit(1)), "blocks"))
-    full = lambda df: df.join(survivors, "class")
-    keys = ["pivot", "i", "j"]
-    first = full(placed.select("pivot", "i", F.col("i").alias("j"), "class", F.lit(-1).cast("long").alias("label"), F.lit(0).alias("side")))
-    first = durable(first.groupBy(*keys).applyInArrow(_link(percent), "a long, b long"), "links")
+    first = _verified(placed.select("pivot", "i", F.col("i").alias("j"), "class", F.lit(-1).cast("long").alias("label"), F.lit(0).alias("side")), survivors, percent)
     large = durable(placed.where("blocks > 1").select("pivot", "class"), "large")
     if large.isEmpty():
         return first
@@ -356,33 +451,46 @@ def _links(survivors: DataFrame, percent: int, block: int, block_shingles: int)
         F.when(F.col("k") >= block, F.pmod(F.xxhash64("class", F.lit(2)), F.ceil(F.col("k") / block))).otherwise(F.pmod(F.xxhash64("label", F.lit(3)), F.greatest(F.ceil(F.col("small") / block), F.lit(1)))).alias("part"),
     )
     spread = durable(spread.withColumn("own", F.xxhash64("whole", "part")), "spread")
-    blocks = spread.groupBy("pivot").agg(F.collect_set(F.struct(F.col("own").alias("other"), F.col("whole").alias("other_whole"))).alias("blocks"))
-    pairs = spread.join(blocks, "pivot").select("pivot", "class", "label", "whole", "own", F.explode("blocks").alias("o")).select("pivot", "class", "label", "whole", "own", "o.*")
-    pairs = pairs.where("whole is null or other_whole is null or whole <> other_whole")
+    # Pairs of blocks first, from one row a block; then each class goes to its block's pairs.
+    blocks = spread.select("pivot", "own", "whole").distinct()
+    others = blocks.select("pivot", F.col("own").alias("other"), F.col("whole").alias("other_whole"))
+    pairs = blocks.join(others, "pivot").where("whole is null or other_whole is null or whole <> other_whole").select("pivot", "own", "other")
+    pairs = spread.select("pivot", "class", "label", "own").join(pairs, ["pivot", "own"])
     pairs = pairs.select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "label", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"))
-    second = full(pairs).groupBy(*keys).applyInArrow(_link(percent), "a long, b long")
-    return first.union(durable(second, "links"))
+    return first.union(_verified(pairs, survivors, percent))
+
+
+def _survivors(texts: DataFrame, told: DataFrame, width: int, percent: int, flush: int, share: int) -> DataFrame:
+    """``(class, n, matches, prefix, tokens)`` of the classes that pass both counts."""
+    dealt = told.where("bucket is not null")
+    shared = dealt.select("bucket", "flush", "names", "owners").where("bucket >= 0").groupBy("bucket").applyInArrow(_met, _SHARED)
+    own = dealt.where("bucket = -1").select("flush", "names", "owners", "counts")
+    passed = own.union(shared.select("flush", F.lit(None).cast("binary").alias("names"), "owners", "counts")).groupBy("flush").applyInArrow(_passed, "class long")
+    passed = durable(passed, "passed")
+    left = texts.select("text").mapInArrow(_texts_of_classes(width), "class long, text string").join(passed, "class", "left_semi").dropDuplicates(["class"])
+    sets = durable(left.mapInArrow(_sets(width, flush), _SETS), "sets")
+    buckets = max(1, (sets.agg(F.sum("total")).first()[0] or 0) // share)
+    counted = sets.select("flush", "tokens").mapInArrow(_deal(buckets), _DEALT).groupBy("bucket").applyInArrow(_count, "flush long, bucket long, codes binary")
+    out = durable(sets.groupBy("flush").cogroup(counted.groupBy("flush")).applyInArrow(_prefixes(percent, buckets), _SURVIVOR), "survivors")
+    discard(passed, sets)
+    return out
 
 
-def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 75, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 75, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES, flush: int = FLUSH, share: int = RANGE) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``documents(doc_id, text)``; see the module's docstring."""
-    spark = ship(documents.sparkSession)
-    buckets = 2 * partitions(spark)
+    ship(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    run, schema = _classes(width)
-    told = durable(texts.mapInArrow(run, schema), "classes")
-    total = told.where("kind = 2").agg(F.sum("seen")).first()[0] or 0
-    often = told.where("kind = 1").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= max(HOT_LEAST, total // HOT_SHARE)).toPandas()
-    hot = _narrow(often["token"].to_numpy(np.int64).view(np.uint64), buckets)
-    order = np.argsort(hot)
-    dealt = texts.select("text").mapInArrow(_deal(width, buckets, hot[order], often["seen"].to_numpy(np.int64)[order]), _DEALT)
-    counted = dealt.groupBy("bucket").applyInArrow(_count(buckets), _DEALT)
-    survivors = durable(counted.groupBy("bucket").applyInArrow(_prefixes(percent), _SURVIVOR), "survivors")
-    roots = components(_links(survivors, percent, block, block_shingles))
-    rows = told.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "class")
+    # A word and its space take about six bytes, and a third of the shingles is dealt.
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    told = durable(texts.mapInArrow(_classes(width, percent, max(1, size // 18 // share), flush), _TOLD), "classes")
+    roots = components(_links(_survivors(texts, told, width, percent, flush, share), percent, block, block_shingles))
+    rows = told.where("bucket is null").select("doc_id", F.col("n").alias("n_shingles"), "class")
     least = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
-    rooted = least.join(roots, least["class"] == roots["node"], "left").select("class", "first", F.coalesce("root", "class").alias("root"))
-    joint = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(joint, "root").select(F.col("class").alias("key"), "component_id")
-    sets = rows.where("n_shingles > 0").join(named, F.col("class") == F.col("key"))
+    linked = least.join(roots, least["class"] == roots["node"]).select("class", "first", "root")
+    # The least doc_id of a component goes to SALTS places, so that a large component isn't one task's.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    joint = durable(linked.groupBy("root").agg(F.min("first").alias("component_id")), "joint").select("root", "component_id", salts)
+    named = linked.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int")).join(joint, ["root", "salt"]).select(F.col("class").alias("key"), "component_id")
+    alone = least.join(roots, least["class"] == roots["node"], "left_anti").select(F.col("class").alias("key"), F.col("first").alias("component_id"))
+    sets = rows.where("n_shingles > 0").join(named.union(alone), F.col("class") == F.col("key"))
     return sets.select("doc_id", "n_shingles", "component_id").union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

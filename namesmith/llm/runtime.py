@@ -47,8 +47,13 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that nothing will read again."""
+    for df in tables:
+        hadoop = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -47,11 +47,11 @@ def made(seed, groups=6, copies=14):
     return rows
 
 
-@pytest.mark.parametrize("seed,block", [(1, 1024), (2, 3), (3, 2)])
-def test_against_brute_force(spark, seed, block):
+@pytest.mark.parametrize("seed,block,flush,share", [(1, 1024, 1_000_000, 1_000_000), (2, 3, 300, 200), (3, 2, 50, 7)])
+def test_against_brute_force(spark, seed, block, flush, share):
     rows = made(seed)
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).selectExpr("*", "1 as n", "2 as class", "3 as token", "4 as pivot")
-    got = jaccard_components(df, block=block)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).selectExpr("*", "1 as n", "2 as class", "3 as token", "4 as pivot", "5 as bucket", "6 as flush")
+    got = jaccard_components(df, block=block, flush=flush, share=share)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
