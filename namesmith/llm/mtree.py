@@ -9,15 +9,19 @@ bound, leaves out cells beyond it by covering radius, and searches each block be
 triangle inequality leave out entries before any distance is computed. Bounds get a slack against rounding, and scores
 are exact integers, so the result is exact.
 
-Null vectors, vectors with null or non-finite components and those with a component of 2^28 or more after scaling
-(whose products could leave 64 bits), rows without an id and rows of another dimension than most take no part.
-Repeated ids: each row is a candidate and a query of its own; a query's own row means all rows of its id. An empty
-table gives an empty result.
+Scores come from double arithmetic where that is exact, else from 64-bit, else from unbounded integers; one that 64
+bits can't hold is ranked by its true value and given as the nearest value that they can. Null vectors, vectors with
+null or non-finite components (also if only ``scale`` times a component isn't finite) and rows without an id take no
+part. Vectors of different dimensions aren't compared: a query without another row of its dimension has no result.
+Ties go to the smaller vec_id. Repeated ids: each row is a candidate and a query of its own; a query's own row means
+all rows of its id. Long vectors are rows like others. An empty table gives an empty result; other columns of the input
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -25,34 +29,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import durable, ship
-from .vectors import matrix, sample, top, usable
+from .vectors import by_dimension, matrix, sample, top, usable
 
 SAMPLE, CELLS, BLOCK, PAGE, FANOUT = 2048, 64, 4096, 128, 8
-_SMALL, _MOST = 1 << 22, 1 << 28
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
+
+
+def arithmetic(a: np.ndarray, b: np.ndarray):
+    """The narrowest type in which inner products of rows (whole numbers as doubles) are exact."""
+    most = (float(np.abs(a).max()) if a.size else 0.0) * (float(np.abs(b).max()) if b.size else 0.0) * max(1, a.shape[-1])
+    return np.float64 if most < 2.0**53 else np.int64 if most < 2.0**62 else object
+
+
+def whole(x: np.ndarray, kind) -> np.ndarray:
+    """Doubles that are whole numbers in that type."""
+    return np.array([int(v) for v in x.ravel().tolist()], object).reshape(x.shape) if kind is object else x.astype(kind)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows (floating point only where it is exact)."""
-    if a.size and b.size and max(np.abs(a).max(), np.abs(b).max()) < _SMALL and a.shape[1] <= 256:
-        return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    """Exact inner products of rows of whole numbers given as doubles."""
+    kind = arithmetic(a, b)
+    return whole(a, kind) @ whole(b, kind).T
+
+
+def shrink(most: float) -> float:
+    """A power of two by which distances may be scaled so that squares of components up to ``most`` stay finite."""
+    return 1.0 if most < 2.0**400 else 2.0 ** (300 - math.frexp(most)[1])
+
+
+def scaled(score: int, factor: float) -> float:
+    """score * factor^2 for a whole number that may be too large for a double."""
+    e = max(0, int(score).bit_length() - 60)
+    return math.ldexp(float(int(score) >> e) * factor, e) * factor
 
 
 class Tree:
     """Nodes as arrays: routing object, covering radius, distance to the parent's object, children or page.
 
-    Rows are reordered so that a page is a slice; a node keeps its children's routing objects as one matrix.
+    Rows are reordered so that a page is a slice; a node keeps its children's routing objects as one matrix. Distances
+    are those of vectors times ``factor``.
     """
 
-    def __init__(self, x: np.ndarray, extra: np.ndarray, page: int = PAGE, fanout: int = FANOUT, seed: int = 3):
-        self.floats = bool(x.size == 0 or np.abs(x).max() < _SMALL and x.shape[1] <= 256)
-        self.x, self.extra = (x.astype(np.float64) if self.floats else x), extra
-        self.norm = (x.astype(np.float64) ** 2).sum(1)
+    def __init__(self, x: np.ndarray, extra: np.ndarray, page: int = PAGE, fanout: int = FANOUT, seed: int = 3, factor: float = 1.0):
+        self.whole, self.factor, self.extra = x.astype(np.float64), factor, extra
+        self.x = self.whole * factor
+        self.norm = (self.x**2).sum(1)
         self.routing, self.radius, self.to_parent, self.children, self.pages = [], [], [], [], []
         self.page, self.fanout, self.rng, order = page, fanout, np.random.default_rng(seed), []
         self.root = self._load(np.arange(len(x)), None, order)
         self.rows = np.concatenate(order) if order else np.zeros(0, np.int64)  # place in the pages -> row
-        self.paged, self.entry = self.x[self.rows], np.zeros(len(self.rows))
+        self.paged, self.entry = self.whole[self.rows], np.zeros(len(self.rows))
+        self.exact = {np.float64: self.paged}
         for node, page_ in enumerate(self.pages):
             if page_ is not None:
                 self.entry[page_[0] : page_[1]] = self.distances(self.routing[node], self.rows[page_[0] : page_[1]])
@@ -60,7 +87,7 @@ class Tree:
 
     def distances(self, a: int, rows: np.ndarray) -> np.ndarray:
         """From row a to other rows, in the space with the extra component."""
-        inner = self.x[rows].astype(np.float64) @ self.x[a].astype(np.float64)
+        inner = self.x[rows] @ self.x[a]
         return np.sqrt(np.maximum(self.norm[a] + self.norm[rows] - 2 * inner + (self.extra[a] - self.extra[rows]) ** 2, 0))
 
     def _load(self, rows: np.ndarray, parent: int | None, order: list) -> int:
@@ -85,21 +112,21 @@ class Tree:
             order.append(rows)
         return node
 
-    def search(self, q: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, bound: int, most: float):
-        """Rows of the k best scores >= ``bound`` (ties to smaller ids), and how many distances were computed.
+    def search(self, q: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, bound: int | None, most: float):
+        """(score, row) of the k best scores >= ``bound`` (ties to smaller ids), and how many distances were computed.
 
-        ``own``: mask of rows that don't count; ``most``: the squared norm M^2.
+        ``own``: mask of rows that don't count; ``most``: the squared norm M^2, of scaled vectors.
         """
-        if self.floats and q.size and np.abs(q).max() >= _SMALL:
-            self.floats, self.x, self.paged = False, self.x.astype(np.int64), self.paged.astype(np.int64)
-            self.below = [(b[0].astype(np.int64), *b[1:]) if b else None for b in self.below]
-        v = q.astype(self.x.dtype)
-        qq = float((q.astype(np.float64) ** 2).sum())
-        slack = 1e-6 * (1 + (qq + most) ** 0.25)
-        reach = lambda s: max(0.0, qq + most - 2.0 * s) ** 0.5 * (1 + 1e-9) + slack
+        kind = arithmetic(self.whole, q[None])
+        if kind not in self.exact:
+            self.exact[kind] = whole(self.paged, kind)
+        paged, v, y = self.exact[kind], whole(q, kind), q * self.factor
+        qq = float((y**2).sum())
+        slack = 1e-6 * (1 + (qq + most) ** 0.5)
+        reach = lambda s: max(0.0, qq + most - 2.0 * scaled(s, self.factor)) ** 0.5 * (1 + 1e-9) + slack
         best: list[tuple[int, int, int]] = []  # (score, -id, row), least first
-        limit, least_score, computed = reach(bound), bound, 1
-        d = max(0.0, qq + most - 2.0 * float(self.x[self.routing[self.root]] @ v)) ** 0.5
+        limit, least_score, computed = (math.inf, -math.inf, 1) if bound is None else (reach(bound), bound, 1)
+        d = max(0.0, qq + most - 2.0 * float(self.x[self.routing[self.root]] @ y)) ** 0.5
         queue = [(max(0.0, d - self.radius[self.root]), self.root, d)]
         while queue:
             least, node, d = heapq.heappop(queue)
@@ -110,13 +137,10 @@ class Tree:
                 near = np.flatnonzero(np.abs(self.entry[i:j] - d) <= limit)
                 if not len(near):
                     continue
-                score = self.paged[i:j] @ v if len(near) * 2 > j - i else self.paged[i + near] @ v
+                score = (paged[i:j] @ v)[near] if len(near) * 2 > j - i else paged[i + near] @ v
                 computed += len(near)
-                good = near[(score[near] if len(score) == j - i else score) >= least_score]
-                if not len(good):
-                    continue
-                rows = self.rows[i + good]
-                for r, s in zip(rows.tolist(), (self.paged[i + good] @ v).tolist()):
+                good = np.flatnonzero(score >= least_score)
+                for r, s in zip(self.rows[i + near[good]].tolist(), score[good].tolist()):
                     if own[r]:
                         continue
                     entry = (int(s), -int(ids[r]), r)
@@ -131,31 +155,33 @@ class Tree:
             vectors, radius, to_parent = self.below[node]
             able = np.flatnonzero(np.abs(to_parent - d) - radius <= limit)
             if len(able):
-                to = np.sqrt(np.maximum(0.0, qq + most - 2.0 * (vectors[able] @ v)))
+                to = np.sqrt(np.maximum(0.0, qq + most - 2.0 * (vectors[able] @ y)))
                 computed += len(able)
                 low = to - radius[able]
                 for c, t, l in zip(able.tolist(), to.tolist(), low.tolist()):
                     if l <= limit:
                         heapq.heappush(queue, (max(0.0, l), self.children[node][c], t))
-        return [r for _, _, r in sorted(best, reverse=True)], computed
+        return [(s, r) for s, _, r in sorted(best, reverse=True)], computed
 
 
-def _placer(pivots: np.ndarray):
+def _placer(pivots: np.ndarray, factor: float):
     """Cell of each row, and its distance to the cell's pivot."""
-    own = (pivots.astype(np.float64) ** 2).sum(1)
+    centre = pivots * factor
+    own = (centre**2).sum(1)
 
     def run(batches):
         for batch in batches:
-            x = matrix(batch.column("embedding"))
-            square = (x * x).sum(1)[:, None] + own - 2 * x @ pivots.T.astype(np.float64)
+            x = matrix(batch.column("embedding")) * factor
+            norm = (x * x).sum(1)
+            square = norm[:, None] + own - 2 * x @ centre.T
             cell = square.argmin(1)
-            d = np.sqrt(np.maximum(square[np.arange(len(x)), cell], 0))
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("copy"), pa.array(x.astype(np.int64).tolist(), pa.list_(pa.int64())), pa.array((x * x).sum(1)), pa.array(cell.astype(np.int32)), pa.array(d)], names=["vec_id", "copy", "embedding", "norm", "cell", "d"])
+            d = np.sqrt(((x - centre[cell]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("copy"), batch.column("embedding"), pa.array(norm), pa.array(cell.astype(np.int32)), pa.array(d)], names=["vec_id", "copy", "embedding", "norm", "cell", "d"])
 
     return run
 
 
-def _asker(pivots: np.ndarray, cells: dict[int, tuple[float, float]], ids: np.ndarray, points: np.ndarray, k: int):
+def _asker(pivots: np.ndarray, cells: dict[int, float], ids: np.ndarray, points: np.ndarray, k: int, factor: float):
     """For each query its bound from the sample and the cells that can hold as good a score.
 
     In a cell of pivot p and radius r (plain distance), q.v <= q.p + |q| r.
@@ -165,59 +191,79 @@ def _asker(pivots: np.ndarray, cells: dict[int, tuple[float, float]], ids: np.nd
 
     def run(batches):
         for batch in batches:
-            q = np.rint(matrix(batch.column("embedding"))).astype(np.int64)
-            score = products(q, points)
-            score[batch.column("query_id").to_numpy()[:, None] == ids[None, :]] = -(1 << 62)
-            order = -np.sort(-score, 1)
-            bound = order[:, k - 1] if order.shape[1] >= k else np.full(len(q), -(1 << 62))
-            length = np.sqrt((q.astype(float) ** 2).sum(1))
-            reach = q.astype(float) @ pivots[known].T.astype(float) + length[:, None] * radius * (1 + 1e-9) + 1.0
-            able = [known[r >= b].astype(np.int32) for r, b in zip(reach, bound.astype(float))]
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("q"), pa.array(q.tolist(), pa.list_(pa.int64())), pa.array(bound), pa.array(able, pa.list_(pa.int32()))], names=["query_id", "q", "embedding", "bound", "cells"])
+            q = matrix(batch.column("embedding"))
+            y = q * factor
+            length = np.sqrt((y * y).sum(1))
+            reach = y @ (pivots[known] * factor).T + length[:, None] * radius * (1 + 1e-9)
+            reach += 1e-9 * (1 + length[:, None] * (radius + np.sqrt(((pivots[known] * factor) ** 2).sum(1)))) + 1.0
+            score, bounds, able = products(q, points), [], []
+            for i, name in enumerate(batch.column("query_id").to_pylist()):
+                others = score[i][ids != name]
+                bound = None
+                if len(others) >= k:
+                    bound = int(sorted(others.tolist())[-k]) if others.dtype == object else int(np.partition(others, len(others) - k)[len(others) - k])
+                    bound = min(bound, _MOST) if bound >= _LEAST else None  # a smaller bound is as right
+                bounds.append(bound)
+                able.append(known.astype(np.int32) if bound is None else known[reach[i] >= scaled(bound, factor)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("q"), batch.column("embedding"), pa.array(bounds, pa.int64()), pa.array(able, pa.list_(pa.int32()))], names=["query_id", "q", "embedding", "bound", "cells"])
 
     return run
 
 
-def _searcher(k: int, most: float):
-    schema = pa.schema([("query_id", pa.int64()), ("q", pa.int64()), ("vec_id", pa.int64()), ("copy", pa.int64()), ("score", pa.int64())])
+_FOUND = "query_id long, q long, vec_id long, copy long, score long, high string"
+
+
+def _searcher(k: int, most: float, factor: float):
+    schema = pa.schema([(x, pa.int64()) for x in ("query_id", "q", "vec_id", "copy", "score")] + [("high", pa.string())])
 
     def run(rows, queries):
         out = []
         if len(rows) and len(queries):
-            ids, copy, x = rows["vec_id"].to_numpy(), rows["copy"].to_numpy(), np.rint(matrix(rows["embedding"])).astype(np.int64)
-            extra = np.sqrt(np.maximum(most - (x.astype(np.float64) ** 2).sum(1), 0))
-            tree = Tree(x, extra)
-            y = np.rint(matrix(queries["embedding"])).astype(np.int64)
-            for name, number, bound, q in zip(queries["query_id"].to_pylist(), queries["q"].to_pylist(), queries["bound"].to_pylist(), y):
-                found, _ = tree.search(q, ids == name, ids, k, bound if bound is not None and bound > -(1 << 62) else -(1 << 62), most)
-                score = products(x[found], q[None])[:, 0] if found else []
-                out += [(name, number, ids[r], copy[r], s) for r, s in zip(found, score)]
+            ids, copy, x = rows["vec_id"].to_numpy(), rows["copy"].to_numpy(), matrix(rows["embedding"])
+            extra = np.sqrt(np.maximum(most - ((x * factor) ** 2).sum(1), 0))
+            tree = Tree(x, extra, factor=factor)
+            for name, number, bound, q in zip(queries["query_id"].to_pylist(), queries["q"].to_pylist(), queries["bound"].to_pylist(), matrix(queries["embedding"])):
+                for s, r in tree.search(q, ids == name, ids, k, bound, most)[0]:
+                    out.append((name, number, ids[r], copy[r], min(max(s, _LEAST), _MOST), None if _LEAST <= s <= _MOST else sortable(s)))
         return pa.Table.from_arrays([pa.array([o[c] for o in out], f.type) for c, f in enumerate(schema)], schema=schema)
 
     return run
 
 
+def sortable(score: int) -> str:
+    """Text that is larger for larger whole numbers beyond 64 bits of one sign."""
+    digits = f"{abs(score):x}"
+    text = f"{len(digits):05d}{digits}"
+    return text if score > 0 else text.translate({ord(a): b for a, b in zip("0123456789abcdef", "fedcba9876543210")})
+
+
+_RESULT = "query_id long, rank int, vec_id long, score long"
+
+
 def neighbours(embeddings: DataFrame, every: int = 50, k: int = 5, scale: int = 256, block: int = BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k highest inner products of every row whose id is divisible by ``every``."""
-    spark = ship(embeddings.sparkSession)
-    rows = usable(embeddings, "vec_id", "embedding", False).where("vec_id is not null")
-    rows = rows.withColumn("embedding", F.transform("embedding", lambda x: F.floor(x * scale).cast("double"))).where(F.forall("embedding", lambda x: F.abs(x) < _MOST))
+    ship(embeddings.sparkSession)
+    # Doubles of 2^52 and more are whole numbers, and floor() gives 64-bit integers.
+    down = lambda x: F.when(F.abs(x * scale) < 2.0**52, F.floor(x * scale).cast("double")).otherwise(x * scale)
+    rows = usable(embeddings, "vec_id", "embedding", False).where("vec_id is not null").withColumn("embedding", F.transform("embedding", down))
+    return by_dimension(usable(rows, "vec_id", "embedding", False), lambda own, _: _neighbours(own, every, k, block), _RESULT)
+
+
+def _neighbours(rows: DataFrame, every: int, k: int, block: int) -> DataFrame:
     ids, points = sample(rows, SAMPLE)
-    if not len(points):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    rows = rows.where(F.size("embedding") == points.shape[1]).withColumn("copy", F.monotonically_increasing_id())
-    points = points.astype(np.int64)
+    total, largest = rows.agg(F.count("*"), F.max(F.array_max(F.transform("embedding", F.abs)))).first()
+    factor = shrink(largest)
+    rows = rows.withColumn("copy", F.monotonically_increasing_id())
     distinct = np.unique(points, axis=0)
-    total = rows.count()
     pivots = distinct[np.random.default_rng(5).permutation(len(distinct))[: max(1, min(CELLS, total // block))]]
-    placed = durable(rows.mapInArrow(_placer(pivots), "vec_id long, copy long, embedding array<long>, norm double, cell int, d double"), "cells")
+    placed = durable(rows.mapInArrow(_placer(pivots, factor), "vec_id long, copy long, embedding array<double>, norm double, cell int, d double"), "cells")
     told = placed.groupBy("cell").agg(F.max("d").alias("radius"), F.count("*").alias("n"), F.max("norm").alias("most")).collect()  # at most CELLS rows
     most = max(r["most"] for r in told)
     pieces = F.create_map(*[F.lit(x) for r in told for x in (r["cell"], -(-r["n"] // block))])
     queries = placed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("copy").alias("q"), "embedding")
-    asked = queries.mapInArrow(_asker(pivots, {r["cell"]: r["radius"] for r in told}, ids, points, k), "query_id long, q long, embedding array<long>, bound long, cells array<int>")
+    asked = queries.mapInArrow(_asker(pivots, {r["cell"]: r["radius"] for r in told}, ids, points, k, factor), "query_id long, q long, embedding array<double>, bound long, cells array<int>")
     asked = asked.select("query_id", "q", "embedding", "bound", F.explode("cells").alias("cell"))
     asked = asked.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces[F.col("cell")].cast("long") - 1)))
     blocks = placed.withColumn("piece", F.pmod(F.xxhash64("copy"), pieces[F.col("cell")].cast("long"))).select("cell", "piece", "vec_id", "copy", "embedding")
-    scores = blocks.groupBy("cell", "piece").cogroup(asked.groupBy("cell", "piece")).applyInArrow(_searcher(k, most), "query_id long, q long, vec_id long, copy long, score long")
-    return top(scores, k)
+    scores = blocks.groupBy("cell", "piece").cogroup(asked.groupBy("cell", "piece")).applyInArrow(_searcher(k, most, factor), _FOUND)
+    return top(scores, k, F.desc_nulls_last("high"))

@@ -25,20 +25,29 @@ def matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def by_dimension(rows: DataFrame, search, schema: str) -> DataFrame:
+    """Union of ``search(rows of one dimension, that dimension)``: vectors of different dimensions aren't compared."""
+    out = rows.sparkSession.createDataFrame([], schema)
+    for (d,) in sorted(rows.select(F.size("embedding")).distinct().collect()):  # one number for each dimension that occurs
+        out = out.union(search(rows.where(F.size("embedding") == d), d))
+    return out
+
+
 def sample(rows: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of at most ``limit`` rows, those of least hash: a uniform sample. Of several dimensions the most frequent counts."""
+    """Ids and vectors of at most ``limit`` rows of one dimension, those of least hash: a uniform sample."""
     got = rows.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(limit).toPandas()
     if not len(got):
         return np.zeros(0, np.int64), np.zeros((0, 0))
-    sizes = got["embedding"].map(len)
-    got = got[sizes == sizes.mode().max()]
     return got["vec_id"].to_numpy(), np.stack([np.asarray(v, float) for v in got["embedding"]])
 
 
-def top(scores: DataFrame, k: int) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: each query's k best of ``(query_id, q, vec_id, score)``; q tells repeated queries apart."""
+def top(scores: DataFrame, k: int, *then) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: each query's k best of ``(query_id, q, vec_id, score)``; q tells repeated queries apart.
+
+    ``then``: an order among equal scores that comes before vec_id.
+    """
     from pyspark.sql import Window
 
-    order = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id", "copy")
+    order = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), *then, "vec_id", "copy")
     ranked = scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

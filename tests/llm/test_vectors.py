@@ -60,9 +60,9 @@ def test_mtree_prunes():
     ids, own = np.arange(4000), np.zeros(4000, bool)
     spent = 0
     for q in x[:50]:
-        found, computed = tree.search(q, own, ids, 5, -(1 << 62), most)
+        found, computed = tree.search(q.astype(float), own, ids, 5, None, most)
         s = x @ q
-        assert s[found].tolist() == s[np.lexsort((ids, -s))[:5]].tolist()
+        assert [f for f, _ in found] == s[np.lexsort((ids, -s))[:5]].tolist()
         spent += computed
     assert spent < 50 * 4000 / 2
 
@@ -81,7 +81,7 @@ def test_forest(spark, block):
 
 def test_forest_recall_on_isotropic_vectors(spark):
     d = spark.read.parquet(f"{SF}/embeddings.parquet")
-    got = rows_of(ann.neighbours(d, leaf=24))
+    got = rows_of(ann.neighbours(d))
     t = d.toPandas()
     x = np.stack(t["embedding"].map(lambda v: np.asarray(v, float)))
     x /= np.sqrt((x * x).sum(1, keepdims=True))
@@ -100,3 +100,40 @@ def test_few_and_none(spark):
         got = rows_of(module.neighbours(df))
         assert [i for i, _ in got[0]] == [50, 1] and [i for i, _ in got[50]] in ([0, 1], [1, 0])
         assert module.neighbours(df.limit(0)).count() == 0
+
+
+def test_wide_components(spark):
+    """Components whose products leave doubles, 64 bits or doubles' range of squares; brute force by Python's integers."""
+    r = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in r.normal(size=3) * 2.0 ** r.integers(0, e)]) for i, e in enumerate([4] * 60 + [40] * 60 + [70] * 60 + [900] * 21)]
+    rows += [(250, [2.0**20, 0.0, 0.0]), (251, [2.0**21, 1.0, 0.0])]
+    for part in (rows[:60], rows[:120], rows[:180], rows):
+        got = rows_of(mtree.neighbours(spark.createDataFrame(part, "vec_id long, embedding array<double>"), block=50))
+        whole = {i: [int(np.floor(256 * x)) if abs(x) < 2**40 else int(x) * 256 for x in v] for i, v in part}
+        for q in [i for i in whole if i % 50 == 0]:
+            score = sorted(((sum(a * b for a, b in zip(whole[q], v)), -i) for i, v in whole.items() if i != q), reverse=True)[:5]
+            assert got[q] == [(-i, min(max(s, -(1 << 63)), (1 << 63) - 1)) for s, i in score]
+
+
+def test_several_dimensions(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(1, 100)] + [(200 + i, [1.0, 2.0, float(i)]) for i in range(4)] + [(300, [1.0] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for module in (ann, mtree):
+        got = rows_of(module.neighbours(df))
+        assert set(got) == {50, 200} and {i for i, _ in got[200]} == {201, 202, 203} and len(got[50]) == 5
+
+
+def test_each_candidate_is_scored_once():
+    r = np.random.default_rng(2)
+    x = ann.unit(r.normal(size=(3000, 24)))
+    trees = ann.forest(x, len(x))
+    leaves = np.stack([t.leaf(x) for t in trees], 1)
+    counts = [np.bincount(leaves[:, t], minlength=tree.leaves) for t, tree in enumerate(trees)]
+    offsets = np.r_[0, np.cumsum([len(c) for c in counts])]
+    wanted = np.zeros((20, offsets[-1]), bool)
+    for i in range(20):
+        for t, leaf in ann.search(x[i], trees, counts, ann.SHARE * len(x)):
+            wanted[i, offsets[t] + leaf] = True
+    scored = sum(ann.fresh(wanted, leaves + offsets[:-1], t).astype(int) for t in range(len(trees)))
+    reached = sum(wanted[:, leaves[:, t] + offsets[t]].astype(int) for t in range(len(trees)))
+    assert scored.max() == 1 and (scored == (reached > 0)).all() and scored.mean() < 0.9
