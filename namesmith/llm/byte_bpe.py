@@ -3,16 +3,17 @@
 Texts are split by the vocabulary's pattern. Distinct pieces that a worker doesn't know yet are dealt into buckets by
 length and become rows of a padded matrix of ids. Each round finds every row's leftmost pair of least rank, replaces
 it, closes the gap (compaction along the row) and takes finished rows out (compaction of rows). Ranks of pairs come from
-an open-addressing hash table in numpy arrays, built from all splits of all tokens into two tokens. Pieces of more than
-``LONG`` bytes, where a row costs its length squared, merge in the same order with a heap over a linked list.
+an open-addressing hash table in numpy arrays, built from all splits of all tokens into two tokens. A piece of more than
+``LONG`` bytes is a matrix of one row, which in a round makes all those merges of its least rank, from the left, that
+one a round would make one after the other: up to the first that brings about a pair of lesser rank.
 
 Null text counts as empty: no ids. Null doc_ids and repeated rows keep their rows; an empty table gives an empty result.
+Other columns of the input are ignored, whatever their names. Very long texts are split and merged like others.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from functools import lru_cache
 from itertools import chain
 
@@ -116,33 +117,29 @@ class Encoder:
             rank[here[ahead], at[ahead]] = self.pairs(ids[here[ahead], at[ahead]], ids[here[ahead], at[ahead] + 1])
 
     def _long(self, piece: bytes) -> np.ndarray:
-        """The same merges, leftmost least rank first, over a linked list."""
-        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(ids)
-        after, before, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        known: dict[tuple[int, int], int] = {}
-
-        def rank(a: int, b: int) -> int:
-            if (a, b) not in known:
-                known[a, b] = int(self.pairs(np.array([a]), np.array([b]))[0])
-            return known[a, b]
-
-        first = self.pairs(np.array(ids[:-1]), np.array(ids[1:])).tolist()
-        heap = [(r, i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r < NONE]
-        heapq.heapify(heap)
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if not live[i] or j >= n or ids[i] != a or ids[j] != b:
-                continue
-            ids[i], live[j], after[i] = r, False, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (q := rank(r, ids[after[i]])) < NONE:
-                    heapq.heappush(heap, (q, i, r, ids[after[i]]))
-            if before[i] >= 0 and (q := rank(ids[before[i]], r)) < NONE:
-                heapq.heappush(heap, (q, before[i], ids[before[i]], r))
-        return np.array([x for x, on in zip(ids, live) if on], np.uint32)
+        """Ids of one long piece."""
+        ids = self.byte_ids[np.frombuffer(piece, np.uint8)]
+        rank = self.pairs(ids[:-1], ids[1:])
+        while len(rank) and (least := rank.min()) < NONE:
+            at = np.flatnonzero(rank == least)
+            # Of overlapping pairs every second one, from the left of their run.
+            run = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0]
+            left = np.where(at > 0, ids[at - 1], -1)
+            left[1:] = np.where(at[1:] == at[:-1] + 2, least, left[1:])  # the merge before is its neighbour
+            right = np.where(at + 2 < len(ids), ids[np.minimum(at + 2, len(ids) - 1)], -1)
+            merged = np.full(len(at), least)
+            lesser = np.flatnonzero((self.pairs(left, merged) < least) | (self.pairs(merged, right) < least))
+            at = at[: lesser[0] + 1] if len(lesser) else at
+            ids[at] = least
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, rank = ids[keep], np.r_[rank, NONE][keep][:-1]
+            at -= np.arange(len(at))
+            near = np.unique(np.r_[at - 1, at])
+            near = near[(near >= 0) & (near < len(rank))]
+            rank[near] = self.pairs(ids[near], ids[near + 1])
+        return ids.astype(np.uint32)
 
     def pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece."""

@@ -10,12 +10,14 @@ language's share of marginal mass over typical words only, out of all words: the
 
 Training takes at most ``PER_LANGUAGE`` documents a language (``SAMPLE`` in all, least key hash first) that aren't held
 out, and ``WORDS`` words from places spread over each; they are spliced into sequences that switch language now and
-then, so the transitions are learned from switches too. Prediction reads every word; sequences of more than ``CHAIN``
-words are decoded in pieces of that many words.
+then, so the transitions are learned from switches too. Prediction reads every word; a text of more than ``CHAIN`` words
+is decoded in pieces that move side by side, and each piece begins and ends with the exact messages of its neighbours,
+so the marginals are those of the uncut chain.
 
 A word is a run of letters (ASCII letters and bytes from 0x80), lower-cased. Null text or text without a letter:
-``und`` with score 0. Null doc_ids and repeated rows keep their rows; without anything to learn from, all is ``und``;
-an empty table gives an empty result.
+``und`` with score 0. Of equally likely languages the alphabetically first counts. Null doc_ids and repeated rows keep
+their rows; without anything to learn from, all is ``und``; an empty table gives an empty result. Other columns of the
+input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -105,13 +107,15 @@ def typical_words(words: Words, document: np.ndarray, y: np.ndarray, n: int) ->
     return gram_scores(words, words.of, y, n), least
 
 
-def forward_backward(emissions: np.ndarray, transitions: np.ndarray, first: np.ndarray, length: np.ndarray, pairs: bool = False):
+def forward_backward(emissions: np.ndarray, transitions: np.ndarray, first: np.ndarray, length: np.ndarray, pairs: bool = False, before: np.ndarray | None = None, after: np.ndarray | None = None):
     """Marginals of every position (sequences lie at first[i] .. first[i] + length[i]); all sequences move together.
 
-    With ``pairs`` also the expected transition counts and the log-likelihood's normaliser.
+    With ``pairs`` also the expected transition counts. ``before`` and ``after``: for each sequence the message into its
+    first position and out of what follows its last one, where it is part of a longer chain.
     """
     order = np.argsort(-length, kind="stable")
     first, length = first[order], length[order]
+    before, after = (None if x is None else x[order].astype(np.float32) for x in (before, after))
     top = emissions.max(1, keepdims=True) if len(emissions) else emissions
     e, move = np.exp(emissions - top).astype(np.float32), np.exp(transitions).astype(np.float32)
     longest = int(length[0]) if len(length) else 0
@@ -121,7 +125,7 @@ def forward_backward(emissions: np.ndarray, transitions: np.ndarray, first: np.n
     for t in range(longest):
         k = alive[t]
         at = first[:k] + t
-        state = e[at] if state is None else (state[:k] @ move) * e[at]
+        state = (e[at] if before is None else before * e[at]) if state is None else (state[:k] @ move) * e[at]
         total = state.sum(1)
         state = state / total[:, None]
         alpha[at], scale[at] = state, total
@@ -129,7 +133,7 @@ def forward_backward(emissions: np.ndarray, transitions: np.ndarray, first: np.n
     for t in range(longest - 1, -1, -1):
         k = alive[t]
         at = first[:k] + t
-        grown = np.ones((k, e.shape[1]), np.float32)
+        grown = np.ones((k, e.shape[1]), np.float32) if after is None else after[:k].copy()
         if state is not None:
             later = (first[: len(state)] + t + 1)
             message = state * e[later]
@@ -144,6 +148,41 @@ def forward_backward(emissions: np.ndarray, transitions: np.ndarray, first: np.n
     return (alpha, expected) if pairs else alpha
 
 
+def chains(emissions: np.ndarray, transitions: np.ndarray, first: np.ndarray, length: np.ndarray, chain: int = CHAIN) -> np.ndarray:
+    """Marginals of every position, as ``forward_backward`` gives them, with long sequences cut into pieces of ``chain``.
+
+    A piece's transfer matrix tells how it passes on any message; from these, each piece's messages at both ends follow.
+    """
+    pieces = -(-length // chain)
+    owner = np.repeat(np.arange(len(length)), pieces)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin, size = first[owner] + nth * chain, np.minimum(length[owner] - nth * chain, chain)
+    if not len(owner) or pieces.max() == 1:
+        return forward_backward(emissions, transitions, begin, size)
+    n = emissions.shape[1]
+    before, after = np.ones((len(owner), n)), np.ones((len(owner), n))
+    move = np.exp(transitions)
+    cut = np.flatnonzero(pieces[owner] > 1)
+    order = cut[np.argsort(-size[cut], kind="stable")]
+    alive = np.searchsorted(-size[order], -np.arange(size[order[0]]), "left")
+    transfer = np.zeros((len(owner), n, n))
+    state = np.repeat(np.eye(n)[None], len(order), 0)
+    for t, k in enumerate(alive):
+        e = emissions[begin[order[:k]] + t]
+        state = (state[:k] if t == 0 else state[:k] @ move) * np.exp(e - e.max(1, keepdims=True))[:, None, :]
+        state /= state.sum((1, 2), keepdims=True)
+        transfer[order[:k]] = state
+    for i in np.flatnonzero(nth == 0):
+        last = i + pieces[owner[i]] - 1
+        for p in range(i, last):
+            message = before[p] @ transfer[p] @ move
+            before[p + 1] = message / message.sum()
+        for p in range(last, i, -1):
+            message = move @ (transfer[p] @ after[p])
+            after[p - 1] = message / message.sum()
+    return forward_backward(emissions, transitions, begin, size, before=before, after=after)
+
+
 def train(texts: list[bytes], languages: list[str], seed: int = 7) -> dict:
     """A model from texts of one language each."""
     names = sorted(set(languages))
@@ -260,12 +299,7 @@ def _marginals(model: dict, column: pa.Array):
         emission = words.emissions(*model["parameters"][:3])[words.of]
         grams, least = model["typical"]
         typical = (word_scores(words, grams) >= least)[words.of]
-        size = np.diff(first)
-        pieces = -(-size // CHAIN)
-        owner = np.repeat(np.arange(len(size)), pieces)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = first[:-1][owner] + nth * CHAIN
-        yield forward_backward(emission, model["parameters"][3], begin, np.minimum(size[owner] - nth * CHAIN, CHAIN)), typical, first, starts, ends, part, cut
+        yield chains(emission, model["parameters"][3], first[:-1], np.diff(first)), typical, first, starts, ends, part, cut
 
 
 def _has_letter(part: np.ndarray, cut: np.ndarray) -> np.ndarray:

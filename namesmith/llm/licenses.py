@@ -14,7 +14,9 @@ match), so this loses none. Bigrams are told apart by 64-bit hashes.
 Per document: its best template, that Dice and the number of lines that match a notice as a whole; a notice or body
 inside a longer line, or over several, counts no line. A body comes before any notice, as notices are parts of bodies;
 then the larger Dice wins, ties go to the alphabetically first. A body's name is that of its file and ``-text``. Null
-and empty texts and those of fewer than two words match nothing. Null doc_ids and repeated rows keep their rows.
+and empty texts and those of fewer than two words match nothing. Very long texts have more windows. Null doc_ids and
+repeated rows keep their rows; an empty table gives an empty result. Other columns of the input are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

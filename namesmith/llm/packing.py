@@ -12,8 +12,13 @@ and its rank among all pieces of that length. So the number of sequences depends
 on how they are dealt to tasks, and memory is bounded by the number of lengths. Sequence numbers begin at 0.
 
 A word, or part of one that the tokenizer would cut off anyway, is tokenised once per worker and its ids are reused,
-which gives the same ids as the whole text, since the tokenizer's pieces span neither white space nor such cuts. Null text counts as empty: one piece, id 0 alone.
-Null doc_ids and repeated rows get their own pieces; an empty table gives an empty result.
+which gives the same ids as the whole text, since the tokenizer's pieces span neither white space nor such cuts; units
+are told apart by their bytes. A text that holds a special token's string is tokenised as a whole, in which the
+tokenizer's own call makes it that token (``ordinary``: its characters instead).
+
+Null text counts as empty: one piece, id 0 alone. Very long texts are cut like others. Null doc_ids and repeated rows
+get their own pieces. Ties: of equally good sequences the one begun first. An empty table gives an empty result. Other
+columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -67,22 +72,31 @@ def unit_spans(raw: np.ndarray, offsets: np.ndarray):
     return starts, ends, letters[ends] - letters[starts] == ends - starts, np.searchsorted(starts, offsets)
 
 
+def _eight(raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes at ``at``, ``size`` of them but 8 at most, as numbers."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(8):
+        out |= np.where(k < size, raw[np.minimum(at + k, max(len(raw) - 1, 0))], 0).astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
 class WordIds:
     """Ids of units of text, kept from slice to slice up to a bounded number of units."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ordinary: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.own = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.special = [] if ordinary else [t.content.encode() for t in self.own.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self):
-        self.place: dict[int, int] = {}
+        self.place: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
         self.start, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
@@ -91,7 +105,7 @@ class WordIds:
         count = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
 
-    def _add(self, hashes: list[int], units: list[str], letters: bool):
+    def _add(self, keys: list[bytes], units: list[str], letters: bool):
         if letters:  # each is one word to the tokenizer, so its ids end where a word-end id stands
             ids, _ = self._encoded([" ".join(units[i : i + 500]) for i in range(0, len(units), 500)])
             count = np.diff(np.r_[-1, np.flatnonzero(self.ends_word[ids])])
@@ -106,24 +120,44 @@ class WordIds:
             self.start, self.count = (np.concatenate([x, np.zeros(max(len(x), len(units)), np.int64)]) for x in (self.start, self.count))
         self.flat[self.used : self.used + len(ids)] = ids
         self.start[k : k + len(units)], self.count[k : k + len(units)] = self.used + np.cumsum(count) - count, count
-        self.place.update(zip(hashes, range(k, k + len(units))))
+        self.place.update(zip(keys, range(k, k + len(units))))
         self.used += len(ids)
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All documents' ids, each closed by id 0, and their bounds."""
+        text = raw.tobytes()
+        ids, bounds = self._by_units(text, raw, offsets)
+        whole = {int(np.searchsorted(offsets, at, "right")) - 1 for t in self.special for at in _found(text, t)}
+        if whole:
+            parts = [ids[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
+            for d in whole:
+                parts[d] = np.array([*self.own.encode(text[offsets[d] : offsets[d + 1]].decode(), add_special_tokens=False).ids, 0], np.uint32)
+            ids, bounds = np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])]
+        return ids, bounds
+
+    def _by_units(self, text: bytes, raw: np.ndarray, offsets: np.ndarray):
         starts, ends, letters, first = unit_spans(raw, offsets)
         hashes, at, of = np.unique(span_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64), return_index=True, return_inverse=True)
-        if len(self.place) + len(hashes) > CACHED_WORDS:
+        size, same = ends - starts, at[of]
+        equal = size == size[same]
+        for x in (starts, np.maximum(ends - 8, starts)):
+            parts = _eight(raw, x, size)
+            equal &= parts == parts[same]
+        long = np.flatnonzero(equal & (size > 16))
+        spans = zip(long.tolist(), starts[long].tolist(), ends[long].tolist(), starts[same[long]].tolist(), ends[same[long]].tolist())
+        other = np.r_[np.flatnonzero(~equal), np.array([k for k, i, j, a, b in spans if text[i:j] != text[a:b]], np.int64)].astype(np.int64)
+        if len(other):  # equal hashes of different units: each occurrence stands for itself
+            of[other] = len(at) + np.arange(len(other))
+            at = np.r_[at, other]
+        keys = [text[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())]
+        if len(self.place) + len(keys) > CACHED_WORDS:
             self.clear()
-        keys = hashes.tolist()
         place = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
         if (place < 0).any():
-            text = raw.tobytes()
             for kind in (True, False):
-                new = np.flatnonzero((place < 0) & (letters[at] == kind)).tolist()
+                new = list({keys[k]: None for k in np.flatnonzero((place < 0) & (letters[at] == kind)).tolist()})
                 if new:
-                    units = [text[i:j].decode("utf-8", "replace") for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
-                    self._add([keys[k] for k in new], units, kind)
+                    self._add(new, [u.decode("utf-8", "replace") for u in new], kind)
             place = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
         place = place[of]
         count = self.count[place]
@@ -137,10 +171,17 @@ class WordIds:
         return out, bounds + np.arange(documents + 1)
 
 
+def _found(text: bytes, part: bytes):
+    at = text.find(part)
+    while at >= 0:
+        yield at
+        at = text.find(part, at + 1)
+
+
 @lru_cache(2)
-def worker_words(path: str) -> WordIds:
+def worker_words(path: str, ordinary: bool) -> WordIds:
     """One tokenizer for all tasks of a worker process; ids of units are kept for a task only."""
-    return WordIds(path)
+    return WordIds(path, ordinary)
 
 
 def best_fit(demand: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule: str = "norm") -> np.ndarray:
@@ -215,11 +256,11 @@ _SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequ
 _NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
-def _cutter(path: str, capacity: int):
+def _cutter(path: str, capacity: int, ordinary: bool):
     """Pieces of documents, each with its task and its rank among the task's pieces of its length."""
 
     def run(batches):
-        encode = worker_words(path)
+        encode = worker_words(path, ordinary)
         context = TaskContext.get()
         task = context.partitionId() if context else 0
         seen = [0] * (capacity + 1)
@@ -256,7 +297,7 @@ def _placer(places: np.ndarray):
     return run
 
 
-def pack(documents: DataFrame, path: str, capacity: int = CAPACITY, most_documents: int = CAPACITY, most_cost: float = CAPACITY * CAPACITY, weights=WEIGHTS, rule: str = "norm") -> DataFrame:
+def pack(documents: DataFrame, path: str, capacity: int = CAPACITY, most_documents: int = CAPACITY, most_cost: float = CAPACITY * CAPACITY, weights=WEIGHTS, rule: str = "norm", ordinary: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of every piece of ``documents(doc_id, text)``.
 
     The default bounds on documents and attention cost never bind before that on tokens does; smaller ones must leave
@@ -266,7 +307,7 @@ def pack(documents: DataFrame, path: str, capacity: int = CAPACITY, most_documen
         raise ValueError("a single full piece must fit a sequence")
     ship(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = durable(rows.mapInArrow(_cutter(path, capacity), _PIECES), "pieces")
+    pieces = durable(rows.mapInArrow(_cutter(path, capacity, ordinary), _PIECES), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = sorted(((r["length"], r["n"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()), reverse=True)
     places = plan([x for x, _ in histogram], [n for _, n in histogram], capacity, most_documents, most_cost, weights, rule)

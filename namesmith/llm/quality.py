@@ -6,8 +6,12 @@ blocks of ``BLOCK`` bytes (all of them: whole texts count), each block is compre
 logistic fit on labelled rows that the dictionaries haven't seen turns it into a calibrated score.
 
 At most ``SAMPLE`` labelled rows that aren't held out are used, of which every second one goes into the dictionaries
-and the others into the calibration. Null and empty texts have difference 0. Null doc_ids and repeated rows keep
-their rows; without labels of both kinds every score is 0.5; an empty table gives an empty result.
+and the others into the calibration; of a longer text, ``FIT_BLOCKS`` blocks from evenly spread places. So at most
+SAMPLE * FIT_BLOCKS * BLOCK bytes come to the driver. Scoring reads every block of every text.
+
+Null and empty texts have difference 0. Very long texts are more blocks. Null doc_ids and repeated rows keep their rows;
+without labels of both kinds every score is 0.5; an empty table gives an empty result. Other columns of the input are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from .labelled import labelled_texts, logistic, sigmoid
 from .runtime import holds_out, ship
 from .shingles import utf8_buffers
 
-SAMPLE, BLOCK, DICTIONARY, LEVEL = 4000, 4096, 96 << 10, 3
+SAMPLE, FIT_BLOCKS, BLOCK, DICTIONARY, LEVEL = 4000, 16, 4096, 96 << 10, 3
 
 
 def build(texts: list[bytes], size: int = DICTIONARY) -> bytes:
@@ -58,11 +62,25 @@ def difference(column: pa.Array, good: zstandard.ZstdCompressor, bad: zstandard.
     return out
 
 
+def spread(text: bytes) -> bytes:
+    """The text, or as many of its blocks as a fit may take, from evenly spread places."""
+    blocks = -(-len(text) // BLOCK)
+    if blocks <= FIT_BLOCKS:
+        return text
+    return b"".join(text[k * BLOCK : (k + 1) * BLOCK] for k in (i * blocks // FIT_BLOCKS for i in range(FIT_BLOCKS)))
+
+
+def _spread(batches):
+    for batch in batches:
+        texts = [spread(t.as_py().encode()) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), batch.column("y").cast(pa.int32())], names=["text", "y"])
+
+
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, label: str = "quality", limit: int = SAMPLE):
     """(good dictionary, bad dictionary, slope, intercept) from a bounded labelled sample."""
     ship(documents.sparkSession)
     rows = labelled_texts(documents, labels, label, modulus, remainder, limit).where("text is not null and text <> ''")
-    rows = rows.select(F.encode("text", "UTF-8").alias("text"), "y").toPandas()
+    rows = rows.mapInArrow(_spread, "text binary, y int").toPandas()
     rows = rows.iloc[np.argsort([hash_of(t) for t in rows["text"]], kind="stable")]
     y, texts = rows["y"].to_numpy(), list(rows["text"])
     if not len(y) or y.min() == y.max():

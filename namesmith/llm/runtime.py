@@ -12,28 +12,36 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-#: Rows of an Arrow batch: texts are long, so the usual 10000 of them would be tens of MB in each of several copies.
-BATCH_ROWS = 2000
+#: Rows and bytes of an Arrow batch: texts are long, so the usual 10000 of them would be tens of MB in each of several copies.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package where the repository lies at the same path (else: --py-files)."""
+    """Let Python workers import this package where the repository lies at the same path (else: --py-files).
+
+    Lowers the session's bounds on Arrow batches to ``BATCH`` where they are larger: results are lazy, so they can't be put
+    back here.
+    """
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for name, most in BATCH.items():
+        held = int(str(spark.conf.get(name)).rstrip("bB"))
+        if held > most or held <= 0:
+            spark.conf.set(name, str(most))
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, spark.checkpoint.dir; a local temporary one only where that is unset (tests)."""
+    """The cluster's shared folder, spark.checkpoint.dir; on one machine a temporary one where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
         folder = context.getCheckpointDir()
         if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="namesmith-"))
             folder = context.getCheckpointDir()
     return folder.rstrip("/")

@@ -5,10 +5,11 @@ A document is a bag of sentences. Each sentence has a logistic score over its ha
 sentences answer for a toxic document, so the trained model also locates the offending sentences.
 
 Training uses at most ``SAMPLE`` labelled rows that aren't held out (uniform by key hash), a bound independent of the
-corpus. Words of fewer than ``LEAST_DOCUMENTS`` sampled documents have weight 0. Scoring is one pass over whole texts.
+corpus. Words of fewer than ``LEAST_DOCUMENTS`` sampled documents have weight 0. Scoring is one pass over whole texts:
+every word of a text of any length counts.
 
 Null, empty and wordless texts score 0. Null doc_ids and repeated rows keep their rows. Without usable labels every
-score is 0. An empty table gives an empty result. Other columns of the input are ignored.
+score is 0. An empty table gives an empty result. Other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations

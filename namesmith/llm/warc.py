@@ -2,15 +2,16 @@
 
 An archive is a table of rows ``(record, page_id, chunk, chunks, data, digest)``: the data of a record's chunks, in
 order, are the bytes of its WARC/1.1 record. A record of at most ``CHUNK`` payload bytes is one row; a larger one is a
-header row and payload rows of ``CHUNK`` bytes at most, so neither writer nor reader ever builds a whole record. Each
-row carries the SHA-1 of the payload up to its end, which the reader follows with an incremental digest of its own;
-a difference, a gap or a wrong length raises.
+header row and payload rows of ``CHUNK`` bytes at most. The engine cuts payloads into chunks before they go to the
+writer, so neither writer nor reader ever builds a whole record. Each row carries the SHA-1 of the payload up to its
+end, which the reader follows with an incremental digest of its own; a difference, a gap or a wrong length raises.
 
 Of records with equal payloads (SHA-256 and length) of at least ``LEAST`` bytes the one of the largest page_id is the
 response and the others are revisits that refer to it; all smaller ones are responses.
 
 A null payload counts as empty. A null page_id is smaller than every other. If the largest page_id of a payload occurs
-more than once (repeated rows), all its rows are responses. An empty table gives an empty archive.
+more than once (repeated rows), all its rows are responses. Very long pages are more chunks. An empty table gives an
+empty archive. Other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .runtime import durable, ship
 
-CHUNK, LEAST, BATCH = 64 << 10, 1000, 8 << 20
+CHUNK, LEAST, BATCH, SALTS = 64 << 10, 1000, 8 << 20, 16
 _ROWS = "record string, page_id long, chunk int, chunks int, data binary, digest string"
 _ARROW = pa.schema([("record", pa.string()), ("page_id", pa.int64()), ("chunk", pa.int32()), ("chunks", pa.int32()), ("data", pa.binary()), ("digest", pa.string())])
 _END = b"\r\n\r\n"
@@ -51,58 +52,54 @@ def parsed(block: bytes) -> dict[str, str]:
     return {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:] if line)}
 
 
-def _writer(chunk: int):
-    def run(batches):
-        context = TaskContext.get()
-        part, number, out, held = context.partitionId() if context else 0, 0, [], 0
-
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-
-        for batch in batches:
-            html = batch.column("html")
-            for k, (page_id, url, sha1, size, refers) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("page_id", "url", "sha1", "size", "refers_to")))):
-                revisit = refers is not None
+def _writer(batches):
+    """Rows of records from chunks of payloads; the chunks of a record come in order, one after the other."""
+    context = TaskContext.get()
+    part, number, running = context.partitionId() if context else 0, -1, None
+    for batch in batches:
+        out, held = [], 0
+        data = batch.column("data")
+        columns = [batch.column(x).to_pylist() for x in ("page_id", "url", "sha1", "size", "refers_to", "nth", "count")]
+        for k, (page_id, url, sha1, size, refers, nth, count) in enumerate(zip(*columns)):
+            revisit = refers is not None
+            if nth == 0:
+                number, running = number + 1, hashlib.sha1()
                 head = header("revisit" if revisit else "response", page_id, url, sha1, size, refers)
-                name, number = f"{part}-{number}", number + 1
-                if revisit or size <= chunk:
-                    body = b"" if revisit or html[k].as_buffer() is None else html[k].as_buffer().to_pybytes()
-                    out.append((name, page_id, 0, 1, head + body + _END, "" if revisit else hashlib.sha1(body).hexdigest()))
-                    held += len(body)
-                else:
-                    payload, running = memoryview(html[k].as_buffer()), hashlib.sha1()
-                    count = 1 + -(-size // chunk)
-                    out.append((name, page_id, 0, count, head, running.hexdigest()))
-                    for c in range(1, count):
-                        piece = bytes(payload[(c - 1) * chunk : c * chunk])
-                        running.update(piece)
-                        out.append((name, page_id, c, count, piece + _END * (c == count - 1), running.hexdigest()))
-                        held += len(piece)
-                        if held > BATCH:
-                            yield batch_of(out)
-                            out, held = [], 0
-                if held > BATCH or len(out) > 10000:
-                    yield batch_of(out)
-                    out, held = [], 0
+                if count > 1:
+                    out.append((f"{part}-{number}", page_id, 0, 1 + count, head, running.hexdigest()))
+            piece = data[k].as_py()
+            running.update(piece)
+            if count == 1:
+                out.append((f"{part}-{number}", page_id, 0, 1, head + piece + _END, "" if revisit else running.hexdigest()))
+            else:
+                out.append((f"{part}-{number}", page_id, nth + 1, 1 + count, piece + _END * (nth == count - 1), running.hexdigest()))
+            held += len(piece)
+            if held > BATCH:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ARROW)], schema=_ARROW)
+                out, held = [], 0
         if out:
-            yield batch_of(out)
-
-    return run
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ARROW)], schema=_ARROW)
 
 
 def records(pages: DataFrame, chunk: int = CHUNK, least: int = LEAST) -> DataFrame:
     """The chunk rows of an archive of ``pages(page_id, url, html)``."""
     ship(pages.sparkSession)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
-    body = F.col("html").cast("binary")
-    rows = rows.select("*", F.sha1(body).alias("sha1"), F.octet_length(body).cast("long").alias("size"), F.sha2(body, 256).alias("key"))
-    # Payloads that occur once need no partner; only keys go into this aggregate, summed before they are dealt.
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.cast("binary").alias("html"))
+    rows = rows.select("*", F.sha1("html").alias("sha1"), F.octet_length("html").cast("long").alias("size"), F.sha2("html", 256).alias("key"))
+    # Payloads that occur once need no partner; only keys go into this aggregate, summed before they are dealt. Pages of one
+    # payload meet its largest page_id at SALTS places.
     groups = rows.where(F.col("size") >= least).groupBy("key", "size").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    groups = groups.select(F.col("key").alias("group_key"), F.col("size").alias("group_size"), "first")
-    typed = rows.join(groups, (F.col("key") == F.col("group_key")) & (F.col("size") == F.col("group_size")), "left")
+    groups = groups.select(F.col("key").alias("group_key"), F.col("size").alias("group_size"), "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("group_salt"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    typed = rows.join(groups, (F.col("key") == F.col("group_key")) & (F.col("size") == F.col("group_size")) & (F.col("salt") == F.col("group_salt")), "left")
     typed = typed.select("page_id", "url", "html", "sha1", "size", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
-    return typed.mapInArrow(_writer(chunk), _ROWS)
+    # A revisit has no payload. Binary substrings count bytes, from 1.
+    body = F.when(F.col("refers_to").isNull(), F.col("html")).otherwise(F.lit(b""))
+    count = F.greatest(F.lit(1), F.ceil(F.octet_length("body") / chunk)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), F.col("count") - 1), lambda k: F.substring(F.col("body"), k * chunk + 1, F.lit(chunk)))
+    cut = typed.withColumn("body", body).withColumn("count", count).select("page_id", "url", "sha1", "size", "refers_to", "count", F.posexplode(pieces).alias("nth", "data"))
+    return cut.mapInArrow(_writer, _ROWS)
 
 
 def _page(urn: str):

@@ -150,3 +150,15 @@ def test_repeated_keys_count_once_in_language_sample(spark, monkeypatch):
     language.fit(docs)
     (sample,) = seen
     assert len(sample) == 400 and sample.count((b"hot words", "en")) == 1 and all(y == "en" for _, y in sample)
+
+
+@pytest.mark.parametrize("n", [2, 4])
+def test_long_texts_are_one_chain(n):
+    """Marginals of cut chains are those of uncut ones, also where transitions are strong."""
+    r = np.random.default_rng(n)
+    length = np.array([1500, 3, 1, 64, 65, 700, 128])
+    emissions, transitions = r.normal(size=(int(length.sum()), n)), 3 * np.eye(n) + r.normal(size=(n, n))
+    first = np.r_[0, np.cumsum(length)][:-1]
+    uncut = language.forward_backward(emissions, transitions, first, length)
+    for chain in (1, 7, 64, 1024):
+        assert np.abs(language.chains(emissions, transitions, first, length, chain) - uncut).max() < 1e-4

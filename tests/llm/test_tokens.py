@@ -32,6 +32,35 @@ def test_bpe_is_tiktoken(name):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_long_pieces():
+    r = random.Random(3)
+    pieces = ["".join(r.choice(a) for _ in range(n)) for a in ("ab", "abc", "etaoinshr", "abcdefghijklmnopqrstuvwxyz", "-=_#") for n in (385, 1000, 6000)] + ["a" * 2001, "=" * 900, "é漢" * 700]
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    own = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    encoder = byte_bpe.Encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    for piece in pieces:
+        assert encoder._long(piece.encode()).tolist() == own.encode_ordinary(piece), piece[:20]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_long_pieces_where_merges_bring_lesser_ranks(seed, tmp_path):
+    r = random.Random(seed)
+    tokens = {bytes([b]) for b in range(256)}
+    for _ in range(400):  # unions of two earlier tokens, ranked at random
+        a, b = (r.choice([t for t in tokens if t[0] in b"abc"]) for _ in range(2))
+        if len(a + b) < 12:
+            tokens.add(a + b)
+    single, joined = sorted(t for t in tokens if len(t) == 1), [t for t in tokens if len(t) > 1]
+    r.shuffle(joined)
+    path = tmp_path / "ranks"
+    path.write_text("\n".join(f"{base64.b64encode(t).decode()} {k}" for k, t in enumerate(single + joined)))
+    own = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks={t: k for k, t in enumerate(single + joined)}, special_tokens={})
+    encoder = byte_bpe.Encoder(str(path), P.PATTERN)
+    for n in (5, 60, 500, 3000):
+        piece = "".join(r.choice("abc") for _ in range(n))
+        assert encoder._long(piece.encode()).tolist() == own.encode_ordinary(piece)
+
+
 def test_bpe_query(spark):
     rows = [(k, t) for k, t in enumerate(texts())] + [(None, "null id"), (3, "again"), (3, "again")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 as ids", "'' as bytes")
@@ -46,13 +75,14 @@ def test_bpe_query(spark):
     assert byte_bpe.digests(df.limit(0), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
 
 
-def test_packing(spark):
+@pytest.mark.parametrize("ordinary", [False, True])
+def test_packing(spark, ordinary):
     path = P.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = ordinary
     rows = [(k, x) for k, x in enumerate(texts())] + [(1000, "word " * 5000), (None, "null id"), (3, "again"), (1001, "a " * 2047), (1002, "a " * 2048)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 as piece", "1 as offset").coalesce(1)
-    got = packing.pack(df, path).collect()
+    got = packing.pack(df, path, ordinary=ordinary).collect()
     want = []
     for d, x in rows:
         ids = [*t.encode(x or "", add_special_tokens=False).ids, 0]
@@ -73,6 +103,22 @@ def test_packing(spark):
     assert packing.pack(df.limit(0), path).count() == 0
 
 
+def test_units_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(packing, "span_hashes", lambda raw, starts, ends: np.zeros(len(starts), np.uint64))
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    words = ["one", "two", "three", "one", "internationalisation-a", "internationalisatiox-a", "123", "characteristically", "characteristicalmy"]
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ids, _ = packing.WordIds(P.path("word_bpe_49k.json"))(raw, np.array([0, len(raw)]))
+    assert ids.tolist() == [*t.encode(" ".join(words), add_special_tokens=False).ids, 0]
+
+
+@pytest.mark.parametrize("parts", [1, 16, 211])
+def test_sequences_do_not_depend_on_partitions(spark, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(parts)
+    got = packing.pack(docs, P.path("word_bpe_49k.json")).selectExpr("sum(length)", "count(distinct sequence_id)").first()
+    assert got[1] <= 1.01 * -(-got[0] // 2048) + 1
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(rule):
     r = np.random.default_rng(1)
