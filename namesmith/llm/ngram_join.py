@@ -11,7 +11,8 @@ How it runs:
    ``size - need + l`` of each (``need``: required overlap; l falls with the size). Each class deals that prefix, four
    bytes a shingle, to hash ranges whose tasks report which of them a second class holds. A class of which fewer than l
    came back can't have a link and ends here; a shingle taken for shared by mistake only keeps a class a while longer.
-3. Texts of the classes that are left are read once more. Their shingles are counted over those classes the same way,
+3. Texts of the classes that are left are read once more (a bitmap of ``BITS`` bits, whatever their number, spares most
+   others the way to the join that picks them). Their shingles are counted over those classes the same way,
    and each class orders its shared shingles from rare to frequent (counts rounded to an eighth of an octave: any order
    that all classes use is right). A class with fewer than ``need`` shared ones ends. Each other picks its l anew, of
    least estimated cost: postings probed plus estimated candidates to verify, which a larger l thins.
@@ -44,7 +45,7 @@ from .shingles import mix, shingle_sets
 #: Shingles that a task gathers before it deals them (of at most so many classes), shingles of a hash range.
 FLUSH, FLUSH_CLASSES, RANGE = 1_000_000, 60_000, 1_000_000
 #: Classes and shingles of a block; classes that a task remembers, so as not to deal them twice.
-BLOCK, BLOCK_SHINGLES, KNOWN, SALTS = 1024, 2_000_000, 500_000, 16
+BLOCK, BLOCK_SHINGLES, KNOWN, SALTS, BITS = 1024, 2_000_000, 500_000, 16, 1 << 26
 
 
 def _class_key(tokens: np.ndarray) -> int:
@@ -196,14 +197,27 @@ def _passed(key, group):
     return pa.Table.from_arrays([pa.array(names[left[:-1] <= 0])], schema=schema)
 
 
-def _texts_of_classes(width: int):
-    """``(class, text)``: texts with their class, a repeated class once."""
+def _bitmap(classes: DataFrame) -> np.ndarray:
+    """``BITS`` bits, of which those of the classes' keys are set; built by the executors."""
+    bit = F.pmod(F.col("class"), F.lit(BITS))
+    words = classes.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(class, {BITS}) % 64 as int))")).alias("bits")).toPandas()  # BITS / 64 rows at most
+    out = np.zeros(BITS // 64, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out
+
+
+def _texts_of_classes(width: int, bitmap: np.ndarray):
+    """``(class, text)``: texts with their class where the bitmap has it, a repeated class once."""
+
+    def able(key: int) -> bool:
+        bit = key % BITS
+        return bool(int(bitmap[bit >> 6]) >> (bit & 63) & 1)
 
     def run(batches):
         known = _Known()
         for batch in batches:
             keys = [_class_key(s) if len(s) else None for s in shingle_sets(batch.column("text"), width)]
-            mask = pa.array([k is not None and not known(k) for k in keys])
+            mask = pa.array([k is not None and able(k) and not known(k) for k in keys])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()).filter(mask), batch.column("text").filter(mask)], names=["class", "text"])
 
     return run
@@ -467,7 +481,7 @@ def _survivors(texts: DataFrame, told: DataFrame, width: int, percent: int, flus
     own = dealt.where("bucket = -1").select("flush", "names", "owners", "counts")
     passed = own.union(shared.select("flush", F.lit(None).cast("binary").alias("names"), "owners", "counts")).groupBy("flush").applyInArrow(_passed, "class long")
     passed = durable(passed, "passed")
-    left = texts.select("text").mapInArrow(_texts_of_classes(width), "class long, text string").join(passed, "class", "left_semi").dropDuplicates(["class"])
+    left = texts.select("text").mapInArrow(_texts_of_classes(width, _bitmap(passed)), "class long, text string").join(passed, "class", "left_semi").dropDuplicates(["class"])
     sets = durable(left.mapInArrow(_sets(width, flush), _SETS), "sets")
     buckets = max(1, (sets.agg(F.sum("total")).first()[0] or 0) // share)
     counted = sets.select("flush", "tokens").mapInArrow(_deal(buckets), _DEALT).groupBy("bucket").applyInArrow(_count, "flush long, bucket long, codes binary")
