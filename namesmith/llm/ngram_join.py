@@ -23,7 +23,8 @@ How it runs:
 5. Verified links, a spanning forest per group, go through contraction to components.
 
 A shingle that is frequent everywhere costs one entry for each ``FLUSH`` shingles of a task, not one a document, and the
-number of hash ranges follows from the size of the texts.
+number of hash ranges follows from the size of the texts. Joins of classes are sort-merge joins at every size: nothing
+of which the size isn't bounded is broadcast.
 
 Null, empty or blank text: no shingles, linked with nothing. Very long texts: a set of any size is one row. Null doc_id:
 the row stays; its class's smallest non-null doc_id is its component. Repeated rows: all stay. Ties don't arise: a
@@ -436,21 +437,21 @@ def _link(percent: int):
 def _verified(placed: DataFrame, survivors: DataFrame, percent: int) -> DataFrame:
     """Links within groups (pivot, i, j); whole sets go only where their prefixes found a partner."""
     keys = ["pivot", "i", "j"]
-    prefixed = placed.join(survivors.select("class", "n", "matches", "prefix"), "class")
+    prefixed = placed.join(survivors.select("class", "n", "matches", "prefix").hint("merge"), "class")
     run, schema = _candidates(percent)
     candidates = durable(prefixed.groupBy(*keys).applyInArrow(run, schema), "candidates")
-    return durable(candidates.join(survivors, "class").groupBy(*keys).applyInArrow(_link(percent), "a long, b long"), "links")
+    return durable(candidates.join(survivors.hint("merge"), "class").groupBy(*keys).applyInArrow(_link(percent), "a long, b long"), "links")
 
 
 def _links(survivors: DataFrame, percent: int, block: int, block_shingles: int) -> DataFrame:
     """Verified links of all classes: every pair with a common prefix shingle meets at that shingle's pivot."""
     posts = survivors.select("class", F.explode("prefix").alias("token"))
     pivots = posts.groupBy("token").agg(F.min(F.struct(F.xxhash64("class"), F.col("class"))).getField("class").alias("pivot"), F.count("*").alias("k")).where("k > 1").select("token", "pivot")
-    members = posts.join(pivots, "token").select("pivot", "class").distinct()
+    members = posts.join(pivots.hint("merge"), "token").select("pivot", "class").distinct()
     weights = survivors.select("class", F.size("prefix").alias("w"), (F.length("tokens") / 8).alias("t"))
-    members = durable(members.join(weights, "class").select("pivot", "class", "t"), "members")
+    members = durable(members.join(weights.hint("merge"), "class").select("pivot", "class", "t"), "members")
     groups = members.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / (2 * block)), F.ceil(F.sum("t") / block_shingles)).cast("long").alias("blocks"), F.count("*").alias("k")).where("k > 1").drop("k")
-    placed = members.join(groups, "pivot").withColumn("i", F.pmod(F.xxhash64("class", F.lit(1)), "blocks"))
+    placed = members.join(groups.hint("merge"), "pivot").withColumn("i", F.pmod(F.xxhash64("class", F.lit(1)), "blocks"))
     first = _verified(placed.select("pivot", "i", F.col("i").alias("j"), "class", F.lit(-1).cast("long").alias("label"), F.lit(0).alias("side")), survivors, percent)
     large = durable(placed.where("blocks > 1").select("pivot", "class"), "large")
     if large.isEmpty():
@@ -481,7 +482,7 @@ def _survivors(texts: DataFrame, told: DataFrame, width: int, percent: int, flus
     own = dealt.where("bucket = -1").select("flush", "names", "owners", "counts")
     passed = own.union(shared.select("flush", F.lit(None).cast("binary").alias("names"), "owners", "counts")).groupBy("flush").applyInArrow(_passed, "class long")
     passed = durable(passed, "passed")
-    left = texts.select("text").mapInArrow(_texts_of_classes(width, _bitmap(passed)), "class long, text string").join(passed, "class", "left_semi").dropDuplicates(["class"])
+    left = texts.select("text").mapInArrow(_texts_of_classes(width, _bitmap(passed)), "class long, text string").join(passed.hint("merge"), "class", "left_semi").dropDuplicates(["class"])
     sets = durable(left.mapInArrow(_sets(width, flush), _SETS), "sets")
     buckets = max(1, (sets.agg(F.sum("total")).first()[0] or 0) // share)
     counted = sets.select("flush", "tokens").mapInArrow(_deal(buckets), _DEALT).groupBy("bucket").applyInArrow(_count, "flush long, bucket long, codes binary")
