@@ -123,7 +123,7 @@ def complete_truncated_stem(spark, sf_dir):
 
 @query(C.sql(O.TYPO, f"select idx, {O._join('palabras')} as limpio from tokened"))
 def typo_correction(spark, sf_dir):
-    return names(spark, sf_dir).select("idx", T.text_of(records.cleaned(F.col("nombre_original"), K)).alias("limpio"))
+    return records.cleaned(records.base_words(names(spark, sf_dir)), K).select("idx", T.text_of(F.col("palabras")).alias("limpio"))
 
 
 _NEVER = O.items(sorted({*rules.LEGAL_SUFFIXES, *rules.STOPWORDS, "CO", "CIA", "INC", "CORP", "LTD", "SA", "S"}))
@@ -141,8 +141,7 @@ valid as (select p.a || ' ' || p.b as pair, w.df as whole_df from bigrams p join
 def corpus_bigram_repair(spark, sf_dir):
     """The joins that the corpus supports, with the frequency of the whole word."""
     frequency = durable(records.document_frequency(first_pass(spark, sf_dir)), "frequency")
-    base = names(spark, sf_dir).select(T.tokens_of(T.repair_split_words(T.clean_base(F.col("nombre_original")))).alias("palabras"))
-    merges = records.bigram_merges(base, frequency)
+    merges = records.bigram_merges(records.base_words(names(spark, sf_dir)), frequency)
     whole = F.concat(F.split_part("pair", F.lit(" "), F.lit(1)), F.lit("N"), F.split_part("pair", F.lit(" "), F.lit(2)))
     return merges.join(frequency, whole == F.col("token")).select("pair", F.col("df").alias("whole_df"))
 

@@ -16,7 +16,31 @@ from .rules import SETTINGS
 
 ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
-#: Beyond this many values a membership test is a hash set, which Catalyst builds from ``isin``.
+
+
+def one_of(c: Column, *values: str) -> Column:
+    """``c.isin(*values)``, with the literals of a list made once a session: making them is most of a plan's building."""
+    if not hasattr(c, "_jc") or not values:
+        return c.isin(*values)
+    from pyspark import SparkContext
+    from pyspark.sql.classic.column import Column as Classic
+    from pyspark.sql.classic.column import _to_seq
+
+    context = SparkContext._active_spark_context
+    made = context.__dict__.setdefault("_namesmith_literals", {})
+    if values not in made:
+        made[values] = _to_seq(context, [F.lit(v)._jc for v in values])
+    return Classic(c._jc.isin(made[values]))
+
+
+def quoted(x) -> str:
+    """A value as a SQL literal."""
+    return str(x) if isinstance(x, (int, float)) else "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def constant_map(table: dict) -> Column:
+    """A constant map, made by one call."""
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in table.items()) + ")")
 
 
 def strip_export_prefix(c: Column) -> Column:
@@ -88,7 +112,7 @@ def split_number(c: Column) -> tuple[Column, Column]:
     """(rest, number): a trailing number of up to four digits, unless it belongs to the name."""
     base = F.regexp_extract(c, "^(.*?) +([0-9]{1,4})$", 1)
     number = F.regexp_extract(c, "^(.*?) +([0-9]{1,4})$", 2)
-    able = (number != "") & ~c.isin(*rules.NUMBER_BRANDS) & (F.length(base) >= 4) & base.rlike("[A-Z]") & (F.contains(base, F.lit(" ")) | (F.length(base) > 4))
+    able = (number != "") & ~one_of(c, *rules.NUMBER_BRANDS) & (F.length(base) >= 4) & base.rlike("[A-Z]") & (F.contains(base, F.lit(" ")) | (F.length(base) > 4))
     return F.when(able, base).otherwise(c), F.when(able, number).otherwise(F.lit(""))
 
 
@@ -108,8 +132,7 @@ def split_legal_suffix(c: Column) -> tuple[Column, Column]:
 
 def lookup(t: Column, table: dict[str, str], default: Column) -> Column:
     """A constant mapping of a token: hash-set test first, so that most tokens skip the map."""
-    literal = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
-    return F.when(t.isin(*table), F.element_at(literal, t)).otherwise(default)
+    return F.when(one_of(t, *table), F.element_at(constant_map(table), t)).otherwise(default)
 
 
 def expand_tokens(tokens: Column) -> Column:
@@ -119,7 +142,7 @@ def expand_tokens(tokens: Column) -> Column:
 
 
 def without(tokens: Column, words) -> Column:
-    return F.filter(tokens, lambda t: ~t.isin(*words))
+    return F.filter(tokens, lambda t: ~one_of(t, *words))
 
 
 def unless_empty(candidate: Column, fallback: Column) -> Column:
@@ -138,9 +161,7 @@ def remove_qualifiers(tokens: Column) -> Column:
     core = unless_empty(without(tokens, rules.PAYROLL_WORDS), tokens)
     core = unless_empty(without(core, rules.OCCUPATIONS), core)
     text = F.regexp_replace(text_of(core), "( (" + "|".join(rules.PLACE_TOKENS) + "))+$", "")
-    text = F.regexp_replace(text, "(^| )(" + "|".join(rules.STOPWORDS) + ")$", "")
-    for _ in range(3):
-        text = F.regexp_replace(text, "(^| )(" + "|".join(rules.STOPWORDS) + ")$", "")
+    text = F.regexp_replace(text, "((^| )(" + "|".join(rules.STOPWORDS) + "))+$", "")
     return unless_empty(tokens_of(text), tokens)
 
 
@@ -152,8 +173,8 @@ def title_case_es(c: Column) -> Column:
     """Spanish capitalisation: acronyms and short vowelless words stay, connectors are small except at the start."""
 
     def one(t, i):
-        stays = t.isin(*rules.ACRONYMS) | t.rlike("^[BCDFGHJKLMNPQRSTVWXYZ]{1,4}$") | t.rlike("^[0-9]+$")
-        return F.when(stays, t).when((i > 0) & t.isin(*rules.CONNECTORS), F.lower(t)).otherwise(F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1000))))
+        stays = one_of(t, *rules.ACRONYMS) | t.rlike("^[BCDFGHJKLMNPQRSTVWXYZ]{1,4}$") | t.rlike("^[0-9]+$")
+        return F.when(stays, t).when((i > 0) & one_of(t, *rules.CONNECTORS), F.lower(t)).otherwise(F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, F.lit(2), F.length(t)))))
 
     return text_of(F.transform(tokens_of(c), one))
 

@@ -47,7 +47,7 @@ def majority_suffix(records: DataFrame, best: DataFrame, cluster: str = "cluster
 def canonical_names(best: DataFrame, suffix: DataFrame, knowledge: Knowledge) -> DataFrame:
     """Adds ``nombre_canonico, origen_nombre``: the known employer, or else the rebuilt name with its legal form."""
     hit = gazetteer_key(F.col("tokens"), knowledge)
-    form = F.coalesce(F.when(F.col("sufijo").isin(*rules.LEGAL_FORM), mapped(F.col("sufijo"), rules.LEGAL_FORM)), F.col("sufijo"))
+    form = F.coalesce(F.when(T.one_of(F.col("sufijo"), *rules.LEGAL_FORM), mapped(F.col("sufijo"), rules.LEGAL_FORM)), F.col("sufijo"))
     built = F.concat(T.title_case_es(F.col("nucleo")), F.when(F.col("sufijo") != "", F.concat(F.lit(", "), form)).otherwise(F.lit("")))
     out = best.join(suffix, "cluster").withColumn("_hit", hit)
     return out.select("*", F.coalesce(knowledge.employer(F.col("_hit"), "name"), built).alias("nombre_canonico"), F.when(F.col("_hit").isNotNull(), "gazetteer").otherwise("reconstruccion").alias("origen_nombre")).drop("_hit")
@@ -55,7 +55,7 @@ def canonical_names(best: DataFrame, suffix: DataFrame, knowledge: Knowledge) ->
 
 def confidence(df: DataFrame) -> DataFrame:
     """Adds ``confianza, banda, factores`` to ``(origen_nombre, nivel, peso, truncado, n_claves, tokens, clave_generica, sufijo_numerico)``."""
-    constant = lambda c, table, other: F.coalesce(F.when(F.col(c).isin(*table), F.element_at(F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.lit(v))]), F.col(c))), F.lit(other))
+    constant = lambda c, table, other: F.coalesce(F.when(F.col(c).isin(*table), F.element_at(T.constant_map(table), F.col(c)).cast("double")), F.lit(other))
     identity = constant("origen_nombre", rules.IDENTITY_FACTOR, 0.70)
     sector = F.when(F.col("nivel") == "token", F.lit(0.55) + F.lit(0.05) * F.least("peso", F.lit(9))).otherwise(constant("nivel", rules.SECTOR_FACTOR, 0.50))
     n, size = F.col("n_claves"), F.size("tokens")

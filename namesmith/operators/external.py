@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.rules import SETTINGS
-from .reports import numbered
+from .resolution import numbered
 
 #: Prices in USD per million tokens (input, output, cached input) and tokens per name.
 PRICES, TOKENS_IN, TOKENS_OUT, CHARS_PER_TOKEN, CACHE_WRITE = (5.00, 25.00, 0.50), 12, 55, 3.5, 1.25
@@ -20,7 +20,7 @@ ANSWER = "nombre string, nombre_canonico string, seccion string, division string
 
 def pending(resolved: DataFrame) -> DataFrame:
     """Unresolved clusters, largest first, with their place from 0."""
-    return numbered(resolved.where("seccion = ''").select("cluster", "representante", "n_registros"), F.desc("n_registros"), "cluster")
+    return numbered(resolved.where("seccion = ''").select("cluster", "representante", "n_registros"), "n", 0, F.desc("n_registros"), "cluster")
 
 
 def not_cached(queue: DataFrame, cache: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..functions import text as T
 from ..functions.rules import SETTINGS
 
 
@@ -32,11 +33,10 @@ class Knowledge:
 
     def field(self, key: Column, name: str) -> Column:
         """A catalogue field of a key that is in the catalogue."""
-        rows = [x for r in self.catalogue for x in (F.lit(r.key), F.lit(getattr(r, name)))]
-        return F.element_at(F.create_map(*rows), key)
+        return F.element_at(T.constant_map({r.key: getattr(r, name) for r in self.catalogue}), key)
 
     def employer(self, key: Column, name: str) -> Column:
-        return F.element_at(F.create_map(*[x for r in self.gazetteer for x in (F.lit(r.key), F.lit(getattr(r, name)))]), key)
+        return F.element_at(T.constant_map({r.key: getattr(r, name) for r in self.gazetteer}), key)
 
 
 @lru_cache(1)
@@ -46,24 +46,24 @@ def default() -> Knowledge:
 
 def mapped(key: Column, table: dict[str, str]) -> Column:
     """A constant mapping; null for other keys."""
-    return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
+    return F.element_at(T.constant_map(table), key)
 
 
 def division_label(section: Column, division: Column) -> Column:
     """Label of a (section, division) pair, or else the section's name; null without a section."""
     pair = F.concat(section, division)
-    return F.coalesce(F.when(pair.isin(*rules.DIVISIONS), mapped(pair, rules.DIVISIONS)), F.when(section.isin(*rules.SECTIONS), mapped(section, rules.SECTIONS)))
+    return F.coalesce(F.when(T.one_of(pair, *rules.DIVISIONS), mapped(pair, rules.DIVISIONS)), F.when(T.one_of(section, *rules.SECTIONS), mapped(section, rules.SECTIONS)))
 
 
 def macrosector(section: Column, kind: Column, name: Column) -> Column:
     """The section's name, or why there is none; never null."""
     return (
         F.when(F.coalesce(section, F.lit("")) != "", mapped(section, rules.SECTIONS))
-        .when(kind.isin(*rules.EMPLOYER_TYPES), F.lit(rules.PENDING_LABEL))
+        .when(T.one_of(kind, *rules.EMPLOYER_TYPES), F.lit(rules.PENDING_LABEL))
         .when(name.startswith(rules.UNIDENTIFIED), F.lit(rules.UNIDENTIFIED))
         .otherwise(F.lit(rules.NO_CORPORATE_LINK))
     )
 
 
 def executive_view(section: Column) -> Column:
-    return F.when(section.isin(*rules.EXECUTIVE), mapped(section, rules.EXECUTIVE)).otherwise(F.lit("Sin clasificar"))
+    return F.when(T.one_of(section, *rules.EXECUTIVE), mapped(section, rules.EXECUTIVE)).otherwise(F.lit("Sin clasificar"))

@@ -1,20 +1,19 @@
 """What single tokens mean: typo correction, morphological variants, commercial prefixes, approximate matches.
 
-Exact lookups stay in the JVM. Only tokens that could be corrected reach the Arrow function, which keeps its answers in
-a bounded cache, since tokens repeat: no shuffle is needed to get at the distinct ones.
+Exact lookups stay in the JVM. Only tokens that could be corrected reach the Arrow function, which looks at the distinct
+ones of a batch together: no shuffle is needed to get at them.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..functions import text as T
 from ..functions.rules import SETTINGS
-from ..functions.similarity import ratio
+from ..functions.similarity import best_match
 from .knowledge import Knowledge
 
 
@@ -26,23 +25,6 @@ def once(f, kind: str):
     return F.pandas_udf(f, kind, F.PandasUDFType.SCALAR).asNondeterministic()
 
 
-def _cached(values: list[str], accept, threshold: float):
-    """text -> best acceptable value of at least this ratio ('' if none), ties to the first in order."""
-    values = sorted(values)
-
-    @lru_cache(200_000)
-    def best(text: str) -> str:
-        found, top = "", threshold
-        for v in values:
-            if 200.0 * min(len(v), len(text)) >= top * (len(v) + len(text)) and accept(text, v):
-                r = ratio(text, v)
-                if r > top or r == top and not found:
-                    found, top = v, r
-        return found
-
-    return best
-
-
 def _typo_ok(token: str, target: str) -> bool:
     if abs(len(token) - len(target)) > SETTINGS.typo_gap:
         return False
@@ -51,17 +33,15 @@ def _typo_ok(token: str, target: str) -> bool:
 
 def typo_correction(tokens: Column, knowledge: Knowledge) -> Column:
     """Tokens of 8 letters or more that no vocabulary knows, replaced by a very similar marker or catalogue word."""
-    targets, known = knowledge.typo_targets, knowledge.known
-    state: dict = {}
+    targets, known = sorted(knowledge.typo_targets), set(knowledge.known)
 
     def correct(column: pd.Series) -> pd.Series:
-        if not state:
-            state["best"], state["known"] = _cached(targets, _typo_ok, SETTINGS.typo_ratio), set(known)
-        fix = lambda t: t if len(t) < SETTINGS.typo_length or t in state["known"] else state["best"](t) or t
-        return column.map(lambda ts: [fix(t) for t in ts])
+        open_ = {t for ts in column for t in ts if len(t) >= SETTINGS.typo_length and t not in known}
+        fixed = {t: v for t, v in best_match(sorted(open_), targets, SETTINGS.typo_ratio, _typo_ok).items() if v}
+        return column.map(lambda ts: [fixed.get(t, t) for t in ts])
 
     correct.__annotations__ = {}
-    able = F.exists(tokens, lambda t: (F.length(t) >= SETTINGS.typo_length) & ~t.isin(*known))
+    able = F.exists(tokens, lambda t: (F.length(t) >= SETTINGS.typo_length) & ~T.one_of(t, *knowledge.known))
     return F.when(able, once(correct, "array<string>")(F.when(able, tokens).otherwise(F.array().cast("array<string>")))).otherwise(tokens)
 
 
@@ -70,13 +50,13 @@ def morphological_variant(token: Column, knowledge: Knowledge) -> Column:
     able = sorted(k for k, r in knowledge.words.items() if r.weight >= SETTINGS.approximate_weight)
     forms = [F.concat(token, F.lit("S")), F.concat(token, F.lit("ES"))]
     cut = [(F.regexp_replace(token, "S$", ""), token.endswith("S")), (F.regexp_replace(token, "ES$", ""), token.endswith("ES"))]
-    tries = [F.when(f.isin(*able), f) for f in forms] + [F.when(ends & f.isin(*able), f) for f, ends in cut]
+    tries = [F.when(T.one_of(f, *able), f) for f in forms] + [F.when(ends & T.one_of(f, *able), f) for f, ends in cut]
     return F.when(F.length(token) >= SETTINGS.morphology_length, F.coalesce(*tries, F.lit(""))).otherwise(F.lit(""))
 
 
 def commercial_prefix(token: Column, knowledge: Knowledge) -> Column:
     """The trade prefix that starts a longer token which isn't a catalogue word itself ('' if none)."""
-    out = F.when(token.isin(*knowledge.words), F.lit(""))
+    out = F.when(T.one_of(token, *knowledge.words), F.lit(""))
     for prefix, *_ in rules.COMMERCIAL_PREFIXES:
         out = out.when(token.startswith(prefix) & (F.length(token) >= len(prefix) + SETTINGS.prefix_extra), F.lit(prefix))
     return out.otherwise(F.lit(""))
@@ -84,12 +64,11 @@ def commercial_prefix(token: Column, knowledge: Knowledge) -> Column:
 
 def similar_word(tokens: Column, knowledge: Knowledge) -> Column:
     """For each token the catalogue word of ratio 90 or more that isn't part of it ('' if none)."""
-    words, able = knowledge.approximate_words, {}
+    words = sorted(knowledge.approximate_words)
 
     def match(column: pd.Series) -> pd.Series:
-        if not able:
-            able["best"] = _cached(words, lambda t, w: w not in t, SETTINGS.approximate_ratio)
-        return column.map(lambda ts: [able["best"](t) for t in ts])
+        best = best_match(sorted({t for ts in column for t in ts}), words, SETTINGS.approximate_ratio, lambda t, w: w not in t)
+        return column.map(lambda ts: [best[t] for t in ts])
 
     match.__annotations__ = {}
     return once(match, "array<string>")(tokens)
@@ -98,4 +77,4 @@ def similar_word(tokens: Column, knowledge: Knowledge) -> Column:
 def approximate_candidates(tokens: Column, knowledge: Knowledge) -> Column:
     """Tokens that approximate matching may look at."""
     never = [*knowledge.words, *knowledge.never_approximate]
-    return F.filter(tokens, lambda t: (F.length(t) >= SETTINGS.morphology_length) & ~t.isin(*never))
+    return F.filter(tokens, lambda t: (F.length(t) >= SETTINGS.morphology_length) & ~T.one_of(t, *never))

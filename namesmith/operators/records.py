@@ -12,25 +12,32 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions import text as T
 from ..functions.rules import SETTINGS
+from ..storage import durable
 from .knowledge import Knowledge, default
 from .lexicon import typo_correction
 
 
-def cleaned(original: Column, knowledge: Knowledge, merges: Column | None = None) -> Column:
-    """Cleaned tokens; ``merges`` are the corpus-derived joins ('a b') of the second pass."""
-    text = T.repair_split_words(T.clean_base(original))
-    if merges is not None:
-        text = T.text_of(T.merge_bigrams(T.tokens_of(text), merges))
-    tokens = T.tokens_of(T.join_spelled_acronyms(text))
-    tokens = T.complete_truncated_stem(T.split_glued_suffix(tokens, list(knowledge.words)))
-    return typo_correction(tokens, knowledge)
+def base_words(names: DataFrame) -> DataFrame:
+    """Adds ``palabras``, the words before any joins, to ``(idx, nombre_original)``."""
+    base = names.select("idx", "nombre_original", T.repair_split_words(T.clean_base(F.col("nombre_original"))).alias("_base"))
+    return base.select("idx", "nombre_original", T.tokens_of(F.col("_base")).alias("palabras"))
+
+
+def cleaned(words: DataFrame, knowledge: Knowledge) -> DataFrame:
+    """``(idx, nombre_original, palabras)`` with cleaned tokens, from words that may have been joined.
+
+    Every step is a column of its own: an expression that is read twice would be computed twice.
+    """
+    rows = words.withColumn("palabras", T.join_spelled_acronyms(T.text_of(F.col("palabras")))).withColumn("palabras", T.tokens_of(F.col("palabras")))
+    rows = rows.withColumn("palabras", T.complete_truncated_stem(T.split_glued_suffix(F.col("palabras"), list(knowledge.words))))
+    return rows.withColumn("palabras", typo_correction(F.col("palabras"), knowledge))
 
 
 def _phrase(text: Column, markers) -> Column:
     """Equality with a marker, or a marker of several words within the text."""
     many = [m for m in markers if " " in m]
     within = [F.contains(text, F.lit(m)) for m in many]
-    out = text.isin(*markers)
+    out = T.one_of(text, *markers)
     for w in within:
         out = out | w
     return out
@@ -38,7 +45,7 @@ def _phrase(text: Column, markers) -> Column:
 
 def _loose(tokens: Column, markers) -> Column:
     single = [m for m in markers if " " not in m]
-    return F.exists(tokens, lambda t: t.isin(*single))
+    return F.exists(tokens, lambda t: T.one_of(t, *single))
 
 
 def unclassifiable(text: Column) -> Column:
@@ -61,7 +68,7 @@ def situation(text: Column, tokens: Column) -> Column:
 
 def horizontal_property(tokens: Column, suffix: Column) -> Column:
     """A condominium as an employer: PH among the first two words, no legal form, unit or street word."""
-    return F.array_contains(F.slice(tokens, 1, 2), "PH") & (suffix == "") & ~F.exists(tokens, lambda t: t.isin(*rules.UNIT_TOKENS, *rules.STRONG_ADDRESS))
+    return F.array_contains(F.slice(tokens, 1, 2), "PH") & (suffix == "") & ~F.exists(tokens, lambda t: T.one_of(t, *rules.UNIT_TOKENS, *rules.STRONG_ADDRESS))
 
 
 def gazetteer_key(tokens: Column, knowledge: Knowledge) -> Column:
@@ -72,7 +79,7 @@ def gazetteer_key(tokens: Column, knowledge: Knowledge) -> Column:
     longest = max(len(k.split()) for k in keys)
     sizes = F.array(*[F.lit(n) for n in range(min(5, longest), 0, -1)])
     runs = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.size(kept), F.lit(1))), lambda i: F.transform(F.filter(sizes, lambda n: i + n - 1 <= F.size(kept)), lambda n: T.text_of(F.slice(kept, i, n)))))
-    return F.when(whole.isin(*keys), whole).otherwise(F.get(F.filter(runs, lambda r: r.isin(*keys)), F.lit(0)))
+    return F.when(T.one_of(whole, *keys), whole).otherwise(F.get(F.filter(runs, lambda r: T.one_of(r, *keys)), F.lit(0)))
 
 
 def record_type(text: Column, tokens: Column, suffix: Column, knowledge: Knowledge) -> Column:
@@ -80,20 +87,20 @@ def record_type(text: Column, tokens: Column, suffix: Column, knowledge: Knowled
     strong = [k for k, r in knowledge.words.items() if r.weight >= SETTINGS.strong_weight]
     plain = F.replace(text, F.lit(" "), F.lit(""))
     # 1-based places of the first strong business word, address word and student; 0 if there is none.
-    place = lambda words: F.coalesce(F.array_min(F.filter(F.transform(tokens, lambda t, i: F.when(t.isin(*words), i + 1)), lambda x: x.isNotNull())), F.lit(0))
+    place = lambda words: F.coalesce(F.array_min(F.filter(F.transform(tokens, lambda t, i: F.when(T.one_of(t, *words), i + 1)), lambda x: x.isNotNull())), F.lit(0))
     business, address, student = place(strong), place([*rules.STRONG_ADDRESS, *rules.WEAK_ADDRESS]), place(["ESTUDIANTE"])
-    empty = (F.length(text) <= 1) | plain.rlike("^[X0]+$") | text.isin(*rules.NULL_MARKERS) | unclassifiable(text)
+    empty = (F.length(text) <= 1) | plain.rlike("^[X0]+$") | T.one_of(text, *rules.NULL_MARKERS) | unclassifiable(text)
     annotation = _phrase(text, rules.ANNOTATIONS) | text.startswith(rules.ANNOTATION_PREFIX)
     only_student = ~_phrase(text, [m for m in rules.INACTIVE if m != "ESTUDIANTE"]) & ~_loose(tokens, [m for m in rules.INACTIVE if m != "ESTUDIANTE"]) & (student > 0)
     inactive = (_phrase(text, rules.INACTIVE) | _loose(tokens, rules.INACTIVE)) & ~(only_student & (business > 0) & (business < student))
     independent = _phrase(text, rules.INDEPENDENT) | _loose(tokens, rules.INDEPENDENT)
-    weak = F.size(F.array_distinct(F.filter(tokens, lambda t: t.isin(*rules.WEAK_ADDRESS) & ~((t == "CASA") & text.rlike(rules.HOUSE_OF)))))
-    near = text.rlike(rules.ADDRESS_NUMBER) | F.get(tokens, F.lit(0)).isin(*[p.split()[0] for p in rules.PLACES]) | F.exists(tokens, lambda t: t.isin(*rules.PLACE_TOKENS))
+    weak = F.size(F.array_distinct(F.filter(tokens, lambda t: T.one_of(t, *rules.WEAK_ADDRESS) & ~((t == "CASA") & text.rlike(rules.HOUSE_OF)))))
+    near = text.rlike(rules.ADDRESS_NUMBER) | F.get(tokens, F.lit(0)).isin(*[p.split()[0] for p in rules.PLACES]) | F.exists(tokens, lambda t: T.one_of(t, *rules.PLACE_TOKENS))
     guard = (suffix == "") & ~horizontal_property(tokens, suffix) & gazetteer_key(tokens, knowledge).isNull() & ~((business > 0) & ((address == 0) | (business < address)))
-    street = F.exists(tokens, lambda t: t.isin(*rules.STRONG_ADDRESS)) | (weak >= 1) & ((weak >= 2) | near)
-    jobs = (F.size(tokens) > 0) & F.forall(tokens, lambda t: t.isin(*rules.OCCUPATIONS, *rules.STOPWORDS))
-    surnames = F.size(F.filter(tokens, lambda t: t.isin(*rules.SURNAMES)))
-    person = F.size(tokens).between(2, 4) & (suffix == "") & (F.exists(tokens, lambda t: t.isin(*rules.GIVEN_NAMES)) & (surnames > 0) | (surnames >= 2))
+    street = F.exists(tokens, lambda t: T.one_of(t, *rules.STRONG_ADDRESS)) | (weak >= 1) & ((weak >= 2) | near)
+    jobs = (F.size(tokens) > 0) & F.forall(tokens, lambda t: T.one_of(t, *rules.OCCUPATIONS, *rules.STOPWORDS))
+    surnames = F.size(F.filter(tokens, lambda t: T.one_of(t, *rules.SURNAMES)))
+    person = F.size(tokens).between(2, 4) & (suffix == "") & (F.exists(tokens, lambda t: T.one_of(t, *rules.GIVEN_NAMES)) & (surnames > 0) | (surnames >= 2))
     return (
         F.when(empty, "VACIO").when(annotation, "ANOTACION").when(_phrase(text, rules.WAITING), "INACTIVO").when(inactive, "INACTIVO")
         .when(independent, "INDEPENDIENTE").when(guard & street, "DIRECCION").when(jobs, "OCUPACION").when(person, "PERSONA_NATURAL").otherwise("EMPRESA")
@@ -106,7 +113,7 @@ def parts(tokens: DataFrame) -> DataFrame:
     rest, number = T.split_number(F.col("limpio"))
     text = text.withColumn("sin_numero", rest).withColumn("sufijo_numerico", number)
     core, form = T.split_legal_suffix(F.col("sin_numero"))
-    text = text.withColumn("sufijo_societario", form).withColumn("tokens", T.expand_tokens(T.tokens_of(core)))
+    text = text.withColumn("sufijo_societario", form).withColumn("nucleo", core).withColumn("tokens", T.tokens_of(F.col("nucleo"))).withColumn("tokens", T.expand_tokens(F.col("tokens")))
     return text.withColumn("nucleo", T.text_of(F.col("tokens"))).drop("palabras")
 
 
@@ -124,41 +131,50 @@ def generic_tokens(frequency: DataFrame, n: int) -> list[str]:
     return sorted(r.token for r in frequency.where(F.col("df") >= generic_cut(n)).select("token").collect())
 
 
-def bigram_merges(tokens: DataFrame, frequency: DataFrame) -> DataFrame:
-    """``(pair)``: neighbours 'a b' that are a word split where an enye was lost, as frequencies show."""
+def neighbours(words: DataFrame) -> DataFrame:
+    """``(idx, a, b)``: neighbouring words of ``(idx, palabras)`` that may be two parts of one; idx if there is one."""
     never = sorted({*rules.LEGAL_SUFFIXES, *rules.STOPWORDS, "CO", "CIA", "INC", "CORP", "LTD", "SA", "S"})
-    able = lambda t: ~t.isin(*never)
-    pairs = tokens.select(F.explode(F.transform(F.slice("palabras", 2, 1000), lambda b, i: F.struct(F.element_at("palabras", i + 1).alias("a"), b.alias("b")))).alias("p")).select("p.a", "p.b")
-    pairs = pairs.where((F.length("a") >= 2) & F.length("b").between(1, SETTINGS.repair_tail) & able(F.col("a")) & able(F.col("b"))).distinct()
+    able = lambda t: ~T.one_of(t, *never)
+    pairs = F.transform(F.slice("palabras", F.lit(2), F.size("palabras")), lambda b, i: F.struct(F.element_at("palabras", i + 1).alias("a"), b.alias("b")))
+    key = [c for c in words.columns if c == "idx"]
+    rows = words.select(*key, F.explode(pairs).alias("p")).select(*key, "p.a", "p.b")
+    return rows.where((F.length("a") >= 2) & F.length("b").between(1, SETTINGS.repair_tail) & able(F.col("a")) & able(F.col("b")))
+
+
+def bigram_merges(words: DataFrame, frequency: DataFrame) -> DataFrame:
+    """``(pair)``: neighbours 'a b' that are a word split where an enye was lost, as frequencies show."""
     whole = frequency.select(F.col("token").alias("whole"), F.col("df").alias("whole_df")).where(F.col("whole_df") >= SETTINGS.repair_df)
     first = frequency.select(F.col("token").alias("a"), F.col("df").alias("a_df"))
-    found = pairs.withColumn("whole", F.concat("a", F.lit("N"), "b")).join(whole, "whole").join(first, "a", "left")
+    found = neighbours(words).select("a", "b").distinct().withColumn("whole", F.concat("a", F.lit("N"), "b")).join(whole, "whole").join(first, "a", "left")
     return found.where(F.coalesce("a_df", F.lit(0)) <= F.col("whole_df")).select(F.concat_ws(" ", "a", "b").alias("pair"))
 
 
+def joined_words(words: DataFrame, merges: DataFrame) -> DataFrame:
+    """``words`` with the joins applied: each record meets the pairs that it holds, so no task needs all of them."""
+    held = neighbours(words).select("idx", F.concat_ws(" ", "a", "b").alias("pair")).join(merges, "pair").groupBy("idx").agg(F.collect_set("pair").alias("_pairs"))
+    rows = words.join(held, "idx", "left")
+    return rows.withColumn("palabras", F.when(F.col("_pairs").isNull(), F.col("palabras")).otherwise(T.merge_bigrams(F.col("palabras"), F.col("_pairs")))).drop("_pairs")
+
+
 def first_pass(names: DataFrame, knowledge: Knowledge | None = None) -> DataFrame:
     """Parts of all records by the rules alone."""
-    return parts(names.select("idx", "nombre_original", cleaned(F.col("nombre_original"), knowledge or default()).alias("palabras")))
+    return parts(cleaned(base_words(names), knowledge or default()))
 
 
 def keyed(record_parts: DataFrame, generic: list[str], knowledge: Knowledge) -> DataFrame:
     """Adds comparison key and type."""
-    is_generic = F.forall("tokens", lambda t: t.isin(*generic)) if generic else F.size("tokens") == 0
-    key = T.comparison_key(F.col("tokens"), F.col("sufijo_numerico"), is_generic)
-    kind = record_type(F.col("sin_numero"), F.col("tokens"), F.col("sufijo_societario"), knowledge)
-    return record_parts.withColumn("clave", key).withColumn("clave_generica", is_generic).withColumn("tipo", kind)
+    is_generic = F.forall("tokens", lambda t: T.one_of(t, *generic)) if generic else F.size("tokens") == 0
+    rows = record_parts.withColumn("clave_generica", is_generic)
+    rows = rows.withColumn("clave", T.comparison_key(F.col("tokens"), F.col("sufijo_numerico"), F.col("clave_generica")))
+    return rows.withColumn("tipo", record_type(F.col("sin_numero"), F.col("tokens"), F.col("sufijo_societario"), knowledge))
 
 
 def records(names: DataFrame, knowledge: Knowledge | None = None) -> tuple[DataFrame, DataFrame]:
     """(records after both passes, document frequencies of the first)."""
     knowledge = knowledge or default()
-    first = first_pass(names, knowledge)
-    frequency = document_frequency(first)
+    frequency = durable(document_frequency(first_pass(names, knowledge)), "frequency")
     generic = generic_tokens(frequency, names.count())
-    base = names.select("idx", "nombre_original", T.tokens_of(T.repair_split_words(T.clean_base(F.col("nombre_original")))).alias("palabras"))
-    merges = bigram_merges(base, frequency)
-    # The valid joins become one constant array per run; they are tied to words of the vocabulary, not to records.
-    pairs = sorted(r.pair for r in merges.collect())
-    joined = F.array(*map(F.lit, pairs)) if pairs else None
-    second = parts(names.select("idx", "nombre_original", cleaned(F.col("nombre_original"), knowledge, joined).alias("palabras")))
+    words = base_words(names)
+    merges = durable(bigram_merges(words, frequency), "joins")
+    second = parts(cleaned(joined_words(words, merges), knowledge))
     return keyed(second, generic, knowledge), frequency

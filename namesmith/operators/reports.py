@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -53,7 +53,7 @@ def upper_median(df: DataFrame, column: str) -> DataFrame:
 
 def kpis(rows: DataFrame) -> DataFrame:
     """One row of quality indicators over ``(tipo, cluster, seccion, confianza, banda)``."""
-    employer = F.col("tipo").isin(*rules.EMPLOYER_TYPES)
+    employer = T.one_of(F.col("tipo"), *rules.EMPLOYER_TYPES)
     sector = F.coalesce("seccion", F.lit("")) != ""
     share = lambda a, b: F.bround(100.0 * a / b, 2)
     one = rows.agg(
@@ -70,12 +70,12 @@ def kpis(rows: DataFrame) -> DataFrame:
 
 
 def review_block(kind: Column, name: Column) -> Column:
-    return F.when(kind.isin(*rules.EMPLOYER_TYPES), "empleador sin sector").when(name.startswith(rules.UNIDENTIFIED), "no identificable").otherwise("situacion laboral")
+    return F.when(T.one_of(kind, *rules.EMPLOYER_TYPES), "empleador sin sector").when(name.startswith(rules.UNIDENTIFIED), "no identificable").otherwise("situacion laboral")
 
 
 def review_backlog(rows: DataFrame) -> DataFrame:
     """``(bloque, idx, nombre_original, nombre_propuesto, tipo)`` of what has no sector or isn't an employer."""
-    open_ = rows.where((F.coalesce("seccion", F.lit("")) == "") | ~F.col("tipo").isin(*rules.EMPLOYER_TYPES))
+    open_ = rows.where((F.coalesce("seccion", F.lit("")) == "") | ~T.one_of(F.col("tipo"), *rules.EMPLOYER_TYPES))
     return open_.select(review_block(F.col("tipo"), F.col("nombre_propuesto")).alias("bloque"), "idx", "nombre_original", "nombre_propuesto", "tipo")
 
 
@@ -100,8 +100,3 @@ def master(rows: DataFrame) -> DataFrame:
     others = [c for c in rows.columns if c not in ("cluster", "idx")]
     first = rows.groupBy("cluster").agg(F.min_by(F.struct(*others), F.col("idx")).alias("f"), F.count("*").alias("registros"), F.countDistinct("clave").alias("variantes"))
     return first.select("cluster", "registros", "variantes", "f.*")
-
-
-def numbered(df: DataFrame, *order) -> DataFrame:
-    """Adds ``n``, a place from 0 in the given order; for the short priority lists of external validation."""
-    return df.withColumn("n", F.row_number().over(Window.orderBy(*order)) - 1)

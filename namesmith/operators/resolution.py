@@ -6,7 +6,6 @@ comes from an aggregate over signals, so oversized blocks never reach the self-j
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from ..storage import durable
 
 
 def employers(records: DataFrame) -> DataFrame:
-    return records.where(F.col("tipo").isin(*rules.EMPLOYER_TYPES))
+    return records.where(T.one_of(F.col("tipo"), *rules.EMPLOYER_TYPES))
 
 
 def exact_groups(records: DataFrame) -> DataFrame:
@@ -38,7 +37,7 @@ def nodes(records: DataFrame) -> DataFrame:
 
 def rare_tokens(node: DataFrame, frequency: DataFrame) -> DataFrame:
     """``(clave, token, df, rank)``: the three rarest tokens of each key."""
-    able = F.filter(F.array_distinct("tokens"), lambda t: (F.length(t) >= 2) & ~t.isin(*rules.STOPWORDS))
+    able = F.filter(F.array_distinct("tokens"), lambda t: (F.length(t) >= 2) & ~T.one_of(t, *rules.STOPWORDS))
     own = node.select("clave", F.explode(T.unless_empty(able, F.array_distinct("tokens"))).alias("token"))
     measured = own.join(frequency, "token", "left").select("clave", "token", F.coalesce("df", F.lit(1)).cast("long").alias("df"))
     order = Window.partitionBy("clave").orderBy("df", "token")
@@ -116,14 +115,41 @@ def cohesion(pairs: DataFrame, node: DataFrame) -> DataFrame:
     return both.select("a", "b", F.when(prefix("a", "b") | prefix("b", "a"), 100.0).otherwise(value).alias("cohesion"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: Edges up to which one task finds the components of a graph; beyond, rounds of joins do.
+SMALL_GRAPH = 500_000
+
+
+def _one_task(batches):
+    import pyarrow as pa
+
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            x, y = root(a), root(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)  # a root is the least of its nodes
+    nodes = list(parent)
+    yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.string()), "component": pa.array([root(x) for x in nodes], pa.string())})
+
+
+def components(edges: DataFrame, small: int = SMALL_GRAPH) -> DataFrame:
     """``(node, component)`` of an undirected graph (a, b); a component is named by its smallest node.
 
-    Every round each node takes the name of least hash among itself and its neighbours, with another hash every time,
-    and the graph contracts to those names, so even a long path shrinks by a share of itself; the renamings are
-    composed. State lies in written tables, so lost executors cost a reread only.
+    A graph of at most ``small`` edges, counted first, is one task's. Of a larger one every round each node takes the name
+    of least hash among itself and its neighbours, with another hash every time, and the graph contracts to those names,
+    so even a long path shrinks by a share of itself; the renamings are composed. State lies in written tables, so lost
+    executors cost a reread only.
     """
     edges = durable(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    if edges.count() <= small:
+        return durable(edges.coalesce(1).mapInArrow(_one_task, "node string, component string"), "components")
     ends = edges
     steps = []
     while not edges.isEmpty():
@@ -147,12 +173,15 @@ def _prefix_or_ratio(x, y) -> float:
     return max(ratio(_sorted(x[1]), _sorted(y[1])), ratio(_sorted(x[2]), _sorted(y[2])))
 
 
-def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    """Replays the merges of one component, best pair first, under the cohesion of the representatives."""
-    ends: dict[str, tuple] = {}
-    for e in ("a", "b"):
-        for r in group[[e, f"{e}_limpio", f"{e}_nucleo", f"{e}_reducido", f"{e}_truncado"]].itertuples(index=False):
-            ends[r[0]] = (r[1], r[2], r[3], bool(r[4]))
+def _words(text: str) -> int:
+    return sum(len(t) > 1 and t not in rules.STOPWORDS for t in set(text.split()))
+
+
+def _merge(pairs: list[tuple], ends: dict[str, tuple]) -> list[tuple]:
+    """Replays the merges of one component, best pair first, under the cohesion of the representatives.
+
+    ``ends``: key -> (limpio, nucleo, reducido, truncado).
+    """
     parent, speaker = {k: k for k in ends}, dict(ends)
 
     def root(x):
@@ -162,7 +191,7 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
         return x
 
     rows = []
-    for a, b in group.sort_values(["score", "a", "b"], ascending=[False, True, True])[["a", "b"]].itertuples(index=False):
+    for _, a, b in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
         x, y = sorted((root(a), root(b)))
         if x == y:
             continue
@@ -177,19 +206,57 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
         pair = tuple(sorted((root(x), root(y))))
         if pair[0] != pair[1] and (pair not in doubts or doubts[pair][1] < value):
             doubts[pair] = (kind, value)
-    out = [("member", k, root(k), None) for k in ends] + [(kind, x, y, v) for (x, y), (kind, v) in doubts.items()]
-    return pd.DataFrame(out, columns=["kind", "a", "b", "cohesion"])
+    out = [("member", k, root(k), None, None, None, None) for k in ends]
+    for (x, y), (kind, v) in doubts.items():
+        texts = speaker[x][0], speaker[y][0]
+        out.append((kind, x, y, v, *texts, _words(" ".join(sorted(set(texts[0].split()) & set(texts[1].split()))))))
+    return out
+
+
+_MERGED = "kind string, a string, b string, cohesion double, a_texto string, b_texto string, n_comunes int"
+
+
+def _replay(batches):
+    """Rows of components, one after the other; memory holds one component."""
+    import pyarrow as pa
+
+    kinds = (pa.string(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.string(), pa.int32())
+    names = [c.split()[0] for c in _MERGED.split(", ")]
+    now, pairs, ends, out = None, [], {}, []
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=names)
+
+    for rows in batches:
+        for r in rows.to_pylist():
+            if r["component"] != now:
+                out += _merge(pairs, ends)
+                now, pairs, ends = r["component"], [], {}
+            pairs.append((r["score"], r["a"], r["b"]))
+            for e in ("a", "b"):
+                ends[r[e]] = tuple(r[f"{e}_{c}"] for c in ("limpio", "nucleo", "reducido", "truncado"))
+        if len(out) > 10000:
+            yield batch()
+            out = []
+    out += _merge(pairs, ends)
+    yield batch()
 
 
 def guarded_clusters(decided: DataFrame, node: DataFrame) -> DataFrame:
-    """``(kind, a, b, cohesion)``: members (a in cluster b), doubtful and discarded pairs of clusters.
+    """``(kind, a, b, cohesion, a_texto, b_texto, n_comunes)``: members (a in cluster b), doubtful and discarded pairs of clusters.
 
-    No merge can cross a connected component of accepted pairs, so each component is replayed on its own.
+    No merge can cross a connected component of accepted pairs, so each component is replayed on its own. Pairs carry both
+    representatives' texts and how many words, stopwords and single letters aside, they share.
     """
     accepted = durable(decided.where("accepted").select("a", "b", "score"), "accepted")
     joint = components(accepted)
     full = with_ends(accepted, node).drop("a_tokens", "b_tokens").join(joint.select(F.col("node").alias("a"), "component"), "a")
-    return full.groupBy("component").applyInPandas(_merge, "kind string, a string, b string, cohesion double")
+    return full.repartition("component").sortWithinPartitions("component").mapInArrow(_replay, _MERGED)
+
+
+def doubt_list(merged: DataFrame, kind: str = "doubt") -> DataFrame:
+    """Doubtful (or discarded) pairs in the order of review: most shared words, then most cohesion, then names."""
+    return merged.where(F.col("kind") == kind).drop("kind").orderBy(F.desc("n_comunes"), F.desc("cohesion"), "a", "b")
 
 
 def clusters(merged: DataFrame, node: DataFrame) -> DataFrame:
@@ -200,10 +267,13 @@ def clusters(merged: DataFrame, node: DataFrame) -> DataFrame:
 
 
 def size_rank(members: DataFrame) -> DataFrame:
-    """``(cluster, n, rank)``: clusters numbered by size, largest first."""
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("n"))
-    # Ranks come from counts by size, then names within a size: no task sees all clusters.
-    by_size = sizes.groupBy("n").agg(F.count("*").alias("k"))
-    above = by_size.alias("x").join(by_size.alias("y"), F.col("y.n") > F.col("x.n"), "left").groupBy(F.col("x.n").alias("n")).agg(F.coalesce(F.sum("y.k"), F.lit(0)).alias("before"))
-    within = Window.partitionBy("n").orderBy("cluster")
-    return sizes.withColumn("r", F.row_number().over(within)).join(above, "n").select("cluster", "n", (F.col("before") + F.col("r")).cast("long").alias("rank"))
+    """``(cluster, n, rank)``: clusters numbered by size, largest first, then by name."""
+    return numbered(members.groupBy("cluster").agg(F.count("*").alias("n")), "rank", 1, F.desc("n"), "cluster")
+
+
+def numbered(df: DataFrame, name: str, first: int, *order) -> DataFrame:
+    """Adds ``name``, a place in the given order: rows are dealt by ranges of the order, and each range begins where those before end."""
+    placed = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    before = placed.groupBy("_part").agg(F.count("*").alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a range
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return placed.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + within + F.lit(first - 1)).cast("long")).drop("_part", "_k", "_before")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions import text as T
 from ..functions.rules import SETTINGS
-from ..functions.similarity import _sorted, ratio
+from ..functions.similarity import _sorted, best_match
 from .knowledge import Knowledge
 from .lexicon import approximate_candidates, commercial_prefix, morphological_variant, once, similar_word
 from .records import gazetteer_key, horizontal_property
@@ -21,7 +21,7 @@ def phrase(nucleo: Column, knowledge: Knowledge) -> Column:
 
 
 def _in_catalogue(tokens: Column, knowledge: Knowledge) -> Column:
-    return F.filter(F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: x["t"].isin(*knowledge.words))
+    return F.filter(F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: T.one_of(x["t"], *knowledge.words))
 
 
 def best_token(tokens: Column, knowledge: Knowledge) -> Column:
@@ -37,9 +37,9 @@ def first_token(tokens: Column, knowledge: Knowledge) -> Column:
 def approximate(df: DataFrame, knowledge: Knowledge, tokens: str = "tokens") -> DataFrame:
     """Adds ``aprox``: the catalogue word that the first matching token is a variant or near-miss of ('' if none)."""
     able = approximate_candidates(F.col(tokens), knowledge)
-    near = similar_word(able, knowledge)
-    made = df.withColumn("_able", able).withColumn("_near", near)
-    hits = F.zip_with("_able", "_near", lambda t, n: F.when(morphological_variant(t, knowledge) != "", morphological_variant(t, knowledge)).otherwise(n))
+    made = df.withColumn("_able", able).withColumn("_near", similar_word(F.col("_able"), knowledge))
+    forms = F.transform("_able", lambda t: F.nullif(morphological_variant(t, knowledge), F.lit("")))
+    hits = F.zip_with(forms, "_near", lambda v, n: F.coalesce(v, n))
     return made.withColumn("aprox", F.coalesce(F.get(F.filter(hits, lambda h: h != ""), F.lit(0)), F.lit(""))).drop("_able", "_near")
 
 
@@ -50,7 +50,7 @@ def cascade(df: DataFrame, knowledge: Knowledge) -> DataFrame:
     """
     tokens = F.col("tokens")
     prefixes = F.filter(F.transform(tokens, lambda t: commercial_prefix(t, knowledge)), lambda p: p != "")
-    prefix_field = lambda p, i: F.element_at(F.create_map(*[x for r in rules.COMMERCIAL_PREFIXES for x in (F.lit(r[0]), F.lit(r[i]))]), p)
+    prefix_field = lambda p, i: F.element_at(T.constant_map({r[0]: r[i] for r in rules.COMMERCIAL_PREFIXES}), p)
 
     def found(level, key, section, division, weight=None):
         return F.struct(F.lit(level).alias("nivel"), key.alias("evidencia"), section.alias("seccion"), division.alias("division"), (F.lit(5) if weight is None else weight).cast("int").alias("peso"))
@@ -115,7 +115,7 @@ def propagate(resolved: DataFrame, doubts: DataFrame, knowledge: Knowledge) -> D
     target = resolved.where((F.coalesce("seccion", F.lit("")) == "") & (F.coalesce("nivel", F.lit("")) != "reclasificacion")).select(F.col("cluster").alias("b"), F.col("representante").alias("rb"))
     pairs = both.join(source, "a").join(target, "b")
     shared = T.without(F.array_intersect(F.split("ra", " "), F.split("rb", " ")), rules.STOPWORDS)
-    pairs = pairs.withColumn("comunes", shared).where((F.size("comunes") == 0) | ~F.forall("comunes", lambda t: t.isin(*knowledge.proper_nouns)))
+    pairs = pairs.withColumn("comunes", shared).where((F.size("comunes") == 0) | ~F.forall("comunes", lambda t: T.one_of(t, *knowledge.proper_nouns)))
     order = Window.partitionBy("b").orderBy(F.desc(F.size("comunes")), F.desc("cohesion"), "a")
     return pairs.withColumn("k", F.row_number().over(order)).where("k = 1").select(F.col("b").alias("cluster"), "seccion", "division", F.col("a").alias("fuente"), "cohesion")
 
@@ -126,17 +126,13 @@ MARKERS = tuple(sorted({*rules.INACTIVE, *rules.ANNOTATIONS}))
 def reclassified(text: Column) -> Column:
     """The marker of an inactive person or annotation that a representative resembles by 88 or more ('' if none)."""
 
-    def best(column: pd.Series) -> pd.Series:
-        prepared = [(m, _sorted(m)) for m in MARKERS]
-
-        def of(t: str) -> str:
-            own, found = _sorted(t), ("", 0.0)
-            for marker, s in prepared:
-                if 200.0 * min(len(s), len(own)) >= SETTINGS.reclassify * (len(s) + len(own)) and (r := ratio(own, s)) >= SETTINGS.reclassify and r > found[1]:
-                    found = (marker, r)
-            return found[0]
+    names = {_sorted(m): m for m in reversed(MARKERS)}  # the first of markers with the same words
+    order = sorted(names, key=lambda s: MARKERS.index(names[s]))
 
-        return column.map(of)
+    def best(column: pd.Series) -> pd.Series:
+        texts = column.map(_sorted)
+        found = best_match(list(texts), order, SETTINGS.reclassify)
+        return texts.map(lambda t: names.get(found[t], ""))
 
     best.__annotations__ = {}
     return once(best, "string")(text)

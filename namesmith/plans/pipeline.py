@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..functions import text as T
 from ..operators import canonical, external, records, resolution, sectors
 from ..operators.knowledge import Knowledge, default, division_label, executive_view, macrosector
 from ..storage import durable, ship
@@ -26,7 +27,7 @@ def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame
     knowledge = knowledge or default()
     names = durable(names, "names")
     recs, frequency = records.records(names, knowledge)
-    recs, frequency = durable(recs, "records"), durable(frequency, "frequency")
+    recs = durable(recs, "records")
     cut = records.generic_cut(names.count())
 
     node = durable(resolution.nodes(recs), "nodes")
@@ -71,11 +72,11 @@ def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame
 
 def non_employers(recs: DataFrame, knowledge: Knowledge) -> DataFrame:
     """Audit rows of records that aren't employers: fixed labels by type, their situation, and a recovered sector."""
-    rows = sectors.cascade(recs.where(~F.col("tipo").isin(*rules.EMPLOYER_TYPES)), knowledge)
+    rows = sectors.cascade(recs.where(~T.one_of(F.col("tipo"), *rules.EMPLOYER_TYPES)), knowledge)
     field = lambda i: F.element_at(F.create_map(*[x for k, v in rules.TYPE_LABELS.items() for x in (F.lit(k), F.lit(v[i]))]), F.col("tipo"))
     said = records.situation(F.col("limpio"), F.col("tokens"))
     name = F.when(F.col("tipo").isin("INACTIVO", "ANOTACION") & (said != ""), said).otherwise(field(0))
-    kept = F.col("tipo").isin(*rules.SECTOR_KEEPERS) & (F.col("seccion") != "")
+    kept = T.one_of(F.col("tipo"), *rules.SECTOR_KEEPERS) & (F.col("seccion") != "")
     only = lambda c: F.when(kept, F.col(c)).otherwise(F.lit("")).alias(c)
     none = F.lit(None).cast("string")
     return rows.select(
