@@ -6,7 +6,8 @@ queries run over all rows of that table.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +15,21 @@ from pyspark.sql import functions as F
 from . import oracles as O
 from .functions import rules
 from .functions import text as T
-from .functions.similarity import indel_ratio, token_sort_ratio
+from .functions.similarity import indel_ratio, register, token_sort_ratio
 from .operators import canonical, external, lexicon, records, reports, resolution, sectors
 from .operators.knowledge import default, division_label, executive_view, macrosector
 from .plans import pipeline
-from .sources import files
-from .sources.names import names
-from .storage import durable, ship
+from .sources import files, sheets
+from .sources.names import drifting_names, drifting_sql, names, names_sql
+from .storage import durable, shared_folder, ship
+from .streaming import incremental
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 K = default()
 C = O.Chain(K)
+#: The names and chains of drifting ones, on which the guard of clustering has work to do.
+D = O.Chain(K, f"{names_sql()} union all {drifting_sql()}")
 
 
 def query(sql: str | None = None):
@@ -48,14 +52,18 @@ def first_pass(spark, sf_dir):
     return records.first_pass(names(spark, sf_dir), K)
 
 
-def keyed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    parts = durable(first_pass(spark, sf_dir), "parts")
+def with_chains(spark, sf_dir) -> DataFrame:
+    return names(spark, sf_dir).union(drifting_names(spark, sf_dir))
+
+
+def keyed(spark, sf_dir, source=names) -> tuple[DataFrame, DataFrame]:
+    parts = durable(records.first_pass(source(spark, sf_dir), K), "parts")
     frequency = durable(records.document_frequency(parts), "frequency")
     return records.keyed(parts, records.generic_tokens(frequency, parts.count()), K), frequency
 
 
-def noded(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rec, frequency = keyed(spark, sf_dir)
+def noded(spark, sf_dir, source=names) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rec, frequency = keyed(spark, sf_dir, source)
     node = durable(resolution.nodes(rec), "nodes")
     return node, durable(resolution.rare_tokens(node, frequency), "rare"), frequency
 
@@ -334,16 +342,54 @@ def connected_components(spark, sf_dir):
     return resolution.components(decided(spark, sf_dir)[0].where("accepted"))
 
 
-@query()
+def guarded(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Members and disputed pairs of the names with the drifting ones, and their nodes."""
+    node, rare, frequency = noded(spark, sf_dir, with_chains)
+    n = with_chains(spark, sf_dir).count()
+    pairs = resolution.decide(resolution.candidate_pairs(resolution.signals(rare)), node, rare, records.generic_cut(n))
+    return durable(resolution.guarded_clusters(pairs, node, records.generic_tokens(frequency, n)), "merged"), node
+
+
+_GUARDED = O.guarded_ctes()
+_CLUSTERS = "clustered as (select n.clave, n.n_registros, coalesce(j.cluster, n.clave) as cluster from nodes n left join joined_ends j using (clave))"
+
+
+@query(D.sql(O.DECIDED, "select clave, cluster, sha256(cluster) as stable_id from clustered", _GUARDED, _CLUSTERS))
 def guarded_clusters(spark, sf_dir):
-    pairs, node = decided(spark, sf_dir)
-    return resolution.clusters(durable(resolution.guarded_clusters(pairs, node), "merged"), node)
+    return resolution.clusters(*guarded(spark, sf_dir))
 
 
-@query()
+@query(D.sql(O.DECIDED, "select a, b, cohesion, representante_a, representante_b, tokens_distintivos, row_number() over (order by tokens_distintivos desc, cohesion desc, a, b) as orden from disputed where kind = 'doubt'", _GUARDED))
 def doubt_zone(spark, sf_dir):
-    pairs, node = decided(spark, sf_dir)
-    return resolution.guarded_clusters(pairs, node).where("kind <> 'member'")
+    return resolution.doubt_list(guarded(spark, sf_dir)[0])
+
+
+@query(D.sql(O.DECIDED, "select a, b, cohesion, representante_a, representante_b, tokens_distintivos, row_number() over (order by tokens_distintivos desc, cohesion desc, a, b) as orden from disputed where kind = 'discarded'", _GUARDED))
+def discarded_merges(spark, sf_dir):
+    return resolution.doubt_list(guarded(spark, sf_dir)[0], "discarded")
+
+
+@query(D.sql(O.DECIDED, "select sum(k)::bigint as claves, count(*) as clusters, count(*) filter (k > 1) as clusters_multiples, coalesce(sum(n) filter (k > 1), 0)::bigint as registros_en_multiples from (select cluster, count(*) as k, sum(n_registros) as n from clustered group by cluster)", _GUARDED, _CLUSTERS))
+def cluster_summary(spark, sf_dir):
+    merged, node = guarded(spark, sf_dir)
+    return resolution.cluster_summary(resolution.clusters(merged, node), node)
+
+
+@query(
+    C.sql(
+        O.DECIDED,
+        "select component, count(*) as n from (select node, min(reach) as component from reached group by node) group by component having count(*) > 1",
+        """edges as (select a, b from accepted where accepted union select b, a from accepted where accepted),
+reached(node, reach) as (select a, a from edges union select r.node, e.b from reached r join edges e on e.a = r.reach)""",
+    )
+)
+def component_sizes(spark, sf_dir):
+    return resolution.component_sizes(resolution.components(decided(spark, sf_dir)[0].where("accepted")))
+
+
+@query(C.sql(O.NODES, "select clave, n, idx from employers join (select clave, count(*) as n from employers group by clave having count(*) > 1) using (clave)"))
+def group_members(spark, sf_dir):
+    return resolution.group_members(durable(keyed(spark, sf_dir)[0], "keyed"))
 
 
 @query(C.sql(O.NODES, "select clave as cluster, count(*) as n, row_number() over (order by count(*) desc, clave) as rank from employers group by clave"))
@@ -603,6 +649,11 @@ def review_backlog(spark, sf_dir):
     return reports.review_backlog(_backlog(spark, sf_dir))
 
 
+@query(C.sql(O.RECORDS, f"select bloque, idx, nombre, nombre_original, nombre_propuesto, tipo, row_number() over (order by bloque, nombre, idx) as orden from (select {_BLOCK} as bloque, idx, {O._strip('nombre_original')} as nombre, nombre_original, nombre as nombre_propuesto, tipo from labelled where {_OPEN})", O.cascade_ctes(K, "records"), _NAMED))
+def review_list(spark, sf_dir):
+    return reports.review_list(reports.review_backlog(_backlog(spark, sf_dir)))
+
+
 @query(
     C.sql(
         O.RECORDS,
@@ -711,3 +762,112 @@ def pipeline_end_to_end(spark, sf_dir):
 def csv_gzip_round_trip(spark, sf_dir):
     """Written as gzip CSV into the shared folder and read back with a fixed schema."""
     return files.csv_round_trip(names(spark, sf_dir))
+
+
+# --- sources, sinks, splits and lists of the whole flow ------------------------------------------------------------------------
+
+
+def _own_file(spark, kind: str) -> str:
+    return f"{shared_folder(spark)}/namesmith/{kind}-{uuid.uuid4().hex}"
+
+
+@query(f"select coalesce(nombre_original, '') as texto from ({O.names_sql()})")
+def xlsx_round_trip(spark, sf_dir):
+    """Written as a workbook into the shared folder and read back; the header is checked."""
+    path = _own_file(spark, "names") + ".xlsx"
+    sheets.write_xlsx(names(spark, sf_dir).select("nombre_original", "idx"), path, "ORIGINAL")
+    return sheets.read_xlsx(spark, path, "nombre_original", "ORIGINAL").select("texto")
+
+
+@query(ORACLES["kpi_summary"])
+def json_round_trip(spark, sf_dir):
+    """The indicators written as a JSON document and read back."""
+    with tempfile.TemporaryDirectory() as folder:
+        kpis = durable(kpi_summary(spark, sf_dir), "kpis")
+        files.export_json(kpis, f"{folder}/kpis.json")
+        return spark.createDataFrame([files.read_json(f"{folder}/kpis.json")], kpis.schema)
+
+
+@query(f"select idx, nombre_original from ({O.names_sql()})")
+def optional_input(spark, sf_dir):
+    """The names and an optional table that isn't there."""
+    return names(spark, sf_dir).union(files.read_optional(spark, _own_file(spark, "absent"), files.NAMES))
+
+
+@query(f"select * from (values " + ", ".join(f"({O.q(a)}, {O.q(b)}, {O.q(c)})" for a, b, c in external.prompt_catalogue(K.catalogue)) + ") as t(seccion, division, etiqueta)")
+def prompt_catalogue(spark, sf_dir):
+    return spark.createDataFrame(external.prompt_catalogue(K.catalogue), "seccion string, division string, etiqueta string")
+
+
+_SAMPLE = f"based_names as (select idx, {O._strip('nombre_original')} as nombre, md5('2026:' || idx) as h from ({O.names_sql()}))"
+
+
+@query(
+    f"with {_SAMPLE} "
+    + " union all ".join(
+        f"select {O.q(label)} as muestra, p::int as puesto, idx, nombre from (select *, row_number() over (order by h, idx) as p from based_names where {holds}) where p <= {k}"
+        for label, holds, k in (("general", "true", 30), ("truncados", "len(nombre) = 30", 15), ("cortos", "len(nombre) <= 6", 20))
+    )
+)
+def seeded_samples(spark, sf_dir):
+    return reports.samples(names(spark, sf_dir))
+
+
+_LABELS = {t: v[0] for t, v in rules.TYPE_LABELS.items()}
+
+
+@query(
+    C.sql(
+        O.RECORDS,
+        f"""select idx, case when tipo in ('INACTIVO', 'ANOTACION') and s <> '' then s else {O.mapped('tipo', _LABELS)} end as nombre_propuesto,
+case when kept then coalesce({O.mapped('seccion || division', rules.DIVISIONS)}, {O.mapped('seccion', rules.SECTIONS)}) else {O.mapped('tipo', {t: v[1] for t, v in rules.TYPE_LABELS.items()})} end as sector_propuesto,
+case when kept then seccion else '' end as seccion, {O.mapped('tipo', {t: v[2] for t, v in rules.TYPE_LABELS.items()})}::int as confianza
+from (select *, {O.situation('limpio', 'tokens')} as s, tipo in ({O.items(rules.SECTOR_KEEPERS)}) and seccion <> '' as kept from cascade) where not ({_EMP})""",
+        O.cascade_ctes(K, "records"),
+    )
+)
+def non_employer_labels(spark, sf_dir):
+    return pipeline.non_employers(keyed(spark, sf_dir)[0], K).select("idx", "nombre_propuesto", "sector_propuesto", "seccion", "confianza")
+
+
+@query(C.sql(O.RECORDS, f"select tipo, {_EMP} as empleador, count(*) as n from records group by all"))
+def employer_split(spark, sf_dir):
+    """Employers and the others, as the flow parts them."""
+    rec = durable(keyed(spark, sf_dir)[0], "keyed")
+    own, others = resolution.employers(rec), resolution.others(rec)
+    return own.withColumn("empleador", F.lit(True)).union(others.withColumn("empleador", F.lit(False))).groupBy("tipo", "empleador").agg(F.count("*").alias("n"))
+
+
+@query(
+    C.sql(
+        O.RECORDS,
+        f"""select nombre_original, upper(nombre) as nombre_propuesto, coalesce({O.mapped('seccion || division', rules.DIVISIONS)}, {O.mapped('seccion', rules.SECTIONS)}, {O.q(rules.PENDING_LABEL)}) as sector_propuesto,
+case when seccion <> '' then {O.mapped('seccion', rules.SECTIONS)} when {_EMP} then {O.q(rules.PENDING_LABEL)} when starts_with(nombre, 'No identificable') then 'No identificable' else {O.q(rules.NO_CORPORATE_LINK)} end as macrosector from labelled""",
+        O.cascade_ctes(K, "records"),
+        _NAMED,
+    )
+)
+def deliverable_columns(spark, sf_dir):
+    """The four delivered columns of every record, named by its own core."""
+    rows = _backlog(spark, sf_dir).withColumn("sector_propuesto", F.coalesce(division_label(F.col("seccion"), F.col("division")), F.lit(rules.PENDING_LABEL)))
+    return pipeline.deliverable(rows.withColumn("macrosector", macrosector(F.col("seccion"), F.col("tipo"), F.col("nombre_propuesto"))))
+
+
+@query(ORACLES["indel_ratio_pairs"])
+def sql_similarity(spark, sf_dir):
+    """The kernel called from SQL."""
+    register(spark)
+    spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_name").alias("x")).distinct().createOrReplaceTempView("namesmith_words")
+    return spark.sql("select a.x, b.x as y, indel_ratio(a.x, b.x) as ratio from namesmith_words a join namesmith_words b on a.x < b.x")
+
+
+@query(C.sql(O.RECORDS, "select idx, nombre_original, r.clave, tipo, m.clave as cluster from records r left join (select distinct clave from records where tipo = 'EMPRESA' and clave < 'M') m using (clave)"))
+def streaming_resolution(spark, sf_dir):
+    """The names as a stream, resolved against a master: half of the alphabet of company keys."""
+    rec, frequency = keyed(spark, sf_dir)
+    master = durable(rec.where("tipo = 'EMPRESA' and clave < 'M'").select("clave", F.col("clave").alias("cluster")).distinct(), "master")
+    folder = _own_file(spark, "stream")
+    names(spark, sf_dir).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(files.NAMES).parquet(f"{folder}/in")
+    incremental.start(stream, master, records.generic_tokens(frequency, rec.count()), f"{folder}/out", f"{folder}/checkpoint", K).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("lote")

@@ -89,6 +89,13 @@ def ask(queue: DataFrame, client: Callable[[list[str]], str]) -> DataFrame:
     return queue.repartition("lote").mapInPandas(run, ANSWER)
 
 
-def prompt_catalogue(catalogue) -> list[tuple[str, str]]:
-    """Distinct (section, division) pairs, sorted, for the prompt."""
-    return sorted({(r.section, r.division) for r in catalogue})
+def prompt_catalogue(catalogue) -> list[tuple[str, str, str]]:
+    """Distinct (section, division, label) for the prompt, sorted; the last row of a pair decides its label."""
+    label = lambda r: getattr(r, "label", None) or rules.DIVISIONS.get(r.section + r.division) or rules.SECTIONS.get(r.section, "")
+    found = {(r.section, r.division): label(r) for r in catalogue}
+    return [(*pair, text) for pair, text in sorted(found.items())]
+
+
+def prompt_text(catalogue) -> str:
+    """One line a pair: section, division, label."""
+    return "\n".join(" | ".join(row) for row in prompt_catalogue(catalogue))

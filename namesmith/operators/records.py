@@ -169,10 +169,11 @@ def keyed(record_parts: DataFrame, generic: list[str], knowledge: Knowledge) ->
     return rows.withColumn("tipo", record_type(F.col("sin_numero"), F.col("tokens"), F.col("sufijo_societario"), knowledge))
 
 
-def records(names: DataFrame, knowledge: Knowledge | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records after both passes, document frequencies of the first)."""
+def records(names: DataFrame, knowledge: Knowledge | None = None, frequency: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records after both passes, document frequencies of the first, which may be given)."""
     knowledge = knowledge or default()
-    frequency = durable(document_frequency(first_pass(names, knowledge)), "frequency")
+    if frequency is None:
+        frequency = durable(document_frequency(first_pass(names, knowledge)), "frequency")
     generic = generic_tokens(frequency, names.count())
     words = base_words(names)
     merges = durable(bigram_merges(words, frequency), "joins")

@@ -100,3 +100,23 @@ def master(rows: DataFrame) -> DataFrame:
     others = [c for c in rows.columns if c not in ("cluster", "idx")]
     first = rows.groupBy("cluster").agg(F.min_by(F.struct(*others), F.col("idx")).alias("f"), F.count("*").alias("registros"), F.countDistinct("clave").alias("variantes"))
     return first.select("cluster", "registros", "variantes", "f.*")
+
+
+def review_list(backlog: DataFrame) -> DataFrame:
+    """The backlog with its place in alphabetical order within blocks, where families of names stand together."""
+    from .resolution import numbered
+
+    return numbered(backlog.withColumn("nombre", T.strip_export_prefix(F.col("nombre_original"))), "orden", 1, "bloque", "nombre", "idx")
+
+
+def samples(names: DataFrame, seed: int = 2026, sizes: tuple[int, int, int] = (30, 15, 20)) -> DataFrame:
+    """``(muestra, puesto, idx, nombre)``: seeded samples of all names, of cut-off ones and of short ones: those of least hash."""
+    base = names.select("idx", T.strip_export_prefix(F.col("nombre_original")).alias("nombre"), F.md5(F.concat(F.lit(f"{seed}:"), F.col("idx").cast("string"))).alias("h"))
+    universes = (("general", F.lit(True)), ("truncados", F.length("nombre") == 30), ("cortos", F.length("nombre") <= 6))
+    out = None
+    for (label, holds), k in zip(universes, sizes):
+        least = base.where(holds).orderBy("h", "idx").limit(k)  # a bounded top list
+        placed = least.groupBy().agg(F.array_sort(F.collect_list(F.struct("h", "idx", "nombre"))).alias("x")).select(F.posexplode("x").alias("p", "r"))
+        part = placed.select(F.lit(label).alias("muestra"), (F.col("p") + 1).cast("int").alias("puesto"), "r.idx", "r.nombre")
+        out = part if out is None else out.union(part)
+    return out

@@ -20,11 +20,20 @@ def employers(records: DataFrame) -> DataFrame:
     return records.where(T.one_of(F.col("tipo"), *rules.EMPLOYER_TYPES))
 
 
+def others(records: DataFrame) -> DataFrame:
+    return records.where(~T.one_of(F.col("tipo"), *rules.EMPLOYER_TYPES))
+
+
 def exact_groups(records: DataFrame) -> DataFrame:
     """``(clave, n)`` of keys that several employer records share."""
     return employers(records).groupBy("clave").agg(F.count("*").alias("n")).where("n > 1")
 
 
+def group_members(records: DataFrame) -> DataFrame:
+    """``(clave, n, idx)``: the members of keys that several employer records share, a row each: no group has to fit a task."""
+    return employers(records).select("clave", "idx").join(exact_groups(records), "clave").select("clave", "n", "idx")
+
+
 def nodes(records: DataFrame) -> DataFrame:
     """One row for each employer key: its best text, the core, and the first record's tokens."""
     best = F.struct(F.when(F.col("truncado"), 0).otherwise(1).alias("whole"), F.length("limpio").alias("len"), F.col("limpio"), F.col("nucleo"))
@@ -173,14 +182,10 @@ def _prefix_or_ratio(x, y) -> float:
     return max(ratio(_sorted(x[1]), _sorted(y[1])), ratio(_sorted(x[2]), _sorted(y[2])))
 
 
-def _words(text: str) -> int:
-    return sum(len(t) > 1 and t not in rules.STOPWORDS for t in set(text.split()))
-
-
-def _merge(pairs: list[tuple], ends: dict[str, tuple]) -> list[tuple]:
+def _merge(pairs: list[tuple], ends: dict[str, tuple], generic: set[str]) -> list[tuple]:
     """Replays the merges of one component, best pair first, under the cohesion of the representatives.
 
-    ``ends``: key -> (limpio, nucleo, reducido, truncado).
+    ``ends``: key -> (limpio, nucleo, reducido, truncado, tokens).
     """
     parent, speaker = {k: k for k in ends}, dict(ends)
 
@@ -208,55 +213,71 @@ def _merge(pairs: list[tuple], ends: dict[str, tuple]) -> list[tuple]:
             doubts[pair] = (kind, value)
     out = [("member", k, root(k), None, None, None, None) for k in ends]
     for (x, y), (kind, v) in doubts.items():
-        texts = speaker[x][0], speaker[y][0]
-        out.append((kind, x, y, v, *texts, _words(" ".join(sorted(set(texts[0].split()) & set(texts[1].split()))))))
+        p, q = speaker[x], speaker[y]
+        out.append((kind, x, y, v, p[0], q[0], len(set(p[4]) & set(q[4]) - generic)))
     return out
 
 
-_MERGED = "kind string, a string, b string, cohesion double, a_texto string, b_texto string, n_comunes int"
+_MERGED = "kind string, a string, b string, cohesion double, representante_a string, representante_b string, tokens_distintivos int"
 
 
-def _replay(batches):
+def _replay(generic: set[str]):
     """Rows of components, one after the other; memory holds one component."""
     import pyarrow as pa
 
     kinds = (pa.string(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.string(), pa.int32())
     names = [c.split()[0] for c in _MERGED.split(", ")]
-    now, pairs, ends, out = None, [], {}, []
 
-    def batch():
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=names)
+    def run(batches):
+        now, pairs, ends, out = None, [], {}, []
 
-    for rows in batches:
-        for r in rows.to_pylist():
-            if r["component"] != now:
-                out += _merge(pairs, ends)
-                now, pairs, ends = r["component"], [], {}
-            pairs.append((r["score"], r["a"], r["b"]))
-            for e in ("a", "b"):
-                ends[r[e]] = tuple(r[f"{e}_{c}"] for c in ("limpio", "nucleo", "reducido", "truncado"))
-        if len(out) > 10000:
-            yield batch()
-            out = []
-    out += _merge(pairs, ends)
-    yield batch()
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=names)
 
+        for rows in batches:
+            for r in rows.to_pylist():
+                if r["component"] != now:
+                    out += _merge(pairs, ends, generic)
+                    now, pairs, ends = r["component"], [], {}
+                pairs.append((r["score"], r["a"], r["b"]))
+                for e in ("a", "b"):
+                    ends[r[e]] = tuple(r[f"{e}_{c}"] for c in ("limpio", "nucleo", "reducido", "truncado", "tokens"))
+            if len(out) > 10000:
+                yield batch()
+                out = []
+        out += _merge(pairs, ends, generic)
+        yield batch()
 
-def guarded_clusters(decided: DataFrame, node: DataFrame) -> DataFrame:
-    """``(kind, a, b, cohesion, a_texto, b_texto, n_comunes)``: members (a in cluster b), doubtful and discarded pairs of clusters.
+    return run
+
+
+def guarded_clusters(decided: DataFrame, node: DataFrame, generic: list[str] = ()) -> DataFrame:
+    """``(kind, a, b, cohesion, representante_a, representante_b, tokens_distintivos)``: members (a in cluster b), doubtful and discarded pairs of clusters.
 
     No merge can cross a connected component of accepted pairs, so each component is replayed on its own. Pairs carry both
-    representatives' texts and how many words, stopwords and single letters aside, they share.
+    representatives' texts and how many words that aren't ``generic`` they share.
     """
     accepted = durable(decided.where("accepted").select("a", "b", "score"), "accepted")
     joint = components(accepted)
-    full = with_ends(accepted, node).drop("a_tokens", "b_tokens").join(joint.select(F.col("node").alias("a"), "component"), "a")
-    return full.repartition("component").sortWithinPartitions("component").mapInArrow(_replay, _MERGED)
+    full = with_ends(accepted, node).join(joint.select(F.col("node").alias("a"), "component"), "a")
+    return full.repartition("component").sortWithinPartitions("component").mapInArrow(_replay(set(generic)), _MERGED)
 
 
 def doubt_list(merged: DataFrame, kind: str = "doubt") -> DataFrame:
-    """Doubtful (or discarded) pairs in the order of review: most shared words, then most cohesion, then names."""
-    return merged.where(F.col("kind") == kind).drop("kind").orderBy(F.desc("n_comunes"), F.desc("cohesion"), "a", "b")
+    """Doubtful (or discarded) pairs with their place in the review: most shared distinctive words, most cohesion, then names."""
+    return numbered(merged.where(F.col("kind") == kind).drop("kind"), "orden", 1, F.desc("tokens_distintivos"), F.desc("cohesion"), "a", "b")
+
+
+def component_sizes(member: DataFrame, group: str = "component") -> DataFrame:
+    """``(group, n)`` of groups with several members."""
+    return member.groupBy(group).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def cluster_summary(member: DataFrame, node: DataFrame) -> DataFrame:
+    """One row: keys, clusters, clusters of several keys, records in those. ``member``: (clave, cluster)."""
+    sizes = member.join(node.select("clave", "n_registros"), "clave").groupBy("cluster").agg(F.count("*").alias("k"), F.sum("n_registros").alias("n"))
+    several = F.col("k") > 1
+    return sizes.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("claves"), F.count("*").alias("clusters"), F.count_if(several).alias("clusters_multiples"), F.coalesce(F.sum(F.when(several, F.col("n"))), F.lit(0)).alias("registros_en_multiples"))
 
 
 def clusters(merged: DataFrame, node: DataFrame) -> DataFrame:

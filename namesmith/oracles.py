@@ -86,12 +86,12 @@ lcs(x, y, i, r) as (
 ratios as (select x, y, 200.0e0 * r[len(y) + 1] / (len(x) + len(y)) as r from lcs where i = len(x))"""
 
 
-def clean_ctes(k: Knowledge, table: str = "customer") -> str:
+def clean_ctes(k: Knowledge, source: str) -> str:
     bases = items(k.words)
     glued = _case([(f"ends_with(t, {q(s)}) and len(t) >= {len(s) + S.glued_base} and t[:len(t) - {len(s)}] in ({bases})", f"[t[:len(t) - {len(s)}], {q(s)}]") for s in rules.GLUED_SUFFIXES], "[t]")
     stems = _case([(f"starts_with(t, {q(a)}) and t <> {q(b)}", q(b)) for a, b in rules.TRUNCATED_STEMS], "t")
     words = _chain("b", [(f"\\b{a} +{b}\\b", w) for a, b, w in rules.SPLIT_WORDS])
-    return f"""names as ({names_sql(table)}),
+    return f"""names as ({source}),
 based as (select idx, nombre_original, {_base("nombre_original")} as b from names),
 joined as (select idx, nombre_original, b, {words} as j from based),
 spelled as (select *, {_chain("j", rules.SPELLED_ACRONYMS)} as a from joined),
@@ -169,8 +169,7 @@ def reduced(tokens: str) -> str:
     a = _kept(_drop(tokens, rules.PAYROLL_WORDS), tokens)
     b = _kept(_drop(f"({a})", rules.OCCUPATIONS), f"({a})")
     text = f"regexp_replace({_join(f'({b})')}, {q('( (' + '|'.join(rules.PLACE_TOKENS) + '))+$')}, '')"
-    for _ in range(4):
-        text = f"regexp_replace({text}, {q('(^| )(' + '|'.join(rules.STOPWORDS) + ')$')}, '')"
+    text = f"regexp_replace({text}, {q('((^| )(' + '|'.join(rules.STOPWORDS) + '))+$')}, '')"
     return f"case when {text} = '' then {_join(tokens)} else {text} end"
 
 
@@ -211,9 +210,9 @@ accepted as materialized (select a, b, shared, score, cut_off or score >= case w
 class Chain:
     """Builds whole statements from the CTEs that a query needs."""
 
-    def __init__(self, knowledge: Knowledge | None = None, table: str = "customer"):
+    def __init__(self, knowledge: Knowledge | None = None, source: str = names_sql()):
         self.k = knowledge or default()
-        self.steps = [clean_ctes(self.k, table), typo_ctes(self.k), part_ctes(), key_ctes(self.k), node_ctes(), decide_ctes()]
+        self.steps = [clean_ctes(self.k, source), typo_ctes(self.k), part_ctes(), key_ctes(self.k), node_ctes(), decide_ctes()]
 
     def sql(self, depth: int, final: str, *more: str) -> str:
         """``depth``: how many of the steps; ``more``: further CTEs."""
@@ -297,3 +296,37 @@ def title_case(x: str) -> str:
 
 def mapped(key: str, table: dict, other: str = "null") -> str:
     return f"case {key} " + " ".join(f"when {q(a)} then {q(b) if isinstance(b, str) else repr(b)}" for a, b in table.items()) + f" else {other} end"
+
+
+def guarded_ctes() -> str:
+    """The guarded merge, pair after pair in a recursion: state lists hold each end's root and each root's speaker.
+
+    CTEs fin(roots, speaker), joined_ends(clave, cluster) and disputed(kind, a, b, cohesion, ...).
+    """
+    return f"""
+edges as (select a, b from accepted where accepted union select b, a from accepted where accepted),
+reached(node, reach) as (select a, a from edges union select r.node, e.b from reached r join edges e on e.a = r.reach),
+comp as materialized (select node, min(reach) as component from reached group by node),
+ends as materialized (select row_number() over (order by clave) as e, dense_rank() over (order by not truncado, len(limpio), limpio) as o, n.*, component from nodes n join comp on node = clave),
+queue as materialized (select row_number() over (order by score desc, p.a, p.b) as i, x.e as ea, y.e as eb from accepted p join ends x on x.clave = p.a join ends y on y.clave = p.b where p.accepted),
+guard_sides as materialized (select x.e as p, y.e as q, {_SORTED.format("x.nucleo")} as x, {_SORTED.format("y.nucleo")} as y, {_SORTED.format("x.reducido")} as rx, {_SORTED.format("y.reducido")} as ry,
+  len(x.limpio) >= {S.prefix_least} and starts_with(y.limpio, x.limpio) or len(y.limpio) >= {S.prefix_least} and starts_with(x.limpio, y.limpio) as prefix
+  from ends x join ends y on x.component = y.component and x.e < y.e),
+guard_pairs as (select x, y from guard_sides union select rx, ry from guard_sides),
+{ratio_ctes("guard_pairs").replace("lcs", "guard_lcs").replace("ratios", "guard_ratios")},
+guard as materialized (select p, q, case when prefix then 100.0e0 else greatest(t.r, u.r) end as c from guard_sides s join guard_ratios t on t.x = s.x and t.y = s.y join guard_ratios u on u.x = s.rx and u.y = s.ry),
+orders as (select list(o order by e) as o from ends),
+step(i, roots, speaker, kind, x, y, v) as (
+  select 0::bigint, list(e order by e), list(e order by e), null::varchar, null::bigint, null::bigint, null::double from ends
+  union all
+  select i + 1, case when c >= {S.cohesion} then list_transform(roots, lambda r: case when r = y1 then x1 else r end) else roots end,
+    case when c >= {S.cohesion} then list_transform(speaker, lambda s, k: case when k = x1 and o[speaker[y1]] > o[speaker[x1]] then speaker[y1] else s end) else speaker end,
+    case when x1 = y1 or c >= {S.cohesion} then null when c >= {S.doubt} then 'doubt' else 'discarded' end, x1, y1, c
+  from (select s.*, o.o, least(roots[ea], roots[eb]) as x1, greatest(roots[ea], roots[eb]) as y1 from step s join queue t on t.i = s.i + 1, orders o)
+  left join guard on x1 <> y1 and p = least(speaker[x1], speaker[y1]) and q = greatest(speaker[x1], speaker[y1])),
+fin as materialized (select roots, speaker from step order by i desc limit 1),
+joined_ends as (select x.clave, y.clave as cluster from ends x, fin join ends y on y.e = fin.roots[x.e]),
+disputed_pairs as (select least(roots[x], roots[y]) as px, greatest(roots[x], roots[y]) as py, max(v) as cohesion from (select kind, x, y, v from step where kind is not null), (select roots from fin) group by all having px <> py),
+disputed as materialized (select case when cohesion >= {S.doubt} then 'doubt' else 'discarded' end as kind, a.clave as a, b.clave as b, cohesion, sa.limpio as representante_a, sb.limpio as representante_b,
+  len(list_filter(list_distinct(list_intersect(sa.tokens, sb.tokens)), lambda t: not list_contains(g.g, t)))::int as tokens_distintivos
+  from disputed_pairs d, generic g, fin f join ends a on a.e = d.px join ends b on b.e = d.py join ends sa on sa.e = f.speaker[d.px] join ends sb on sb.e = f.speaker[d.py])"""

@@ -11,7 +11,7 @@ from ..functions import rules
 from ..functions import text as T
 from ..operators import canonical, external, records, resolution, sectors
 from ..operators.knowledge import Knowledge, default, division_label, executive_view, macrosector
-from ..storage import durable, ship
+from ..storage import Stages, durable, ship
 
 
 class Result(NamedTuple):
@@ -21,23 +21,29 @@ class Result(NamedTuple):
     merged: DataFrame
 
 
-def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame | None = None) -> Result:
-    """Resolve ``names(idx, nombre_original)``; ``answers`` of external validation are optional."""
+def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame | None = None, folder: str | None = None, version: str = "") -> Result:
+    """Resolve ``names(idx, nombre_original)``; ``answers`` of external validation are optional.
+
+    With a ``folder``, records, pairs, clusters and what follows from them stay there as named stages, and a later run of
+    the same ``version`` (of names and rules) goes on from those that are finished. Answers are merged anew every time.
+    """
     ship(names.sparkSession)
     knowledge = knowledge or default()
-    names = durable(names, "names")
-    recs, frequency = records.records(names, knowledge)
-    recs = durable(recs, "records")
+    stage = Stages(names.sparkSession, folder, version)
+    raw = names
+    names = stage("names", lambda: raw)
+    frequency = stage("frequency", lambda: records.document_frequency(records.first_pass(names, knowledge)))
+    recs = stage("records", lambda: records.records(names, knowledge, frequency)[0])
     cut = records.generic_cut(names.count())
 
-    node = durable(resolution.nodes(recs), "nodes")
-    rare = durable(resolution.rare_tokens(node, frequency), "rare")
-    decided = resolution.decide(resolution.candidate_pairs(resolution.signals(rare)), node, rare, cut)
-    merged = durable(resolution.guarded_clusters(decided, node), "merged")
-    member = durable(resolution.clusters(merged, node), "clusters")
+    node = stage("nodes", lambda: resolution.nodes(recs))
+    rare = stage("rare", lambda: resolution.rare_tokens(node, frequency))
+    pairs = stage("pairs", lambda: resolution.decide(resolution.candidate_pairs(resolution.signals(rare)), node, rare, cut).where("accepted"))
+    merged = stage("merged", lambda: resolution.guarded_clusters(pairs, node, records.generic_tokens(frequency, names.count())))
+    member = stage("clusters", lambda: resolution.clusters(merged, node))
 
-    own = durable(resolution.employers(recs).join(member, "clave"), "members")
-    best = durable(canonical.best_variant(own, canonical.orthographic_quality(own, frequency)), "best")
+    own = stage("members", lambda: resolution.employers(recs).join(member, "clave"))
+    best = stage("best", lambda: canonical.best_variant(own, canonical.orthographic_quality(own, frequency)))
     named = canonical.canonical_names(best, canonical.majority_suffix(own, best), knowledge)
     voted = sectors.vote(own, knowledge)
     resolved = named.join(voted, "cluster", "left").withColumn("marcador", sectors.reclassified(F.col("limpio")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,14 @@ def export_json(df: DataFrame, path: str) -> None:
         json.dump(row.asDict(recursive=True) if row else {}, file, indent=2, sort_keys=True, ensure_ascii=False)
 
 
+def read_json(path: str, default=None):
+    """A JSON document, or the default if there is no such file."""
+    if not os.path.exists(path):
+        return default
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
 def csv_round_trip(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/namesmith/csv-{uuid.uuid4().hex}"

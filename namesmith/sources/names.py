@@ -88,3 +88,26 @@ def names(spark: SparkSession, sf_dir: str, table: str = "customer") -> DataFram
 def names_sql(table: str = "customer") -> str:
     key = KEYS[table]
     return f"select k as idx, {duckdb_expression()} as nombre_original from (select {key}::bigint as k from {table})"
+
+
+#: Names that drift: three of a chain, with so many letters of a word replaced. The first two are alike and so are the
+#: last two, but the ends aren't: of a chain's last pair a guarded merge doubts, discards or accepts, chain after chain.
+_DRIFT, _REPLACED = "MANANTIALESCLAROS", (10, 6, 0, 15, 9, 0, 4, 2, 0)
+
+
+def _drifting(concat, mod, div) -> str:
+    replaced = f"case {mod('k', len(_REPLACED))} " + " ".join(f"when {i} then {n}" for i, n in enumerate(_REPLACED)) + " end"
+    chain = f"substring(md5(cast({div('k', 3)} as varchar(9))), 1, 8)"
+    return concat(_quoted("''CORDILLERAS NODO"), chain, "' NUDO'", chain, "' '", f"substring('{_DRIFT}', 1, {len(_DRIFT)} - ({replaced}))", f"repeat('Z', {replaced})")
+
+
+def drifting_names(spark: SparkSession, sf_dir: str, table: str = "supplier") -> DataFrame:
+    """``(idx, nombre_original)``, idx below 0, for each key of a driver table: chains for clustering under its guard."""
+    keys = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(F.col(KEYS[table]).cast("long").alias("k"))
+    text = _spark_quotes(_drifting(lambda *p: "concat(" + ", ".join(p) + ")", lambda a, b: f"({a}) % {b}", lambda a, b: f"({a} div {b})"))
+    return keys.select((-F.col("k")).alias("idx"), F.expr(text).alias("nombre_original"))
+
+
+def drifting_sql(table: str = "supplier") -> str:
+    text = _drifting(lambda *p: "(" + " || ".join(p) + ")", lambda a, b: f"({a}) % {b}", lambda a, b: f"({a} // {b})")
+    return f"select -k as idx, {text} as nombre_original from (select {KEYS[table]}::bigint as k from {table})"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +23,12 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary one of the machine only where none is set, as in tests."""
+    """spark.checkpoint.dir of the session; on one machine a temporary folder where none is set, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="namesmith-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
@@ -31,7 +36,59 @@ def shared_folder(spark: SparkSession) -> str:
 
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write as Parquet into the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/namesmith/{name}-{uuid.uuid4().hex}"
+    return _written(df, f"{shared_folder(df.sparkSession)}/namesmith/{name}-{uuid.uuid4().hex}")
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for a path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+class Stages:
+    """Named tables of one run in a folder: a run that finds a finished one reads it, another computes and writes it.
+
+    A half-written table has no ``_SUCCESS`` and is written anew. ``version`` tells runs apart whose inputs or rules differ:
+    tables of another version aren't read. Without a folder every table is written under a new name.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None, version: str = ""):
+        self.spark, self.version = spark, version
+        self.folder = folder and f"{folder.rstrip('/')}/{version or 'all'}"
+        self.reused: list[str] = []
+
+    def __call__(self, name: str, make) -> DataFrame:
+        """The table ``name``; ``make()`` gives its rows if they aren't there yet."""
+        if not self.folder:
+            return durable(make(), name)
+        path = f"{self.folder}/{name}"
+        system, done = _hadoop(self.spark, f"{path}/_SUCCESS")
+        if system.exists(done):
+            self.reused.append(name)
+            return self.spark.read.parquet(path)
+        system.delete(done.getParent(), True)
+        with Phase(name):
+            return _written(make(), path)
+
+
+class Phase:
+    """Times a phase and logs its begin and end, and a failure as such."""
+
+    log = logging.getLogger("namesmith")
+
+    def __init__(self, name: str):
+        self.name, self.seconds = name, None
+
+    def __enter__(self) -> Phase:
+        self.began = time.monotonic()
+        self.log.info("begin %s", self.name)
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        self.seconds = time.monotonic() - self.began
+        self.log.info("%s %s (%.1f s)", "end" if kind is None else "FAILED", self.name, self.seconds)

@@ -1,11 +1,13 @@
 """Worked examples and invariants of the engine."""
 
+import random
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from namesmith.functions import rules
+from namesmith.functions import rules, similarity
 from namesmith.functions import text as T
 from namesmith.functions.similarity import lcs, ratio
 from namesmith.operators import canonical, external, records, reports, resolution, sectors
@@ -169,6 +171,135 @@ def test_files(spark, tmp_path):
         files.read_names(spark, str(tmp_path / "n.parquet"), "otro")
 
 
+def test_lcs_of_batches():
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("ABCÑ ") for _ in range(r.choice([0, 1, 5, 30, 63, 64, 65, 90])))
+    a, b = [word() for _ in range(400)], [word() for _ in range(400)]
+    assert similarity.lcs_all(a, b).tolist() == [lcs(x, y) for x, y in zip(a, b)]
+    assert similarity.ratios(a, b).tolist() == [ratio(x, y) for x, y in zip(a, b)]
+    assert similarity.lcs_all([], []).tolist() == []
+    values = sorted({w for w in b if w})
+    got = similarity.best_match(a, values, 60.0)
+    for t in a:
+        best = max(values, key=lambda v: (ratio(t, v), [-ord(c) for c in v]))
+        assert got[t] == (min(v for v in values if ratio(t, v) == ratio(t, best)) if ratio(t, best) >= 60.0 else "")
+
+
+def test_null_ratio(spark):
+    df = spark.createDataFrame([("A", None), (None, None), ("A", "A")], "a string, b string")
+    assert [r.x for r in df.select(similarity.indel_ratio(F.col("a"), F.col("b")).alias("x")).collect()] == [None, None, 100.0]
+
+
+def test_no_length_caps(spark):
+    """Names of any length: pairs beyond word 1000, letters beyond 1000, more than four trailing stopwords."""
+    long = " ".join(["PALABRA"] * 1200 + ["NU", "EZ"])
+    words = spark.createDataFrame([(1, long.split())], "idx long, palabras array<string>")
+    frequency = spark.createDataFrame([("NUNEZ", 5)], "token string, df long")
+    merges = records.bigram_merges(words, frequency)
+    assert [r.pair for r in merges.collect()] == ["NU EZ"]
+    assert records.joined_words(words, merges).first().palabras[-1] == "NUNEZ"
+    token = "A" + "B" * 3000
+    rows = spark.createDataFrame([(token,)], "a string").select(T.title_case_es(F.col("a")).alias("x")).collect()
+    assert rows[0].x == token.capitalize()
+    stop = spark.createDataFrame([(["FERRETERIA", "DE", "LA", "Y", "DE", "LA", "Y"],)], "t array<string>")
+    assert stop.select(T.remove_qualifiers(F.col("t")).alias("x")).first().x == ["FERRETERIA"]
+
+
+def test_graphs_of_any_size(spark):
+    edges = spark.createDataFrame([(f"{k:04}", f"{k + 1:04}") for k in range(60)] + [("x", "y"), ("z", "z")], "a string, b string")
+    small, large = ({tuple(r) for r in resolution.components(edges, small=n).collect()} for n in (1000, 0))
+    assert small == large and len(small) == 63
+
+
+def test_places_by_ranges(spark):
+    df = spark.range(1000).selectExpr("id % 7 as n", "cast(id as string) as cluster").repartition(5)
+    got = resolution.numbered(df, "rank", 1, F.desc("n"), "cluster").collect()
+    assert [(r.n, r.cluster) for r in sorted(got, key=lambda r: r["rank"])] == sorted(((r.n, r.cluster) for r in got), key=lambda x: (-x[0], x[1]))
+    assert sorted(r["rank"] for r in got) == list(range(1, 1001))
+    assert resolution.numbered(df.limit(0), "rank", 1, "n").count() == 0
+
+
+def test_sheets(spark, tmp_path):
+    from namesmith.sources import sheets
+
+    texts = ["'A & <B>", None, " blanks ", "línea\notra", "\x01x", "Ñandú 日本", "12"] * 5
+    df = spark.createDataFrame([(t, k, k / 2, k % 2 == 0) for k, t in enumerate(texts)], "nombre_original string, n long, x double, b boolean").coalesce(1)
+    path = str(tmp_path / "book.xlsx")
+    assert sheets.write_xlsx(df, "file://" + path, "ORIGINAL", limit=10) == 35  # nine rows and a header a sheet
+    first = list(sheets.sheet_rows(open(path, "rb").read(), "ORIGINAL"))
+    assert len(first) == 10 and first[0] == ["nombre_original", "n", "x", "b"] and first[1] == ["'A & <B>", "0", "0.0", "True"] and first[2][0] is None
+    names = ["ORIGINAL", *(f"ORIGINAL_{k}" for k in (2, 3, 4))]
+    got = [r[0] for n in names for r in list(sheets.sheet_rows(open(path, "rb").read(), n))[1:]]
+    assert got == [t and t.replace("\x01", "") for t in texts]
+    rows = sheets.read_xlsx(spark, "file://" + path, sheet="ORIGINAL_2").orderBy("fila").collect()
+    assert [r.texto for r in rows] == [(t or "").replace("\x01", "") for t in texts[9:18]] and [r.fila for r in rows] == list(range(9))
+    with pytest.raises(Exception, match="expected"):
+        sheets.read_xlsx(spark, "file://" + path, "otro").collect()
+
+
+def test_shared_strings():
+    """A workbook as other writers make it: shared strings, rich text, gaps between cells."""
+    import io
+    import zipfile
+
+    from namesmith.sources import sheets
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    book = io.BytesIO()
+    with zipfile.ZipFile(book, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="H" sheetId="1" r:id="a"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="a" Target="worksheets/s.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>uno</t></si><si><r><t>d</t></r><r><t>os</t></r></si></sst>")
+        z.writestr("xl/worksheets/s.xml", f'<worksheet {main}><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row><row><c r="B2"><v>5</v></c></row><row/></sheetData></worksheet>')
+    assert list(sheets.sheet_rows(book.getvalue(), "H")) == [["uno", None, "dos"], [None, "5"], []]
+    with pytest.raises(ValueError):
+        list(sheets.sheet_rows(book.getvalue(), "otra"))
+
+
+def test_stages_resume(spark, tmp_path, caplog):
+    from namesmith.storage import Phase, Stages
+
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    folder = "file://" + str(tmp_path)
+    assert Stages(spark, folder, "v1")("a", make).count() == 3 and Stages(spark, folder, "v1")("a", make).count() == 3 and len(made) == 1
+    assert Stages(spark, folder, "v2")("a", make).count() == 3 and len(made) == 2
+    (tmp_path / "v1" / "a" / "_SUCCESS").unlink()  # as a run that died leaves it
+    assert Stages(spark, folder, "v1")("a", make).count() == 3 and len(made) == 3
+    with caplog.at_level("INFO", "namesmith"), pytest.raises(KeyError), Phase("x"):
+        raise KeyError
+    assert "begin x" in caplog.text and "FAILED x" in caplog.text
+
+
+def test_pipeline_resumes(spark, tmp_path):
+    n = spark.createDataFrame([(k, c[0]) for k, c in enumerate(CASES)], "idx long, nombre_original string")
+    folder = "file://" + str(tmp_path)
+    first, again = (pipeline.run(n, folder=folder).audit.drop("factores").toPandas().sort_values("idx").astype(str) for _ in range(2))
+    assert first.reset_index(drop=True).equals(again.reset_index(drop=True)) and (tmp_path / "all" / "merged" / "_SUCCESS").exists()
+
+
+def test_prompt_and_json(tmp_path):
+    k = Knowledge([("TIENDA", "G", "47", 8), ("PAN", "C", "10", 5), ("BODEGA", "G", "47", 6)], [("CASA DEL PAN", "Casa del Pan", "C", "10")])
+    got = external.prompt_catalogue(k.catalogue)
+    assert [g[:2] for g in got] == [("C", "10"), ("G", "47")] and all(g[2] for g in got) and len(external.prompt_text(k.catalogue).split("\n")) == 2
+    assert files.read_json(str(tmp_path / "none.json"), {"a": 1}) == {"a": 1}
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from namesmith.storage import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        shared_folder(session)
+
+
 def test_upper_median(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (10,)], "v int")
     assert reports.upper_median(df, "v").first().mediana == 3

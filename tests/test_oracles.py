@@ -31,7 +31,12 @@ def test_query(spark, duck, name):
         assert sorted(got.columns) == sorted(want.columns)
         assert rows(got) == rows(want)
     else:
-        assert len(got) >= 0
+        assert name == "pipeline_end_to_end"  # the one query without a twin: a row for every name, all decided
+        assert len(got) == duck.execute("select count(*) from customer").fetchone()[0] == got["idx"].nunique()
+        assert got["tipo"].notna().all() and got["macrosector"].str.len().gt(0).all() and got["confianza"].between(0, 100).all()
+        employer = got["tipo"].isin(["EMPRESA", "PERSONA_NATURAL"])
+        assert got.loc[employer, "cluster"].notna().all() and got.loc[~employer, "cluster"].isna().all()
+        assert (got[employer].groupby("clave")["cluster"].nunique() == 1).all()
 
 
 def test_entry(spark):
