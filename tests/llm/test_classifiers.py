@@ -162,3 +162,29 @@ def test_long_texts_are_one_chain(n):
     uncut = language.forward_backward(emissions, transitions, first, length)
     for chain in (1, 7, 64, 1024):
         assert np.abs(language.chains(emissions, transitions, first, length, chain) - uncut).max() < 1e-4
+
+
+def test_quality_against_brute_force(spark):
+    """Scores again text by text: every block of every text with both dictionaries, then the logistic curve."""
+    import math
+
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    good, bad, slope, intercept = model = quality.fit(docs, labels)
+    held = [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), level=quality.LEVEL, write_content_size=False, write_dict_id=False) for d in (good, bad)]
+    rows = docs.select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "word " * 40000)], "doc_id long, text string"))
+    got = {r.doc_id: r for r in quality.score(rows, model).collect()}
+    for r in rows.collect():
+        data = (r.text or "").encode()
+        a, b = (sum(len(c.compress(data[i : i + quality.BLOCK])) for i in range(0, len(data), quality.BLOCK)) for c in held)
+        want = 1 / (1 + math.exp(-(slope * ((b - a) / (a + b) if data else 0.0) + intercept)))
+        assert abs(got[r.doc_id].score - want) < 1e-9 and got[r.doc_id].predicted == (want >= 0.3)
+
+
+def test_ties_between_languages(spark):
+    """Without evidence for one of two languages the alphabetically first counts."""
+    model = language.train([b"aaa bbb ccc", b"aaa bbb ccc"], ["xx", "aa"])
+    got = language.predict(spark.createDataFrame([(1, "aaa bbb ccc")], "doc_id long, text string"), model).first()
+    assert got.lang_pred == "aa"
