@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import filter_batches, holds_out, ship
+from .runtime import filter_batches, holds_out, release, ship
 from .shingles import lowered, mix, slices, span_hashes, utf8_buffers, word_spans
 
 PER_LANGUAGE, SAMPLE, WORDS, CHAIN = 400, 20000, 300, 1024
@@ -282,7 +282,10 @@ def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
     got = texts.join(F.broadcast(chosen), ["key", "text_key"]).select("key", "text", "language").mapInArrow(some, "key long, text binary, language string")
     got = got.groupBy("key").agg(F.min("text").alias("text"), F.first("language").alias("language")).select("text", "language").toPandas()
     got = got.sort_values(["language", "text"])
-    return train(list(got["text"]), list(got["language"]))
+    model = train(list(got["text"]), list(got["language"]))
+    del got
+    release()
+    return model
 
 
 def _marginals(model: dict, column: pa.Array):

@@ -46,7 +46,7 @@ from .shingles import mix, shingle_sets
 #: Shingles that a task gathers before it deals them (of at most so many classes), shingles of a hash range.
 FLUSH, FLUSH_CLASSES, RANGE = 1_000_000, 60_000, 1_000_000
 #: Classes and shingles of a block; classes that a task remembers, so as not to deal them twice.
-BLOCK, BLOCK_SHINGLES, KNOWN, SALTS, BITS = 1024, 2_000_000, 500_000, 16, 1 << 26
+BLOCK, BLOCK_SHINGLES, KNOWN, SALTS, BITS = 1024, 2_000_000, 500_000, 16, 1 << 24
 
 
 def _class_key(tokens: np.ndarray) -> int:

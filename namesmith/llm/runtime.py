@@ -47,6 +47,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def release() -> None:
+    """Give freed memory of this process back to the system: after a fit the driver goes on for long."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and return a reader of it: lineage is cut, no executor owns it."""
     spark = df.sparkSession

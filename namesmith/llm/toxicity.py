@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import labelled_texts, sigmoid
-from .runtime import filter_batches, holds_out, ship
+from .runtime import filter_batches, holds_out, release, ship
 from .shingles import lowered, slices, span_hashes, utf8_buffers, word_spans
 
 SAMPLE, LEAST_DOCUMENTS, BITS, ROUNDS, HEADS = 5000, 4, 18, 120, (4, 5, 6)
@@ -85,27 +85,33 @@ def train(parts, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     known = seen >= LEAST_DOCUMENTS
     used = np.flatnonzero(known)
     number = np.cumsum(known, dtype=np.int32) - 1
-    features, sentence, document, labels, sentences, count = [], [], [], [], 0, 0
+    # Parts stay apart, so that a step's temporary arrays are those of a part.
+    bags_, sentences, count = [], 0, 0
+    documents, labels = [np.zeros(0, np.int32)], [np.zeros(0, np.int8)]
     for f, s, d, y in parts:
         keep = known[f]
-        features.append(number[f[keep]])
-        sentence.append(s[keep] + np.int32(sentences))
-        document.append(d + np.int32(count))
+        bags_.append((number[f[keep]], s[keep], slice(sentences, sentences + len(d))))
+        documents.append(d + np.int32(count))
         labels.append(y)
         sentences, count = sentences + len(d), count + len(y)
-    if not count or min(map(int, (y.min() for y in labels if len(y)))) == max(map(int, (y.max() for y in labels if len(y)))):
+    document, y = np.concatenate(documents), np.concatenate(labels)
+    if not count or y.min() == y.max():
         return weights, -50.0
-    features, sentence, document, y = (np.concatenate(x) for x in (features, sentence, document, labels))
     w, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     # Start from the shrunk log-odds of documents with each feature: all-documents steps alone are slow to find them.
     w[:-1] = START * np.maximum(np.log((seen_bad[used] + 0.5) / bad * (count - bad) / (seen[used] - seen_bad[used] + 0.5)) - 1, 0)
     w[-1] = bias
     for t in range(1, rounds + 1):
-        z = w[-1] + np.bincount(sentence, w[features], sentences)
+        z = np.full(sentences, w[-1])
+        for features, sentence, own in bags_:
+            z[own] += np.bincount(sentence, w[features], own.stop - own.start)
         s = np.maximum(np.bincount(document, np.logaddexp(0, z), count), 1e-9)
         ds = np.where(y > 0, -1 / np.expm1(np.minimum(s, 500)), 1.0)
         dz = ds[document] * sigmoid(z)
-        g = np.r_[np.bincount(features, dz[sentence], len(used)) + RIDGE * w[:-1] + LASSO * np.tanh(20 * w[:-1]), dz.sum()] / count
+        slope = np.zeros(len(used))
+        for features, sentence, own in bags_:
+            slope += np.bincount(features, dz[own][sentence], len(used))
+        g = np.r_[slope + RIDGE * w[:-1] + LASSO * np.tanh(20 * w[:-1]), dz.sum()] / count
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= RATE * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
     weights[used] = w[:-1]
@@ -126,7 +132,10 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, remainder: in
     ship(documents.sparkSession)
     got = labelled_texts(documents, labels, label, modulus, remainder, limit).mapInArrow(pack, "f binary, s binary, d binary, y binary").toPandas()
     kinds = (np.int32, np.int32, np.int32, np.int8)
-    return train([tuple(np.frombuffer(x, kind) for x, kind in zip(row, kinds)) for row in got.itertuples(index=False)])
+    model = train([tuple(np.frombuffer(x, kind) for x, kind in zip(row, kinds)) for row in got.itertuples(index=False)])
+    del got
+    release()
+    return model
 
 
 def scores_of(column: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
