@@ -291,11 +291,15 @@ def candidate_pairs(spark, sf_dir):
 _PARTS = "(select distinct p_name as x from part)"
 
 
-@query("with recursive pairs as (select x.x, y.x as y from " + _PARTS + " x, " + _PARTS + " y where x.x < y.x)," + O.ratio_ctes("pairs") + "\nselect x, y, r as ratio from ratios")
+@query("with recursive pairs as (select x.x, y.x as y from " + _PARTS + " x, " + _PARTS + " y where x.x < y.x and list_has_any(string_split(x.x, ' '), string_split(y.x, ' ')))," + O.ratio_ctes("pairs") + "\nselect x, y, r as ratio from ratios")
 def indel_ratio_pairs(spark, sf_dir):
-    """Every pair of the distinct part names, a small fixed vocabulary."""
-    p = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_name").alias("x")).distinct()
-    return p.join(p.select(F.col("x").alias("y")), F.col("x") < F.col("y")).select("x", "y", indel_ratio(F.col("x"), F.col("y")).alias("ratio"))
+    """Pairs of distinct part names that share a word."""
+    return _part_pairs(spark, sf_dir).select("x", "y", indel_ratio(F.col("x"), F.col("y")).alias("ratio"))
+
+
+def _part_pairs(spark, sf_dir) -> DataFrame:
+    words = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_name").alias("x")).distinct().select("x", F.explode(F.split("x", " ")).alias("word"))
+    return words.join(words.withColumnRenamed("x", "y"), "word").where("x < y").select("x", "y").distinct()
 
 
 @query(C.sql(O.NODES, "select p.a, p.b, r as ratio from sorted_pairs p join ratios using (x, y)", f"sorted_pairs as (select p.a, p.b, {O._SORTED.format('na.nucleo')} as x, {O._SORTED.format('nb.nucleo')} as y from pairs p join nodes na on na.clave = p.a join nodes nb on nb.clave = p.b)", O.ratio_ctes("sorted_pairs")))
@@ -739,15 +743,14 @@ def answer_validation(spark, sf_dir):
 @query(
     C.sql(
         O.NODES,
-        "select c.cluster, case when a.nombre is not null then 'G' else c.seccion end as seccion, case when a.nombre is not null then 'llm' else c.nivel end as nivel from cascade c left join answered a on a.nombre = c.representante and c.nivel = 'sin_evidencia'",
+        "select c.cluster, case when a.nombre is not null then 'G' else c.seccion end as seccion, case when a.nombre is not null then 'llm_' || a.c else c.nivel end as nivel from cascade c left join answered a on a.nombre = c.representante and c.nivel = 'sin_evidencia'",
         _RESOLVED,
         _QUEUE,
-        "answered as (select distinct representante as nombre from queue where n % 3 <> 0)",
+        "answered as (select representante as nombre, min(case when n % 2 = 0 then 'alta' else 'baja' end) as c from queue where n % 3 <> 0 group by 1)",
     )
 )
 def external_merge(spark, sf_dir):
-    out = external.merge(_resolved(spark, sf_dir), external.validated(_answers(spark, sf_dir)))
-    return out.select("cluster", "seccion", F.regexp_replace("nivel", "^llm_.*", "llm").alias("nivel"))
+    return external.merge(_resolved(spark, sf_dir), external.validated(_answers(spark, sf_dir))).select("cluster", "seccion", "nivel")
 
 
 # --- whole flow --------------------------------------------------------------------------------------------------------------------
@@ -857,8 +860,8 @@ def deliverable_columns(spark, sf_dir):
 def sql_similarity(spark, sf_dir):
     """The kernel called from SQL."""
     register(spark)
-    spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_name").alias("x")).distinct().createOrReplaceTempView("namesmith_words")
-    return spark.sql("select a.x, b.x as y, indel_ratio(a.x, b.x) as ratio from namesmith_words a join namesmith_words b on a.x < b.x")
+    _part_pairs(spark, sf_dir).createOrReplaceTempView("namesmith_pairs")
+    return spark.sql("select x, y, indel_ratio(x, y) as ratio from namesmith_pairs")
 
 
 @query(C.sql(O.RECORDS, "select idx, nombre_original, r.clave, tipo, m.clave as cluster from records r left join (select distinct clave from records where tipo = 'EMPRESA' and clave < 'M') m using (clave)"))

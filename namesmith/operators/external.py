@@ -58,8 +58,11 @@ def validated(answers: DataFrame) -> DataFrame:
 
 
 def merge(resolved: DataFrame, answers: DataFrame) -> DataFrame:
-    """``resolved`` with the answer's sector where there was no evidence; every cluster of a name gets it."""
-    own = answers.where("seccion <> ''").select(F.col("nombre").alias("representante"), F.col("seccion").alias("s"), F.col("division").alias("d"), F.col("confianza").alias("c")).dropDuplicates(["representante"])
+    """``resolved`` with the answer's sector where there was no evidence; every cluster of a name gets it.
+
+    Of several answers for a name that of least (confidence, section, division) in alphabetical order counts.
+    """
+    own = answers.where("seccion <> ''").groupBy(F.col("nombre").alias("representante")).agg(F.min(F.struct(F.col("confianza").alias("c"), F.col("seccion").alias("s"), F.col("division").alias("d"))).alias("m")).select("representante", "m.*")
     out = resolved.join(own, "representante", "left")
     take = (F.col("nivel") == "sin_evidencia") & F.col("s").isNotNull()
     columns = [c for c in resolved.columns if c not in ("seccion", "division", "nivel")]

@@ -107,16 +107,19 @@ def propagate(resolved: DataFrame, doubts: DataFrame, knowledge: Knowledge) -> D
 
     ``resolved``: (cluster, representante, seccion, division, nivel, peso); ``doubts``: (a, b, cohesion) of clusters. Only
     strong evidence is passed on, once, and not where a proper noun is all that both names share. The neighbour of
-    highest (shared words, cohesion), then of smallest name, gives.
+    highest (distinctive words shared, cohesion), then of smallest name, gives; where ``doubts`` don't carry
+    ``tokens_distintivos``, all words that both texts share count.
     """
-    both = doubts.select("a", "b", "cohesion").union(doubts.select("b", "a", "cohesion"))
+    given = "tokens_distintivos" in doubts.columns
+    marks = ["cohesion", *(["tokens_distintivos"] if given else [])]
+    both = doubts.select("a", "b", *marks).union(doubts.select("b", "a", *marks))
     source = resolved.where(F.coalesce("seccion", F.lit("")) != "").where(strong_evidence(F.col("nivel"), F.col("peso")))
     source = source.select(F.col("cluster").alias("a"), F.col("representante").alias("ra"), "seccion", "division")
     target = resolved.where((F.coalesce("seccion", F.lit("")) == "") & (F.coalesce("nivel", F.lit("")) != "reclasificacion")).select(F.col("cluster").alias("b"), F.col("representante").alias("rb"))
     pairs = both.join(source, "a").join(target, "b")
     shared = T.without(F.array_intersect(F.split("ra", " "), F.split("rb", " ")), rules.STOPWORDS)
     pairs = pairs.withColumn("comunes", shared).where((F.size("comunes") == 0) | ~F.forall("comunes", lambda t: T.one_of(t, *knowledge.proper_nouns)))
-    order = Window.partitionBy("b").orderBy(F.desc(F.size("comunes")), F.desc("cohesion"), "a")
+    order = Window.partitionBy("b").orderBy(F.desc("tokens_distintivos") if given else F.desc(F.size("comunes")), F.desc("cohesion"), "a")
     return pairs.withColumn("k", F.row_number().over(order)).where("k = 1").select(F.col("b").alias("cluster"), "seccion", "division", F.col("a").alias("fuente"), "cohesion")
 
 

@@ -53,7 +53,7 @@ def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame
     blank = lambda c, other: F.when(is_marker, F.lit(other)).otherwise(F.coalesce(c, F.lit("" if c != "nivel" else "sin_evidencia"))).alias(c)
     resolved = resolved.select("cluster", F.col("limpio").alias("representante"), "tokens", "truncado", "sufijo_numerico", "clave_generica", "n_registros", "n_claves", "marcador", "nombre_canonico", F.when(is_marker, "reclasificacion_cluster").otherwise(F.col("origen_nombre")).alias("origen_nombre"), blank("seccion", ""), blank("division", ""), blank("nivel", "reclasificacion"), "peso")
     resolved = durable(resolved, "resolved")
-    doubts = merged.where("kind = 'doubt'").select("a", "b", "cohesion")
+    doubts = merged.where("kind = 'doubt'").select("a", "b", "cohesion", "tokens_distintivos")
     heirs = sectors.propagate(resolved, doubts, knowledge).select("cluster", F.col("seccion").alias("s"), F.col("division").alias("d"))
     resolved = resolved.join(heirs, "cluster", "left")
     columns = [c for c in resolved.columns if c not in ("seccion", "division", "nivel", "s", "d")]
