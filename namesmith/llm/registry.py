@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, byte_bpe, language, licenses, mtree, packing, quality, toxicity, warc
+from . import ann, byte_bpe, language, licenses, mtree, packing, periodic, quality, toxicity, warc
 from .ngram_join import jaccard_components
 from .runtime import table
 
@@ -53,11 +53,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_language_crf, op3_ann_forest, op4_quality_compression, op5_topk_mtree,
-        op6_warc_chunks, op7_toxicity_mil, op8_license_dice, op9_byte_bpe, op10_best_fit_packing,
+        op6_warc_chunks, op7_toxicity_mil, op8_license_dice, op9_byte_bpe, op10_best_fit_packing, op13_periodic_runs,
     )
 }
 
