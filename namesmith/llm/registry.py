@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, byte_bpe, language, licenses, mtree, packing, periodic, quality, repair, toxicity, warc
+from . import ann, byte_bpe, context_tree, language, licenses, mtree, packing, periodic, quality, repair, toxicity, warc
 from .ngram_join import jaccard_components
 from .runtime import table
 
@@ -53,6 +53,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audit(table(spark, sf_dir, "conversations"))
 
@@ -65,7 +69,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_language_crf, op3_ann_forest, op4_quality_compression, op5_topk_mtree,
-        op6_warc_chunks, op7_toxicity_mil, op8_license_dice, op9_byte_bpe, op10_best_fit_packing, op12_conversation_repair, op13_periodic_runs,
+        op6_warc_chunks, op7_toxicity_mil, op8_license_dice, op9_byte_bpe, op10_best_fit_packing, op11_context_tree,
+        op12_conversation_repair, op13_periodic_runs,
     )
 }
 
