@@ -182,10 +182,12 @@ def _prefix_or_ratio(x, y) -> float:
     return max(ratio(_sorted(x[1]), _sorted(y[1])), ratio(_sorted(x[2]), _sorted(y[2])))
 
 
-def _merge(pairs: list[tuple], ends: dict[str, tuple], generic: set[str]) -> list[tuple]:
-    """Replays the merges of one component, best pair first, under the cohesion of the representatives.
+def _merge(pairs: list[tuple], ends: dict[str, tuple]) -> list[tuple]:
+    """Replays the merges of one component of clusters, best pair first, under the cohesion of the representatives.
 
-    ``ends``: key -> (limpio, nucleo, reducido, truncado, tokens).
+    ``pairs``: (score, a, b, x, y), names a and b of clusters x and y; ``ends``: cluster -> (limpio, nucleo, reducido,
+    truncado, name) of its representative. Gives (x, its cluster now, None, name of that one's representative), and
+    (x, y, cohesion, None) of clusters that stayed apart, with the best of each pair's values.
     """
     parent, speaker = {k: k for k in ends}, dict(ends)
 
@@ -195,9 +197,9 @@ def _merge(pairs: list[tuple], ends: dict[str, tuple], generic: set[str]) -> lis
             x = parent[x]
         return x
 
-    rows = []
-    for _, a, b in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
-        x, y = sorted((root(a), root(b)))
+    apart = []
+    for *_, x, y in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
+        x, y = sorted((root(x), root(y)))
         if x == y:
             continue
         value = _prefix_or_ratio(speaker[x], speaker[y])
@@ -205,62 +207,142 @@ def _merge(pairs: list[tuple], ends: dict[str, tuple], generic: set[str]) -> lis
             parent[y] = x
             speaker[x] = max(speaker[x], speaker[y], key=lambda n: (not n[3], len(n[0]), n[0]))
         else:
-            rows.append(("doubt" if value >= SETTINGS.doubt else "discarded", x, y, value))
-    doubts = {}
-    for kind, x, y, value in rows:
+            apart.append((x, y, value))
+    best: dict = {}
+    for x, y, value in apart:
         pair = tuple(sorted((root(x), root(y))))
-        if pair[0] != pair[1] and (pair not in doubts or doubts[pair][1] < value):
-            doubts[pair] = (kind, value)
-    out = [("member", k, root(k), None, None, None, None) for k in ends]
-    for (x, y), (kind, v) in doubts.items():
-        p, q = speaker[x], speaker[y]
-        out.append((kind, x, y, v, p[0], q[0], len(set(p[4]) & set(q[4]) - generic)))
-    return out
+        if pair[0] != pair[1]:
+            best[pair] = max(value, best.get(pair, 0.0))
+    return [(k, root(k), None, speaker[root(k)][4]) for k in ends] + [(x, y, value, None) for (x, y), value in best.items()]
 
 
-_MERGED = "kind string, a string, b string, cohesion double, representante_a string, representante_b string, tokens_distintivos int"
+_REPLAYED = "x string, y string, cohesion double, voice string"
+_VOICE = ("limpio", "nucleo", "reducido", "truncado", "voice")
 
 
-def _replay(generic: set[str]):
+def _replay(batches):
     """Rows of components, one after the other; memory holds one component."""
     import pyarrow as pa
 
-    kinds = (pa.string(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.string(), pa.int32())
-    names = [c.split()[0] for c in _MERGED.split(", ")]
+    kinds = (pa.string(), pa.string(), pa.float64(), pa.string())
+    now, pairs, ends, out = None, [], {}, []
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["x", "y", "cohesion", "voice"])
+
+    for rows in batches:
+        for r in rows.to_pylist():
+            if r["component"] != now:
+                out += _merge(pairs, ends)
+                now, pairs, ends = r["component"], [], {}
+            pairs.append((r["score"], r["a"], r["b"], r["x"], r["y"]))
+            for e in ("x", "y"):
+                ends[r[e]] = tuple(r[f"{e}_{c}"] for c in _VOICE)
+        if len(out) > 10000:
+            yield batch()
+            out = []
+    out += _merge(pairs, ends)
+    yield batch()
 
-    def run(batches):
-        now, pairs, ends, out = None, [], {}, []
 
-        def batch():
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=names)
+#: Pairs of one component that a task replays at once, and the ranges into which those of a larger one are dealt.
+COMPONENT, RANGES = 100_000, 4
 
-        for rows in batches:
-            for r in rows.to_pylist():
-                if r["component"] != now:
-                    out += _merge(pairs, ends, generic)
-                    now, pairs, ends = r["component"], [], {}
-                pairs.append((r["score"], r["a"], r["b"]))
-                for e in ("a", "b"):
-                    ends[r[e]] = tuple(r[f"{e}_{c}"] for c in ("limpio", "nucleo", "reducido", "truncado", "tokens"))
-            if len(out) > 10000:
-                yield batch()
-                out = []
-        out += _merge(pairs, ends, generic)
-        yield batch()
 
-    return run
+class _Replay:
+    """Merges in the global order of pairs, with no group of more than ``bound`` pairs.
 
+    No merge can cross a connected component, so each is replayed on its own. The pairs of one with more than ``bound`` are
+    dealt into ranges of the order: the first is settled, by the same rule, then the clusters that the next one's pairs
+    now belong to are looked up, and so on. A part of the pairs falls into many more components than all of them, so a
+    range is mostly small ones side by side; one of ``bound`` pairs or fewer can't be too large.
+
+    ``owner``: (name, cluster) and ``voices``: (cluster, name of its representative), of what has been replayed so far;
+    ``apart``: the pairs of clusters that stayed apart at the end of some range, with their cohesion.
+    """
 
-def guarded_clusters(decided: DataFrame, node: DataFrame, generic: list[str] = ()) -> DataFrame:
+    def __init__(self, node: DataFrame, bound: int):
+        self.node, self.bound, self.owner, self.voices, self.apart = node, bound, None, None, []
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Decides pairs (score, a, b, x, y) of which none comes before one decided already."""
+        joint = components(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        named = durable(pairs.join(joint.select(F.col("node").alias("x"), "component"), "x"), "joint")
+        sizes = named.groupBy("component").agg(F.count("*").alias("n"))
+        large = sizes.where(F.col("n") > self.bound).select("component")
+        some = not large.isEmpty()
+        self.replay(named.join(large, "component", "left_anti") if some else named)
+        if not some:
+            return
+        order = (F.desc("score"), "a", "b")
+        rest = named.join(large, "component", "left_semi").select("score", "a", "b", "x", "y")
+        rest = durable(rest.repartitionByRange(RANGES, *order).withColumn("part", F.spark_partition_id()), "ranges")
+        for (part,) in sorted(rest.select("part").distinct().collect()):  # as many as there are ranges
+            own = rest.where(F.col("part") == part).drop("part")
+            if self.owner is not None:
+                own = self.now(own, "x", "y")
+            own = durable(own.where("x <> y"), "range")
+            if not own.isEmpty():
+                self.settle(own)
+
+    def now(self, rows: DataFrame, *columns: str) -> DataFrame:
+        """Replaces clusters by what they have become."""
+        for c in columns:
+            moved = self.owner.select(F.col("name").alias(c), F.col("cluster").alias("_now"))
+            rows = rows.join(moved, c, "left").withColumn(c, F.coalesce("_now", c)).drop("_now")
+        return rows
+
+    def replay(self, named: DataFrame) -> None:
+        full = named
+        for end in ("x", "y"):
+            if self.voices is None:
+                own = self.node.withColumn("voice", F.col("clave")).withColumnRenamed("clave", end)
+            else:
+                said = self.voices.select(F.col("cluster").alias(end), "voice")
+                said = full.select(end).distinct().join(said, end, "left").withColumn("voice", F.coalesce("voice", end))
+                own = said.join(self.node.withColumnRenamed("clave", "voice"), "voice")
+            full = full.join(own.select(end, *(F.col(c).alias(f"{end}_{c}") for c in _VOICE)), end)
+        done = durable(full.repartition("component").sortWithinPartitions("component").mapInArrow(_replay, _REPLAYED), "replayed")
+        self.apart.append(done.where("voice is null").select("x", "y", "cohesion"))
+        moved = done.where("voice is not null")
+        if self.owner is None:
+            self.owner = moved.select(F.col("x").alias("name"), F.col("y").alias("cluster"))
+            self.voices = moved.select(F.col("y").alias("cluster"), "voice").distinct()
+            return
+        new = moved.select(F.col("x").alias("cluster"), F.col("y").alias("_now"))
+        kept = self.owner.join(new, "cluster", "left").select("name", F.coalesce("_now", "cluster").alias("cluster"))
+        fresh = moved.join(self.owner.select(F.col("name").alias("x")), "x", "left_anti").select(F.col("x").alias("name"), F.col("y").alias("cluster"))
+        before = self.voices.join(new.select("cluster"), "cluster", "left_anti")
+        self.owner = durable(kept.union(fresh), "owner")
+        self.voices = durable(before.union(moved.select("y", "voice").distinct()), "voices")
+
+
+_MERGED = ("kind", "a", "b", "cohesion", "representante_a", "representante_b", "tokens_distintivos")
+
+
+def guarded_clusters(decided: DataFrame, node: DataFrame, generic: list[str] = (), bound: int = COMPONENT) -> DataFrame:
     """``(kind, a, b, cohesion, representante_a, representante_b, tokens_distintivos)``: members (a in cluster b), doubtful and discarded pairs of clusters.
 
-    No merge can cross a connected component of accepted pairs, so each component is replayed on its own. Pairs carry both
+    The accepted pairs are decided in the order of score, then names (``_Replay``). Pairs of clusters carry both
     representatives' texts and how many words that aren't ``generic`` they share.
     """
-    accepted = durable(decided.where("accepted").select("a", "b", "score"), "accepted")
-    joint = components(accepted)
-    full = with_ends(accepted, node).join(joint.select(F.col("node").alias("a"), "component"), "a")
-    return full.repartition("component").sortWithinPartitions("component").mapInArrow(_replay(set(generic)), _MERGED)
+    accepted = decided.where("accepted").select("score", "a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
+    run = _Replay(node, bound)
+    run.settle(durable(accepted, "accepted"))
+    apart = run.apart[0]
+    if len(run.apart) > 1:
+        for more in run.apart[1:]:
+            apart = apart.union(more)
+        apart = run.now(apart, "x", "y").where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "cohesion")
+        apart = apart.groupBy("x", "y").agg(F.max("cohesion").alias("cohesion"))
+    for end in ("x", "y"):
+        voice = run.voices.select(F.col("cluster").alias(end), "voice").join(node.withColumnRenamed("clave", "voice"), "voice")
+        apart = apart.join(voice.select(end, F.col("limpio").alias(f"{end}_limpio"), F.col("tokens").alias(f"{end}_tokens")), end)
+    shared = F.array_except(F.array_intersect("x_tokens", "y_tokens"), F.array(*map(F.lit, generic)).cast("array<string>"))
+    kind = F.when(F.col("cohesion") >= SETTINGS.doubt, "doubt").otherwise("discarded")
+    apart = apart.select(kind, "x", "y", "cohesion", "x_limpio", "y_limpio", F.size(shared)).toDF(*_MERGED)
+    none = F.lit(None)
+    return run.owner.select(F.lit("member"), "name", "cluster", none.cast("double"), none.cast("string"), none.cast("string"), none.cast("int")).toDF(*_MERGED).union(apart)
 
 
 def doubt_list(merged: DataFrame, kind: str = "doubt") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -124,6 +125,64 @@ def test_guarded_merge(spark):
     assert resolution.guarded_clusters(decided.where("false"), node).count() == 0
 
 
+def replayed(text, pairs):
+    """Members and pairs that stay apart, pair by pair in one place."""
+    from namesmith.functions.similarity import ratio
+
+    cluster, voice, apart = {k: k for k in text}, dict(text), {}
+    inside = {k: [k] for k in text}
+    words = lambda t: " ".join(sorted(t.split()))
+    for _, a, b in sorted((-s, a, b) for a, b, s in pairs):
+        x, y = sorted((cluster[a], cluster[b]))
+        if x == y:
+            continue
+        v, w = voice[x], voice[y]
+        value = 100.0 if any(len(p) >= 18 and q.startswith(p) for p, q in ((v, w), (w, v))) else ratio(words(v), words(w))
+        if value < 86:
+            apart[a, b] = value
+            continue
+        for k in inside.pop(y):
+            cluster[k] = x
+            inside[x].append(k)
+        voice[x] = max(v, w, key=lambda t: (len(t), t))
+    best = {}
+    for (a, b), value in apart.items():
+        pair = tuple(sorted((cluster[a], cluster[b])))
+        if pair[0] != pair[1]:
+            best[pair] = max(value, best.get(pair, 0))
+    rows = {("member", k, c, None) for k, c in cluster.items()}
+    return rows | {("doubt" if v >= 76 else "discarded", *p, round(v, 9)) for p, v in best.items()}, voice
+
+
+@pytest.mark.parametrize("shape, size, bound", [("chain", 50000, 20000), ("star", 50000, 20000), ("clique", 300, 12000), ("mixed", 400, 300)])
+def test_guarded_merge_of_large_components(spark, shape, size, bound):
+    ship(spark)
+    rng = random.Random(size)
+    word = lambda n: "".join(rng.choice("ABCDE") for _ in range(n))
+    stems = [word(9) for _ in range(12)]
+    text = {f"k{k:05}": f"{rng.choice(stems)} {rng.choice(stems)} {word(3)}" for k in range(size)}
+    names = list(text)
+    if shape == "clique":
+        ends = [(a, b) for k, a in enumerate(names) for b in names[k + 1 :]]
+    elif shape == "star":
+        ends = [(names[0], b) for b in names[1:]]
+    else:
+        rng.shuffle(names)
+        ends = list(zip(names, names[1:])) if shape == "chain" else [tuple(rng.sample(names, 2)) for _ in range(1200)]
+    ends = sorted({(min(e), max(e)) for e in ends})
+    pairs = [(a, b, float(rng.choice([85, 90, 90, 95, 100]))) for a, b in ends]
+    want, voice = replayed({k: text[k] for k in sorted({k for p in ends for k in p})}, pairs)
+    node = spark.createDataFrame(pd.DataFrame([(k, v, v, v, v.split(), False) for k, v in text.items()], columns=["clave", "limpio", "nucleo", "reducido", "tokens", "truncado"]), "clave string, limpio string, nucleo string, reducido string, tokens array<string>, truncado boolean")
+    decided = spark.createDataFrame(pd.DataFrame([(*p, True) for p in pairs], columns=["a", "b", "score", "accepted"]), "a string, b string, score double, accepted boolean")
+    got = resolution.guarded_clusters(decided, node, [stems[0]], bound).collect()
+    assert {(r.kind, r.a, r.b, r.cohesion and round(r.cohesion, 9)) for r in got} == want and len(got) == len(want)
+    assert len({r[0] for r in want}) == 3 and len({r[2] for r in want if r[0] == "member"}) < len(text)
+    for r in got[:2000]:
+        if r.kind != "member":
+            assert (r.representante_a, r.representante_b) == (voice[r.a], voice[r.b])
+            assert r.tokens_distintivos == len(set(voice[r.a].split()) & set(voice[r.b].split()) - {stems[0]})
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(f"{k:04}", f"{k + 1:04}") for k in range(150)] + [("x", "y"), ("z", "z")], "a string, b string")
     got = {r.node: r.component for r in resolution.components(edges).collect()}
