@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import durable, holds_out, ship
+from .runtime import durable, holds_out, release, ship
 from .shingles import _LOWER, mix, span_hashes, word_spans
 
 DEPTH, PACK, RANGE, SLICE, SAMPLE = 5, 16 << 20, 1 << 20, 1 << 16, 10
@@ -104,10 +104,10 @@ class Pack:
     def distinct_grams(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct grams and how often documents to learn from have them."""
         found = []
-        for keys, document in self.slices(1 << 20):
+        for keys, document in self.slices(1 << 19):
             both = np.sort(keys << np.uint64(1) | (~self.held[document]).astype(np.uint64))
             found.append(counted(both >> np.uint64(1), (both & np.uint64(1)).astype(np.int64)))
-            if sum(len(k) for k, _ in found) > 8 << 20:
+            if sum(len(k) for k, _ in found) > 3 << 19:
                 found = [_merged(found)]
         return _merged(found)
 
@@ -173,7 +173,7 @@ def _pack(depth: int, most: int):
         def made():
             pack = Pack(join_texts(texts, depth), np.array([len(t) for t in texts], np.int64), np.array(held, bool), depth)
             seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-            for out, parts in zip(seen, (pack.slices(1 << 20), pack.words())):
+            for out, parts in zip(seen, (pack.slices(1 << 19), pack.words())):
                 for keys, _ in parts:
                     out.append(np.unique(keys[mix(keys) & np.uint64((1 << SAMPLE) - 1) == 0]))
             sample = [np.unique(np.concatenate(x)).view(np.int64).tolist() for x in seen]
@@ -216,6 +216,7 @@ def _requests(depth: int, counts: tuple[int, int]):
         for batch in batches:
             for row in batch.to_pylist():
                 pack = _unpacked(row["sizes"], row["held"], row["data"], depth)
+                release()  # of the pack before
                 for kind, (keys, seen) in ((_GRAM, pack.distinct_grams()), (_WORD, pack.distinct_words())):
                     yield _rows([(kind, r, row["pack"], sorted_bytes(keys[at]), compressed(seen[at])) for r, at in by_range(keys, counts[kind])])
 
@@ -513,6 +514,7 @@ def _scorer(depth: int, counts: tuple[int, int], tokens: int, distinct: int, end
                 columns = [pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), *map(pa.array, (n_tokens, known, np.full(n, tokens), base, score, pack.sizes))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"])
                 answers = {_GRAM: [], _WORD: []}
+                release()
 
     return run
 
