@@ -1,19 +1,19 @@
 """What single tokens mean: typo correction, morphological variants, commercial prefixes, approximate matches.
 
-Exact lookups stay in the JVM. Only tokens that could be corrected reach the Arrow function, which looks at the distinct
-ones of a batch together: no shuffle is needed to get at them.
+Exact lookups stay in the JVM. Tokens that could be corrected are a dimension of their own: the distinct ones meet the
+vocabulary in a similarity join, and what they have become is joined back to the records that hold them.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import text as T
 from ..functions.rules import SETTINGS
-from ..functions.similarity import best_match
+from ..storage import durable
+from . import likeness
 from .knowledge import Knowledge
 
 
@@ -25,24 +25,23 @@ def once(f, kind: str):
     return F.pandas_udf(f, kind, F.PandasUDFType.SCALAR).asNondeterministic()
 
 
-def _typo_ok(token: str, target: str) -> bool:
-    if abs(len(token) - len(target)) > SETTINGS.typo_gap:
-        return False
-    return not (token.startswith(target) or target.startswith(token) or token.endswith(target) or target.endswith(token))
+def _typo_ok(token: Column, target: Column) -> Column:
+    part = token.startswith(target) | target.startswith(token) | token.endswith(target) | target.endswith(token)
+    return (F.abs(F.length(token) - F.length(target)) <= SETTINGS.typo_gap) & ~part
 
 
-def typo_correction(tokens: Column, knowledge: Knowledge) -> Column:
-    """Tokens of 8 letters or more that no vocabulary knows, replaced by a very similar marker or catalogue word."""
-    targets, known = sorted(knowledge.typo_targets), set(knowledge.known)
+def typo_correction(rows: DataFrame, knowledge: Knowledge) -> DataFrame:
+    """``(idx, ..., palabras)`` with words of 8 letters or more that no vocabulary knows replaced by a very similar marker or catalogue word.
 
-    def correct(column: pd.Series) -> pd.Series:
-        open_ = {t for ts in column for t in ts if len(t) >= SETTINGS.typo_length and t not in known}
-        fixed = {t: v for t, v in best_match(sorted(open_), targets, SETTINGS.typo_ratio, _typo_ok).items() if v}
-        return column.map(lambda ts: [fixed.get(t, t) for t in ts])
-
-    correct.__annotations__ = {}
-    able = F.exists(tokens, lambda t: (F.length(t) >= SETTINGS.typo_length) & ~T.one_of(t, *knowledge.known))
-    return F.when(able, once(correct, "array<string>")(F.when(able, tokens).otherwise(F.array().cast("array<string>")))).otherwise(tokens)
+    Distinct words meet the vocabulary once; a record is joined only with the corrections that it needs.
+    """
+    rows = durable(rows, "words")
+    able = F.filter("palabras", lambda t: (F.length(t) >= SETTINGS.typo_length) & ~T.one_of(t, *knowledge.known))
+    open_ = rows.select("idx", F.explode(able).alias("text"))
+    fixes = likeness.best(open_, likeness.vocabulary(rows.sparkSession, sorted(knowledge.typo_targets)), SETTINGS.typo_ratio, _typo_ok)
+    held = open_.join(fixes, "text").groupBy("idx").agg(F.map_from_entries(F.collect_set(F.struct("text", "word"))).alias("_fixes"))
+    fixed = F.when(F.col("_fixes").isNull(), F.col("palabras")).otherwise(F.transform("palabras", lambda t: F.coalesce(F.element_at("_fixes", t), t)))
+    return rows.join(held, "idx", "left").withColumn("palabras", fixed).drop("_fixes")
 
 
 def morphological_variant(token: Column, knowledge: Knowledge) -> Column:
@@ -62,16 +61,12 @@ def commercial_prefix(token: Column, knowledge: Knowledge) -> Column:
     return out.otherwise(F.lit(""))
 
 
-def similar_word(tokens: Column, knowledge: Knowledge) -> Column:
-    """For each token the catalogue word of ratio 90 or more that isn't part of it ('' if none)."""
-    words = sorted(knowledge.approximate_words)
-
-    def match(column: pd.Series) -> pd.Series:
-        best = best_match(sorted({t for ts in column for t in ts}), words, SETTINGS.approximate_ratio, lambda t, w: w not in t)
-        return column.map(lambda ts: [best[t] for t in ts])
-
-    match.__annotations__ = {}
-    return once(match, "array<string>")(tokens)
+def near_words(tokens: DataFrame, knowledge: Knowledge) -> DataFrame:
+    """``(text, hit)`` of the tokens (text) that have one: the catalogue word that each is a variant of, or else one of ratio 90 or more that isn't part of it."""
+    formed = tokens.select("text").distinct().withColumn("hit", F.nullif(morphological_variant(F.col("text"), knowledge), F.lit("")))
+    words = likeness.vocabulary(tokens.sparkSession, sorted(knowledge.approximate_words))
+    near = likeness.best(formed.where("hit is null"), words, SETTINGS.approximate_ratio, lambda t, w: ~F.contains(t, w))
+    return formed.where("hit is not null").union(near)
 
 
 def approximate_candidates(tokens: Column, knowledge: Knowledge) -> Column:

@@ -1,7 +1,7 @@
 """Cleaned records: from raw names to tokens, legal form, number, comparison key and record type.
 
 ``records`` makes both passes: the first measures document frequencies, from which generic tokens and the corpus-derived
-joins of split words follow; the second applies them. Both passes are projections; only the frequencies are shuffled.
+joins of split words follow; the second applies them. Both passes are projections, but for corrections of single words.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def cleaned(words: DataFrame, knowledge: Knowledge) -> DataFrame:
     """
     rows = words.withColumn("palabras", T.join_spelled_acronyms(T.text_of(F.col("palabras")))).withColumn("palabras", T.tokens_of(F.col("palabras")))
     rows = rows.withColumn("palabras", T.complete_truncated_stem(T.split_glued_suffix(F.col("palabras"), list(knowledge.words))))
-    return rows.withColumn("palabras", typo_correction(F.col("palabras"), knowledge))
+    return typo_correction(rows, knowledge)
 
 
 def _phrase(text: Column, markers) -> Column:

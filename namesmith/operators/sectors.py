@@ -10,8 +10,9 @@ from ..functions import rules
 from ..functions import text as T
 from ..functions.rules import SETTINGS
 from ..functions.similarity import _sorted, best_match
+from ..storage import durable
 from .knowledge import Knowledge
-from .lexicon import approximate_candidates, commercial_prefix, morphological_variant, once, similar_word
+from .lexicon import approximate_candidates, commercial_prefix, near_words, once
 from .records import gazetteer_key, horizontal_property
 
 
@@ -35,12 +36,18 @@ def first_token(tokens: Column, knowledge: Knowledge) -> Column:
 
 
 def approximate(df: DataFrame, knowledge: Knowledge, tokens: str = "tokens") -> DataFrame:
-    """Adds ``aprox``: the catalogue word that the first matching token is a variant or near-miss of ('' if none)."""
-    able = approximate_candidates(F.col(tokens), knowledge)
-    made = df.withColumn("_able", able).withColumn("_near", similar_word(F.col("_able"), knowledge))
-    forms = F.transform("_able", lambda t: F.nullif(morphological_variant(t, knowledge), F.lit("")))
-    hits = F.zip_with(forms, "_near", lambda v, n: F.coalesce(v, n))
-    return made.withColumn("aprox", F.coalesce(F.get(F.filter(hits, lambda h: h != ""), F.lit(0)), F.lit(""))).drop("_able", "_near")
+    """Adds ``aprox``: the catalogue word that the first matching token is a variant or near-miss of ('' if none).
+
+    Each distinct list of able tokens is resolved once. Rows without such tokens take no part in the join.
+    """
+    made = durable(df.withColumn("_able", F.array_join(approximate_candidates(F.col(tokens), knowledge), " ")), "able")
+    able = made.where("_able <> ''")
+    listed = able.select("_able").distinct().select("_able", F.posexplode(F.split("_able", " ")).alias("_i", "text"))
+    hits = near_words(listed, knowledge)
+    first = listed.join(hits, "text").groupBy("_able").agg(F.min_by("hit", "_i").alias("aprox"))
+    found = able.join(first, "_able", "left").withColumn("aprox", F.coalesce("aprox", F.lit("")))
+    none = made.where("_able = '' or _able is null").withColumn("aprox", F.lit(""))
+    return found.unionByName(none).drop("_able")
 
 
 def cascade(df: DataFrame, knowledge: Knowledge) -> DataFrame:
