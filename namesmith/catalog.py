@@ -874,3 +874,23 @@ def streaming_resolution(spark, sf_dir):
     stream = spark.readStream.schema(files.NAMES).parquet(f"{folder}/in")
     incremental.start(stream, master, records.generic_tokens(frequency, rec.count()), f"{folder}/out", f"{folder}/checkpoint", K).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop("lote")
+
+
+@query(D.sql(O.DECIDED, "select clave, cluster from clustered", _GUARDED, _CLUSTERS))
+def incremental_clusters(spark, sf_dir):
+    """Clusters that a stream keeps up to date over three loads: those of one run over all names."""
+    return incremental_master(spark, sf_dir).read("members", 2).select("clave", "cluster")
+
+
+def incremental_master(spark, sf_dir) -> incremental.Master:
+    source = with_chains(spark, sf_dir)
+    frequency = keyed(spark, sf_dir, with_chains)[1]
+    n = source.count()
+    folder = _own_file(spark, "loads")
+    statistics = incremental.Statistics(frequency, records.generic_tokens(frequency, n), records.generic_cut(n))
+    master = incremental.Master(spark, f"{folder}/master", statistics, K)
+    for load in range(3):
+        source.where(F.pmod(F.xxhash64("idx"), F.lit(3)) == load).write.parquet(f"{folder}/in/{load}")
+        stream = spark.readStream.schema(files.NAMES).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+        incremental.maintain(stream, master, f"{folder}/checkpoint").awaitTermination()
+    return master

@@ -41,7 +41,11 @@ def nodes(records: DataFrame) -> DataFrame:
         F.max(best).alias("best"), F.min(F.struct("idx", "tokens")).alias("first"), F.bool_or("truncado").alias("truncado"), F.count("*").alias("n_registros"),
     )
     out = grouped.select("clave", F.col("best.limpio").alias("limpio"), F.col("best.nucleo").alias("nucleo"), F.col("first.tokens").alias("tokens"), "truncado", "n_registros")
-    return out.withColumn("reducido", T.text_of(T.remove_qualifiers(T.tokens_of(F.col("nucleo")))))
+    return with_reduced(out)
+
+
+def with_reduced(node: DataFrame) -> DataFrame:
+    return node.withColumn("reducido", T.text_of(T.remove_qualifiers(T.tokens_of(F.col("nucleo")))))
 
 
 def rare_tokens(node: DataFrame, frequency: DataFrame) -> DataFrame:

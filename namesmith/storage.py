@@ -50,6 +50,20 @@ def _hadoop(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _hadoop(spark, path)
+    return system.exists(target)
+
+
+def remove(spark: SparkSession, folder: str, keep: str = "") -> None:
+    """Removes a folder's entries but the one to keep."""
+    system, target = _hadoop(spark, folder)
+    if system.exists(target):
+        for entry in system.listStatus(target):
+            if entry.getPath().getName() != keep:
+                system.delete(entry.getPath(), True)
+
+
 class Stages:
     """Named tables of one run in a folder: a run that finds a finished one reads it, another computes and writes it.
 
