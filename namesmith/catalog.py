@@ -20,7 +20,7 @@ from .operators import canonical, external, lexicon, records, reports, resolutio
 from .operators.knowledge import default, division_label, executive_view, macrosector
 from .plans import pipeline
 from .sources import files, sheets
-from .sources.names import drifting_names, drifting_sql, names, names_sql
+from .sources.names import cut_names, cut_sql, drifting_names, drifting_sql, names, names_sql
 from .storage import durable, shared_folder, ship
 from .streaming import incremental
 
@@ -321,6 +321,12 @@ def truncation_pairs(spark, sf_dir):
     return both.where(resolution.truncation("a", "b") | resolution.truncation("b", "a")).select("a", "b")
 
 
+@query(O.Chain(K, cut_sql()).sql(O.NODES, f"select s.clave as a, l.clave as b from nodes s, nodes l where s.clave <> l.clave and {O._CUT_OFF.format(s='s', l='l')}"))
+def truncation_join(spark, sf_dir):
+    """Cut-off names with all longer ones that they begin; the twin compares all pairs."""
+    return resolution.truncation_join(durable(resolution.nodes(keyed(spark, sf_dir, cut_names)[0]), "nodes"))
+
+
 _COHESION = f"""cohesion_sides as materialized (select p.a, p.b, {O._SORTED.format("na.nucleo")} as x, {O._SORTED.format("nb.nucleo")} as y, {O._SORTED.format("na.reducido")} as rx, {O._SORTED.format("nb.reducido")} as ry,
   len(na.limpio) >= 18 and starts_with(nb.limpio, na.limpio) or len(nb.limpio) >= 18 and starts_with(na.limpio, nb.limpio) as prefix
   from (select a, b from accepted where accepted) p join nodes na on na.clave = p.a join nodes nb on nb.clave = p.b),

@@ -92,6 +92,23 @@ def truncation(short: str, long: str) -> Column:
     return F.col(f"{short}_truncado") & (F.length(s) < F.length(l)) & (F.length(s) >= SETTINGS.prefix_least) & F.length(s).isin(*SETTINGS.field_limits) & l.startswith(s)
 
 
+#: Into how many parts the names that begin alike are dealt; each cut-off name goes to all of them.
+SALTS = 16
+
+
+def truncation_join(node: DataFrame) -> DataFrame:
+    """``(a, b)``: each cut-off name a with every longer name b that it begins, whether or not they share a useful block.
+
+    An equi-join on as many first letters as a field holds. Many names may begin alike, few of them are cut off: so the
+    longer ones are dealt by a salt too, and the cut-off ones repeated for each salt. Null texts match nothing.
+    """
+    own = node.where("truncado").select(F.col("clave").alias("a"), F.col("limpio").alias("head")).where(F.length("head").isin(*SETTINGS.field_limits) & (F.length("head") >= SETTINGS.prefix_least))
+    own = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    cuts = F.array_compact(F.array(*[F.when(F.length("limpio") > n, F.substring("limpio", 1, n)) for n in SETTINGS.field_limits]))
+    longer = node.select(F.col("clave").alias("b"), F.explode(cuts).alias("head"), F.pmod(F.xxhash64("clave"), F.lit(SALTS)).cast("int").alias("salt"))
+    return own.join(longer, ["head", "salt"]).where("a <> b").select("a", "b")
+
+
 def with_ends(pairs: DataFrame, node: DataFrame) -> DataFrame:
     """Joins both ends' columns to pairs (a, b) as a_... and b_..."""
     out = pairs

@@ -111,3 +111,23 @@ def drifting_names(spark: SparkSession, sf_dir: str, table: str = "supplier") ->
 def drifting_sql(table: str = "supplier") -> str:
     text = _drifting(lambda *p: "(" + " || ".join(p) + ")", lambda a, b: f"({a}) % {b}", lambda a, b: f"({a} // {b})")
     return f"select -k as idx, {text} as nombre_original from (select {KEYS[table]}::bigint as k from {table})"
+
+
+#: What makes names longer than a field, and the lengths that fields cut them to.
+_TAIL, _FIELDS = " SOCIEDAD INTERNACIONAL DEL ISTMO CENTROAMERICANO", (30, 40)
+
+
+def _cut(source: str, take: str, rest: str) -> str:
+    whole = f"select idx, {take} as nombre_original from ({source})"
+    cuts = [f"select -{rest.format(n=n + 1)} as idx, substring({take}, 1, {n + 1}) as nombre_original from ({source}) where idx % {k} = 0" for k, n in zip((3, 5), _FIELDS)]
+    return " union all ".join([whole, *cuts])
+
+
+def cut_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(idx, nombre_original)``: the names made longer, and a third of them again as each field cuts them, idx below 0."""
+    names(spark, sf_dir).createOrReplaceTempView("namesmith_names")
+    return spark.sql(_cut("namesmith_names", f"concat(nombre_original, '{_TAIL}')", "(idx * 100 + {n})").replace("from (namesmith_names)", "from namesmith_names"))
+
+
+def cut_sql() -> str:
+    return _cut(names_sql(), f"nombre_original || '{_TAIL}'", "(idx * 100 + {n})")

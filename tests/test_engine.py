@@ -15,7 +15,7 @@ from namesmith.operators import canonical, external, records, reports, resolutio
 from namesmith.operators.knowledge import Knowledge, default
 from namesmith.plans import pipeline
 from namesmith.sources import files
-from namesmith.storage import ship
+from namesmith.storage import durable, ship
 
 #: raw, cleaned, number, legal form, key, type, evidence level, section + division
 CASES = [
@@ -125,6 +125,24 @@ def test_guarded_merge(spark):
     assert resolution.guarded_clusters(decided.where("false"), node).count() == 0
 
 
+def test_truncation_join(spark):
+    """Also where no block is useful: 200 names share all their rare tokens."""
+    from namesmith.sources.files import NAMES
+
+    head = "ASOCIACION NACIONAL DE CRIADORES DE GANADO"
+    texts = [f"{head} {k:03}X" for k in range(200)] + [head[:30], head[:40], head[:20], "OTRO NOMBRE LARGO QUE NO TIENE PAR"]
+    names = spark.createDataFrame([(k, "'" + t) for k, t in enumerate(texts)], NAMES)
+    rows = durable(records.keyed(records.first_pass(names), [], default()), "rows")
+    node = durable(resolution.nodes(rows), "nodes")
+    got = {tuple(r) for r in resolution.truncation_join(node).collect()}
+    ends = {r.clave: (r.limpio, r.truncado) for r in node.collect()}
+    want = {(a, b) for a, (s, cut) in ends.items() for b, (l, _) in ends.items() if cut and len(s) in (30, 40) and len(l) > len(s) and l.startswith(s)}
+    assert got == want and len(want) > 300
+    rare = resolution.rare_tokens(node, records.document_frequency(rows))
+    assert not {tuple(sorted(p)) for p in got} <= {tuple(r) for r in resolution.candidate_pairs(resolution.signals(rare)).collect()}
+    assert resolution.truncation_join(node.limit(0)).count() == 0
+
+
 def replayed(text, pairs):
     """Members and pairs that stay apart, pair by pair in one place."""
     from namesmith.functions.similarity import ratio
