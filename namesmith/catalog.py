@@ -607,6 +607,29 @@ def upper_median(spark, sf_dir):
     return reports.upper_median(_scored(spark, sf_dir), "confianza")
 
 
+@query("select list_sort(list(l_extendedprice))[count(*) // 2 + 1] as mediana from lineitem where l_extendedprice is not null")
+def median_price(spark, sf_dir):
+    """The upper median of a column of many distinct doubles."""
+    return reports.upper_median(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_extendedprice")
+
+
+_DIMENSIONS = ("tipo", "seccion", "vista", "banda", "origen_nombre", "origen_sector")
+
+
+@query(
+    C.sql(
+        O.RECORDS,
+        "select case " + " ".join(f"when grouping({d}) = 0 then '{d}'" for d in _DIMENSIONS) + " else 'total' end as dimension, coalesce(" + ", ".join(_DIMENSIONS) + ") as valor, count(*) as n, round(100.0e0 * count(*) / (select count(*) from counted), 4) as porcentaje from counted group by grouping sets (" + ", ".join(f"({d})" for d in _DIMENSIONS) + ", ())",
+        O.cascade_ctes(K, "records"),
+        _SCORED,
+        f"counted as (select tipo, seccion, coalesce({O.mapped('seccion', rules.EXECUTIVE)}, 'Sin clasificar') as vista, {_BAND} as banda, origen_nombre, nivel as origen_sector from scores)",
+    )
+)
+def counters(spark, sf_dir):
+    """All counters of a load in one pass."""
+    return reports.counters(_scored(spark, sf_dir), {"tipo": F.col("tipo"), "seccion": F.col("seccion"), "vista": executive_view(F.col("seccion")), "banda": F.col("banda"), "origen_nombre": F.col("origen_nombre"), "origen_sector": F.col("nivel")})
+
+
 @query(
     C.sql(
         O.RECORDS,

@@ -38,7 +38,7 @@ def typo_correction(rows: DataFrame, knowledge: Knowledge) -> DataFrame:
     rows = durable(rows, "words")
     able = F.filter("palabras", lambda t: (F.length(t) >= SETTINGS.typo_length) & ~T.one_of(t, *knowledge.known))
     open_ = rows.select("idx", F.explode(able).alias("text"))
-    fixes = likeness.best(open_, likeness.vocabulary(rows.sparkSession, sorted(knowledge.typo_targets)), SETTINGS.typo_ratio, _typo_ok)
+    fixes = likeness.best(open_.select("text").distinct(), likeness.vocabulary(rows.sparkSession, sorted(knowledge.typo_targets)), SETTINGS.typo_ratio, _typo_ok)
     held = open_.join(fixes, "text").groupBy("idx").agg(F.map_from_entries(F.collect_set(F.struct("text", "word"))).alias("_fixes"))
     fixed = F.when(F.col("_fixes").isNull(), F.col("palabras")).otherwise(F.transform("palabras", lambda t: F.coalesce(F.element_at("_fixes", t), t)))
     return rows.join(held, "idx", "left").withColumn("palabras", fixed).drop("_fixes")

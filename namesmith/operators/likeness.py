@@ -34,16 +34,17 @@ def most_lost(n: int, threshold: float) -> int:
 
 def keys(df: DataFrame, text: str, threshold: float, short: int) -> DataFrame:
     """A row for each letter pair of the prefix: ``df``'s columns with ``gram`` and ``place``."""
-    n = F.length(text)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.struct(F.xxhash64(F.substr(F.col(text), i, F.lit(2))).alias("h"), i.alias("place"), F.substr(F.col(text), i, F.lit(2)).alias("gram")))
-    table = F.array(*[F.lit(most_lost(k, threshold) + 1) for k in range(TABLE + 1)])
+    # Written as text: each expression costs a call to the JVM when it is built of columns.
+    c = f"`{text}`"
+    grams = f"array_sort(transform(sequence(1, greatest(length({c}) - 1, 1)), i -> struct(xxhash64(substr({c}, i, 2)) as h, i as place, substr({c}, i, 2) as gram)))"
+    table = f"element_at(array({', '.join(str(most_lost(k, threshold) + 1) for k in range(TABLE + 1))}), least(length({c}), {TABLE}) + 1)"
     # Beyond the table: 2 for each letter that may change against the longest partner.
-    beyond = (F.floor(n * (2 * (1 - threshold / 100) * (1 + (200 - threshold) / threshold)) + 1e-9) + 1).cast("int")
-    first = F.slice(F.array_sort(grams), F.lit(1), F.when(n <= TABLE, F.element_at(table, F.least(n, F.lit(TABLE)) + 1)).otherwise(beyond))
+    beyond = f"cast(floor(length({c}) * {2 * (1 - threshold / 100) * (1 + (200 - threshold) / threshold)}d + 1e-9d) + 1 as int)"
+    first = f"slice({grams}, 1, if(length({c}) <= {TABLE}, {table}, {beyond}))"
     # Texts with fewer letter pairs than that, and all that they could match, also meet by a key of their own.
-    alone = F.array(F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("place"), F.lit("").alias("gram")))
-    made = F.when(n <= short, F.concat(first, alone)).otherwise(first)
-    return df.withColumn("_k", F.explode(made)).select(*df.columns, "_k.gram", "_k.place")
+    alone = "array(struct(0L as h, 0 as place, '' as gram))"
+    made = F.expr(f"inline(if(length({c}) <= {short}, concat({first}, {alone}), {first}))")
+    return df.select(*df.columns, made).drop("h")
 
 
 @lru_cache
@@ -56,9 +57,9 @@ def shortest_indexed(threshold: float) -> int:
 
 
 def candidates(texts: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """Pairs to verify, each once: ``texts``' column text with ``words``' columns, of which the first is the word."""
+    """Pairs to verify, each once: ``texts``' column text (distinct) with ``words``' columns, of which the first is the word."""
     short, word = shortest_indexed(threshold), words.columns[0]
-    left = keys(texts.select("text").distinct(), "text", threshold, short)
+    left = keys(texts.select("text"), "text", threshold, short)
     right = keys(words, word, threshold, short).withColumnRenamed("place", "_place")
     apart = (1 - threshold / 100) * (F.length("text") + F.length(word)) + 1e-9
     near = left.join(right, "gram").where(length_bound(F.col("text"), F.col(word), threshold) & (F.abs(F.col("place") - F.col("_place")) <= apart))
@@ -66,7 +67,10 @@ def candidates(texts: DataFrame, words: DataFrame, threshold: float) -> DataFram
 
 
 def similar(texts: DataFrame, words: DataFrame, threshold: float, accept: Callable[[Column, Column], Column] | None = None) -> DataFrame:
-    """``(text, word..., ratio)``: all pairs that ``accept`` takes and whose ratio reaches ``threshold``; nulls match nothing."""
+    """``(text, word..., ratio)``: all pairs that ``accept`` takes and whose ratio reaches ``threshold``; nulls match nothing.
+
+    ``texts`` are distinct; repeated ones only cost time.
+    """
     word = words.columns[0]
     pairs = candidates(texts.where("text is not null"), words.where(F.col(word).isNotNull()), threshold)
     if accept:
@@ -82,4 +86,6 @@ def best(texts: DataFrame, words: DataFrame, threshold: float, accept=None) -> D
 
 def vocabulary(spark: SparkSession, words: list[str]) -> DataFrame:
     """``(word, rank)`` in the order given."""
-    return spark.createDataFrame([(w, k) for k, w in enumerate(words)], "word string, rank int")
+    import pyarrow as pa
+
+    return spark.createDataFrame(pa.table({"word": pa.array(words, pa.string()), "rank": pa.array(range(len(words)), pa.int32())}))

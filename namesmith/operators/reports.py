@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -43,12 +43,56 @@ def concentration(sections: DataFrame) -> DataFrame:
     return counts.join(total).select("sector_ejecutivo", "registros", F.round(100.0 * F.col("registros") / F.col("total"), 4).alias("porcentaje"))
 
 
-def upper_median(df: DataFrame, column: str) -> DataFrame:
-    """One row: the element at place n div 2 of the sorted values, from counts by value (values are few)."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("k"))
-    total = counts.agg(F.sum("k").alias("n"))
-    upto = counts.alias("x").join(counts.alias("y"), F.col(f"y.{column}") <= F.col(f"x.{column}")).groupBy(F.col(f"x.{column}").alias("v")).agg(F.sum("y.k").alias("upto"))
-    return upto.join(total).where(F.col("upto") > F.floor(F.col("n") / 2)).agg(F.min("v").alias("mediana"))
+#: Values that are ordered at once at the end of a selection.
+FEW = 50_000
+
+
+def upper_median(df: DataFrame, column: str, few: int = FEW) -> DataFrame:
+    """One row: the element at place n div 2 of the sorted values, exactly; null without values (nulls and NaN aren't).
+
+    Selection in rounds: a sketch gives two values that likely enclose the place, an aggregate counts what lies below, at and
+    between them, and the next round sees what is strictly between (or outside, where the sketch was wrong), so every
+    round leaves out at least two values and mostly all but a ten-thousandth. The last ``few`` values are counted and ordered.
+    """
+    spark, kind = df.sparkSession, df.schema[column].dataType.simpleString()
+    values = df.select(F.col(column).alias("v")).where("v is not null")
+    if kind in ("float", "double"):
+        values = values.where(~F.isnan("v"))
+    n = values.count()
+    place, below, inside, found = n // 2, 0, n, None
+    while inside > few and found is None:
+        q = (place - below + 0.5) / inside
+        low, high = values.agg(F.percentile_approx("v", [max(0.0, q - 2e-4), min(1.0, q + 2e-4)], 10000)).first()[0]
+        low_, high_ = F.lit(low).cast(kind), F.lit(high).cast(kind)
+        parts = (F.col("v") < low_, F.col("v") == low_, (F.col("v") > low_) & (F.col("v") < high_), (F.col("v") == high_) & (high_ > low_), F.col("v") > high_)
+        counts = values.agg(*(F.count_if(p) for p in parts)).first()
+        for k, (count, part) in enumerate(zip(counts, parts)):
+            if place < below + count:
+                inside = count
+                found = (low, high)[k == 3] if k in (1, 3) else None
+                values = values.where(part)
+                break
+            below += count
+    if found is None:
+        for value, count in values.groupBy("v").agg(F.count("*")).orderBy("v").collect():  # few at most
+            found = value if found is None and place < below + count else found
+            below += count
+    return spark.createDataFrame([(found,)], f"mediana {kind}")
+
+
+def counters(df: DataFrame, dimensions: dict[str, Column]) -> DataFrame:
+    """``(dimension, valor, n, porcentaje)``: how many rows have each value of each dimension, and all of them (total), in one pass."""
+    names = {f"_{k}": name for k, name in enumerate(dimensions)}
+    rows = df.select(*(c.cast("string").alias(own) for own, c in zip(names, dimensions.values())))
+    out = rows.groupingSets([[F.col(own)] for own in names] + [[]], *(F.col(own) for own in names)).agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
+    every = (1 << len(names)) - 1
+    label, value = F.when(F.col("g") == every, "total"), F.lit(None).cast("string")
+    for k, (own, name) in enumerate(names.items()):
+        here = F.col("g") == every - (1 << len(names) - 1 - k)
+        label, value = label.when(here, name), F.when(here, F.col(own)).otherwise(value)
+    # One row for each value of a label: few, whatever the input.
+    share = F.round(100.0 * F.col("n") / F.max(F.when(F.col("g") == every, F.col("n"))).over(Window.partitionBy()), 4)
+    return out.select(label.alias("dimension"), value.alias("valor"), "n", share.alias("porcentaje"))
 
 
 def kpis(rows: DataFrame) -> DataFrame:

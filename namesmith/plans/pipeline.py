@@ -19,6 +19,8 @@ class Result(NamedTuple):
     resolved: DataFrame
     records: DataFrame
     merged: DataFrame
+    #: Rows, counters and seconds of each stage that this run computed.
+    figures: dict = {}
 
 
 def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame | None = None, folder: str | None = None, version: str = "") -> Result:
@@ -33,7 +35,8 @@ def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame
     raw = names
     names = stage("names", lambda: raw)
     frequency = stage("frequency", lambda: records.document_frequency(records.first_pass(names, knowledge)))
-    recs = stage("records", lambda: records.records(names, knowledge, frequency)[0])
+    kinds = {t.lower(): F.count_if(F.col("tipo") == t) for t in rules.TYPE_LABELS}
+    recs = stage("records", lambda: records.records(names, knowledge, frequency)[0], empleadores=F.count_if(T.one_of(F.col("tipo"), *rules.EMPLOYER_TYPES)), truncados=F.count_if("truncado"), **kinds)
     cut = records.generic_cut(names.count())
 
     node = stage("nodes", lambda: resolution.nodes(recs))
@@ -73,7 +76,7 @@ def run(names: DataFrame, knowledge: Knowledge | None = None, answers: DataFrame
     audit = employer.unionByName(others)
     audit = audit.withColumn("vista_ejecutiva", executive_view(F.col("seccion"))).withColumn("macrosector", macrosector(F.col("seccion"), F.col("tipo"), F.col("nombre_propuesto")))
     audit = audit.withColumn("traza", F.concat_ws(" | ", F.concat(F.lit("tipo "), "tipo"), F.concat(F.lit("sector por "), "origen_sector"), F.concat_ws("; ", "factores"))).drop("factores")
-    return Result(durable(audit, "audit"), resolved, recs, merged)
+    return Result(durable(audit, "audit"), resolved, recs, merged, stage.figures)
 
 
 def non_employers(recs: DataFrame, knowledge: Knowledge) -> DataFrame:

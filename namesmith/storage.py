@@ -8,7 +8,8 @@ import tempfile
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -75,19 +76,28 @@ class Stages:
         self.spark, self.version = spark, version
         self.folder = folder and f"{folder.rstrip('/')}/{version or 'all'}"
         self.reused: list[str] = []
+        #: Figures of each stage of this run that was computed: what its rows added up to while they were written.
+        self.figures: dict[str, dict] = {}
 
-    def __call__(self, name: str, make) -> DataFrame:
-        """The table ``name``; ``make()`` gives its rows if they aren't there yet."""
+    def __call__(self, name: str, make, **figures: Column) -> DataFrame:
+        """The table ``name``; ``make()`` gives its rows if they aren't there yet. ``figures``: aggregates beside their number."""
         if not self.folder:
-            return durable(make(), name)
+            return self._observed(name, make, figures, lambda df: durable(df, name))
         path = f"{self.folder}/{name}"
         system, done = _hadoop(self.spark, f"{path}/_SUCCESS")
         if system.exists(done):
             self.reused.append(name)
             return self.spark.read.parquet(path)
         system.delete(done.getParent(), True)
-        with Phase(name):
-            return _written(make(), path)
+        return self._observed(name, make, figures, lambda df: _written(df, path))
+
+    def _observed(self, name: str, make, figures: dict[str, Column], write) -> DataFrame:
+        seen = Observation(name)
+        with Phase(name) as phase:
+            out = write(make().observe(seen, F.count(F.lit(1)).alias("filas"), *(c.alias(k) for k, c in figures.items())))
+        self.figures[name] = {**seen.get, "segundos": round(phase.seconds, 3)}
+        Phase.log.info("%s: %s", name, self.figures[name])
+        return out
 
 
 class Phase:

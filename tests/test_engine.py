@@ -15,7 +15,7 @@ from namesmith.operators import canonical, external, records, reports, resolutio
 from namesmith.operators.knowledge import Knowledge, default
 from namesmith.plans import pipeline
 from namesmith.sources import files
-from namesmith.storage import durable, ship
+from namesmith.storage import Stages, durable, ship
 
 #: raw, cleaned, number, legal form, key, type, evidence level, section + division
 CASES = [
@@ -380,3 +380,33 @@ def test_shared_folder_is_required_on_a_cluster():
 def test_upper_median(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (10,)], "v int")
     assert reports.upper_median(df, "v").first().mediana == 3
+
+
+def test_upper_median_by_selection(spark):
+    rng = random.Random(9)
+    wide = spark.range(3_000_000).select(F.when(F.col("id") % 11 != 0, F.exp(F.rand(3) * 600 - 300)).alias("v"))
+    few = reports.upper_median(wide, "v", 1000).first().mediana
+    below, equal, n = wide.agg(F.count_if(F.col("v") < few), F.count_if(F.col("v") == few), F.count("v")).first()
+    assert below <= n // 2 < below + equal
+    for kind, values in (("int", [1, 2] * 300 + [3]), ("int", [7] * 900), ("double", [rng.choice([0.5, -0.0, 1e300, float("nan"), None]) for _ in range(999)]), ("bigint", [rng.randrange(10**15) for _ in range(2001)]), ("string", [])):
+        known = sorted(v for v in values if v is not None and v == v)
+        got = reports.upper_median(spark.createDataFrame([(v,) for v in values], f"v {kind}"), "v", 10).first().mediana
+        assert got == (known[len(known) // 2] if known else None)
+
+
+def test_counters_in_one_pass(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", None, "x"), (None, 1, "x")], "k string, n int, z string")
+    out = reports.counters(df, {"k": F.col("k"), "n": F.col("n"), "z": F.col("z")})
+    got = {(r.dimension, r.valor): (r.n, r.porcentaje) for r in out.collect()}
+    assert got == {("total", None): (4, 100.0), ("k", "a"): (2, 50.0), ("k", "b"): (1, 25.0), ("k", None): (1, 25.0), ("n", "1"): (2, 50.0), ("n", "2"): (1, 25.0), ("n", None): (1, 25.0), ("z", "x"): (3, 75.0), ("z", None): (1, 25.0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_figures_of_stages(spark, tmp_path, caplog):
+    stages = Stages(spark, f"file://{tmp_path}", "1")
+    with caplog.at_level("INFO", "namesmith"):
+        stages("t", lambda: spark.range(7), pares=F.count_if(F.col("id") % 2 == 0))
+    assert {k: stages.figures["t"][k] for k in ("filas", "pares")} == {"filas": 7, "pares": 4} and "'pares': 4" in caplog.text
+    again = Stages(spark, f"file://{tmp_path}", "1")
+    assert again("t", lambda: 1 / 0).count() == 7 and again.reused == ["t"] and not again.figures
