@@ -6,7 +6,6 @@ queries run over all rows of that table.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -813,11 +812,10 @@ def xlsx_round_trip(spark, sf_dir):
 
 @query(ORACLES["kpi_summary"])
 def json_round_trip(spark, sf_dir):
-    """The indicators written as a JSON document and read back."""
-    with tempfile.TemporaryDirectory() as folder:
-        kpis = durable(kpi_summary(spark, sf_dir), "kpis")
-        files.export_json(kpis, f"{folder}/kpis.json")
-        return spark.createDataFrame([files.read_json(f"{folder}/kpis.json")], kpis.schema)
+    """The indicators written as JSON into the shared folder and read back."""
+    path, kpis = _own_file(spark, "kpis"), kpi_summary(spark, sf_dir)
+    files.write_json(kpis, path)
+    return files.read_json_rows(spark, path, kpis.schema)
 
 
 @query(f"select idx, nombre_original from ({O.names_sql()})")
@@ -826,9 +824,10 @@ def optional_input(spark, sf_dir):
     return names(spark, sf_dir).union(files.read_optional(spark, _own_file(spark, "absent"), files.NAMES))
 
 
-@query(f"select * from (values " + ", ".join(f"({O.q(a)}, {O.q(b)}, {O.q(c)})" for a, b, c in external.prompt_catalogue(K.catalogue)) + ") as t(seccion, division, etiqueta)")
+@query(C.sql(O.RECORDS, f"select distinct seccion, division, coalesce({O.mapped('seccion || division', rules.DIVISIONS)}, {O.mapped('seccion', rules.SECTIONS)}) as etiqueta from cascade where seccion <> ''", O.cascade_ctes(K, "records")))
 def prompt_catalogue(spark, sf_dir):
-    return spark.createDataFrame(external.prompt_catalogue(K.catalogue), "seccion string, division string, etiqueta string")
+    """The listing for the prompt: sections and divisions that the evidence in the names speaks of, with their labels."""
+    return external.listing(sectors.cascade(keyed(spark, sf_dir)[0], K))
 
 
 _SAMPLE = f"based_names as (select idx, {O._strip('nombre_original')} as nombre, md5('2026:' || idx) as h from ({O.names_sql()}))"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.rules import SETTINGS
+from .knowledge import division_label
 from .resolution import numbered
 
 #: Prices in USD per million tokens (input, output, cached input) and tokens per name.
@@ -99,6 +100,11 @@ def prompt_catalogue(catalogue) -> list[tuple[str, str, str]]:
     return [(*pair, text) for pair, text in sorted(found.items())]
 
 
+def listing(evidence: DataFrame) -> DataFrame:
+    """``(seccion, division, etiqueta)``: the pairs that rows with evidence speak of."""
+    return evidence.where("seccion <> ''").select("seccion", "division", division_label(F.col("seccion"), F.col("division")).alias("etiqueta")).distinct()
+
+
 def prompt_text(catalogue) -> str:
     """One line a pair: section, division, label."""
     return "\n".join(" | ".join(row) for row in prompt_catalogue(catalogue))

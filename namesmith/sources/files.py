@@ -51,6 +51,16 @@ def export_csv(df: DataFrame, path: str, limit: int) -> int:
     return len(rows)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON lines, a file a task; nulls are written, so that every row has all keys."""
+    df.write.option("ignoreNullFields", "false").json(path)
+
+
+def read_json_rows(spark: SparkSession, path: str, schema) -> DataFrame:
+    """JSON lines by a given schema; a line that isn't JSON fails."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def export_json(df: DataFrame, path: str) -> None:
     """One-row reports as a JSON document, keys sorted."""
     row = df.first()
