@@ -9,7 +9,7 @@ but ``ATYPICAL`` of that language's words in texts the probabilities weren't tak
 language's share of marginal mass over typical words only, out of all words: the share of words that are in it.
 
 Training takes at most ``PER_LANGUAGE`` documents a language (``SAMPLE`` in all, least key hash first) that aren't held
-out, and ``WORDS`` words from places spread over each; they are spliced into sequences that switch language now and
+out, and about ``WORDS`` words from places spread over each, the first ``WORD_BYTES`` bytes of a word; they are spliced into sequences that switch language now and
 then, so the transitions are learned from switches too. Prediction reads every word; a text of more than ``CHAIN`` words
 is decoded in pieces that move side by side, and each piece begins and ends with the exact messages of its neighbours,
 so the marginals are those of the uncut chain.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .runtime import filter_batches, holds_out, release, ship
 from .shingles import lowered, mix, slices, span_hashes, utf8_buffers, word_spans
 
-PER_LANGUAGE, SAMPLE, WORDS, CHAIN = 400, 20000, 300, 1024
+PER_LANGUAGE, SAMPLE, WORDS, WORD_BYTES, CHAIN = 400, 20000, 300, 48, 1024
 BITS, LEXICON, SEGMENT, SEQUENCE, ROUNDS = 16, 20000, 15, 60, 40
 ATYPICAL = 0.02
 _LETTERS = np.ones(256, bool)
@@ -254,7 +254,7 @@ def train(texts: list[bytes], languages: list[str], seed: int = 7) -> dict:
 
 
 def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
-    """Learn from ``documents(doc_id, text, lang)``; only the sample's words come to the driver."""
+    """Learn from ``documents(doc_id, text, lang)``; only the sample's words come to the driver, not what lies between."""
     ship(documents.sparkSession)
     keys = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("lang").cast("string").alias("language"), F.col("text").cast("string").alias("text")).where("key is not null and language is not null and text is not null")
     # A repeated key counts once, with one of its languages and texts.
@@ -274,8 +274,8 @@ def fit(documents: DataFrame, modulus: int = 5, remainder: int = 0) -> dict:
                 starts, ends, first = word_spans(part, cut, _LETTERS)
                 for i, j in zip(first[:-1], first[1:]):
                     step = max(1, (j - i) * 20 // WORDS)  # pieces of 20 words from evenly spread places
-                    pieces = [(starts[k], ends[min(k + 20, j) - 1]) for k in range(i, j, max(step, 20))]
-                    out.append(b" ".join(part[a:b].tobytes() for a, b in pieces))
+                    places = [w for k in range(i, j, max(step, 20)) for w in range(k, min(k + 20, j))]
+                    out.append(b" ".join(part[starts[w] : min(ends[w], starts[w] + WORD_BYTES)].tobytes() for w in places))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary()), batch.column("language")], names=["key", "text", "language"])
 
     texts = documents.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))

@@ -4,12 +4,14 @@ A document is a bag of sentences. Each sentence has a logistic score over its ha
 4, 5 and 6 bytes, so that inflected forms share evidence), and the document's score is their noisy-or, 1 - prod(1 - p). Only documents carry labels; the gradient of the noisy-or decides which
 sentences answer for a toxic document, so the trained model also locates the offending sentences.
 
-Training uses at most ``SAMPLE`` labelled rows that aren't held out (uniform by key hash), a bound independent of the
-corpus. Words of fewer than ``LEAST_DOCUMENTS`` sampled documents have weight 0. Scoring is one pass over whole texts:
+Training uses at most ``SAMPLE`` labelled rows that aren't held out (uniform by key hash) and ``FIT_FEATURES`` features
+(words and heads) of a row, those of whole sentences from all over its text: bounds independent of the corpus and of its
+texts' lengths. Words of fewer than ``LEAST_DOCUMENTS`` sampled documents have weight 0. Scoring is one pass over whole texts:
 every word of a text of any length counts.
 
 Null, empty and wordless texts score 0. Null doc_ids and repeated rows keep their rows. Without usable labels every
-score is 0. An empty table gives an empty result. Other columns of the input are ignored, whatever their names.
+score is 0. An empty table gives an empty result. Equal texts score alike, and a score of exactly ``THRESHOLD`` counts as
+toxic. Other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 
 from .labelled import labelled_texts, sigmoid
 from .runtime import filter_batches, holds_out, release, ship
-from .shingles import lowered, slices, span_hashes, utf8_buffers, word_spans
+from .shingles import lowered, mix, slices, span_hashes, utf8_buffers, word_spans
 
 SAMPLE, LEAST_DOCUMENTS, BITS, ROUNDS, HEADS = 5000, 4, 18, 120, (4, 5, 6)
+FIT_FEATURES = 6000
 RIDGE, LASSO, THRESHOLD, RATE, START = 0.05, 1.0, 0.3, 0.1, 0.7
 _NOT_WORD = np.ones(256, bool)
 _NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -61,6 +64,28 @@ def word_forms(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return out
 
 
+def bounded(features: np.ndarray, sentence: np.ndarray, document: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bags with at most ``limit`` features a document: sentences in the order of a hash of their number while they fit.
+
+    Where the first of them doesn't, it gives features from evenly spread places. Shorter documents stay whole.
+    """
+    of = document[sentence]
+    keep = np.ones(len(features), bool)
+    for d in np.flatnonzero(np.bincount(of) > limit):
+        lo, hi = np.searchsorted(of, (d, d + 1))
+        begin = np.flatnonzero(np.r_[True, sentence[lo + 1 : hi] != sentence[lo : hi - 1]])
+        size = np.diff(np.r_[begin, hi - lo])
+        order = np.argsort(mix(np.arange(len(size), dtype=np.uint64)), kind="stable")
+        fits = np.zeros(len(size), bool)
+        fits[order[np.cumsum(size[order]) <= limit]] = True
+        keep[lo:hi] = np.repeat(fits, size)
+        if not fits.any():
+            first = order[0]
+            keep[lo + begin[first] + np.arange(limit) * size[first] // limit] = True
+    kept, sentence = np.unique(sentence[keep], return_inverse=True)
+    return features[keep], sentence, document[kept]
+
+
 def sentence_logits(features, sentence, count: int, weights, bias: float) -> np.ndarray:
     return bias + np.bincount(sentence, weights[features], count) if count else np.zeros(0)
 
@@ -119,13 +144,14 @@ def train(parts, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, label: str = "toxic", limit: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Model from a bounded labelled sample; its words' feature numbers come to the driver, texts don't."""
+    """Model from a bounded labelled sample; at most ``FIT_FEATURES`` feature numbers a row come to the driver, texts don't."""
 
     def pack(batches):
         for batch in batches:
             y = batch.column("y").to_pylist()
             at = 0
             for features, sentence, document, rows, _ in bags(batch.column("text")):
+                features, sentence, document = bounded(features, sentence, document, FIT_FEATURES)
                 yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in ((features.tobytes(), pa.binary()), (sentence.astype(np.int32).tobytes(), pa.binary()), (document.astype(np.int32).tobytes(), pa.binary()), (np.array(y[at : at + rows], np.int8).tobytes(), pa.binary()))], names=["f", "s", "d", "y"])
                 at += rows
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from namesmith.llm import language, quality, toxicity
@@ -188,3 +189,41 @@ def test_ties_between_languages(spark):
     model = language.train([b"aaa bbb ccc", b"aaa bbb ccc"], ["xx", "aa"])
     got = language.predict(spark.createDataFrame([(1, "aaa bbb ccc")], "doc_id long, text string"), model).first()
     assert got.lang_pred == "aa"
+
+
+def test_bags_of_long_texts_are_bounded():
+    """Whole sentences from all over a long text; other documents as they are."""
+    texts = ["short one. and two.", ". ".join(f"word{k} next{k} last" for k in range(5000)), "x" + " y" * 20000, "", "end."]
+    ((features, sentence, document, rows, _),) = toxicity.bags(pa.array(texts))
+    f, s, d = toxicity.bounded(features, sentence, document, 600)
+    of = d[s]
+    for k in range(rows):
+        whole, kept = features[document[sentence] == k], f[of == k]
+        assert len(kept) == len(whole) if len(whole) <= 600 else 500 < len(kept) <= 600
+        if len(whole) <= 600:
+            assert (kept == whole).all()
+    assert (np.diff(s) >= 0).all() and (np.unique(s) == np.arange(len(d))).all()
+    per = lambda f, s, k: {tuple(f[s == x]) for x in np.unique(s[k])}
+    assert per(f, s, of == 1) <= per(*(x[document[sentence] == 1] for x in (features, sentence)), slice(None))
+    again = toxicity.bounded(f, s, d, 600)
+    assert all((a == b).all() for a, b in zip((f, s, d), again))
+
+
+def test_what_a_fit_brings_to_the_driver(spark, monkeypatch):
+    """Training rows of 100,000 words, and of words with much between them, cost the driver what bounded ones do."""
+    long = " ".join(f"word{k % 977}" + ("." if k % 9 == 0 else "") for k in range(100000))
+    gaps = ("0123456789 " * 3000).join(["alpha", "beta", "gamma", "delta"] * 8) + " " + "z" * 500000
+    rows = [(k, (long, gaps, "a short text.")[k % 3], "en") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(60)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(language, "train", lambda texts, languages: seen.extend(texts))
+    monkeypatch.setattr(toxicity, "train", lambda parts: seen.extend(p for p in parts))
+    language.fit(docs)
+    assert seen and max(map(len, seen)) <= (language.WORDS + 20) * (language.WORD_BYTES + 1)
+    assert any(t.split()[:4] == [b"alpha", b"beta", b"gamma", b"delta"] for t in seen)
+    seen.clear()
+    toxicity.fit(docs, labels)
+    for f, s, d, y in seen:
+        assert (np.bincount(d[s], minlength=len(y)) <= toxicity.FIT_FEATURES).all()
+    assert sum(len(y) for *_, y in seen) == sum(not held(k, 4, 2) for k in range(60))
