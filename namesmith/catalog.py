@@ -15,7 +15,7 @@ from . import oracles as O
 from .functions import rules
 from .functions import text as T
 from .functions.similarity import indel_ratio, register, token_sort_ratio
-from .operators import canonical, external, lexicon, records, reports, resolution, sectors
+from .operators import canonical, external, lexicon, records, reports, resolution, sectors, vocabulary
 from .operators.knowledge import default, division_label, executive_view, macrosector
 from .plans import pipeline
 from .sources import files, sheets
@@ -492,6 +492,32 @@ def sector_cascade(spark, sf_dir):
     return sectors.cascade(first_pass(spark, sf_dir), K).select("idx", "nivel", "evidencia", "seccion", "division", "peso")
 
 
+@query(C.sql(O.PARTS, "select idx, nivel, evidencia, seccion, division, peso from cascade", O.cascade_ctes(K, "cored")))
+def cascade_by_tables(spark, sf_dir):
+    """The same evidence with catalogue and gazetteer as tables that joins meet."""
+    rows = vocabulary.cascade(first_pass(spark, sf_dir), *vocabulary.tables(spark, K))
+    return rows.select("idx", "nivel", "evidencia", "seccion", "division", "peso")
+
+
+@query(
+    C.sql(
+        O.PARTS,
+        "select c.idx, b.frase from cored c left join best b on b.nucleo = c.nucleo",
+        """pairs as (select idx, t[i] || ' ' || t[i + 1] as p from (select idx, tokens as t, unnest(range(1, len(tokens))) as i from cored)),
+phrases as (select p from pairs group by p having count(distinct idx) >= 2),
+best as (select c.nucleo, arg_min(p.p, struct_pack(a := -len(p.p), b := instr(c.nucleo, p.p))) as frase from (select distinct nucleo from cored) c join phrases p on contains(c.nucleo, p.p) group by c.nucleo)""",
+    )
+)
+def phrase_table_lookup(spark, sf_dir):
+    """The longest of the word pairs that two records share, as a table of phrases, within each name."""
+    rows = durable(first_pass(spark, sf_dir).select("idx", "nucleo", "tokens"), "cores")
+    pairs = F.transform(F.slice("tokens", F.lit(2), F.size("tokens")), lambda b, i: F.concat(F.element_at("tokens", i + 1), F.lit(" "), b))
+    phrases = rows.select("idx", F.explode(F.array_distinct(pairs)).alias("phrase")).groupBy("phrase").count().where("count >= 2").select("phrase")
+    texts = durable(rows.select(F.col("nucleo").alias("text")).distinct(), "texts")
+    found = vocabulary.longest_phrase(texts, durable(phrases, "phrases")).select(F.col("text").alias("nucleo"), F.col("phrase").alias("frase"))
+    return vocabulary.met(rows, found, "nucleo", "idx", "left").select("idx", "frase")
+
+
 _VOTE = f"""cores as (select clave as cluster, nucleo, min(tokens) as tokens, min(sufijo_societario) as sufijo_societario from employers group by clave, nucleo),
 {O.cascade_ctes(K, "cores")},
 ballots as (select cluster, seccion, division, nivel, {O.votes(K)} as v from cascade where seccion <> ''),
