@@ -6,6 +6,7 @@ queries run over all rows of that table.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -794,6 +795,58 @@ def answer_validation(spark, sf_dir):
     return external.validated(_answers(spark, sf_dir)).select("nombre", "seccion", "division", "confianza")
 
 
+def _client(names: list[str]) -> str:
+    """A stand-in for a model: answers by the lengths of names; some calls fail, some answers are malformed, short or repeat a number."""
+    kind = len(names[0]) % 5
+    if kind == 0:
+        return '{"resultados": [{"n": 1,'
+    if kind == 1:
+        raise TimeoutError("no answer")
+    found = [{"n": k, "nombre_canonico": x, "seccion": "G" if len(x) % 2 else "Z", "division": "47", "confianza": "alta" if len(x) % 3 else "baja", "motivo": "x"} for k, x in enumerate(names, 1)]
+    if kind == 2:
+        found = found[:-1]
+    if kind == 3:
+        found += [found[0] | {"seccion": "C"}, found[0] | {"n": 99}, {"n": "first"}, "x"]
+    return json.dumps({"resultados": found})
+
+
+def _asked(spark, sf_dir) -> DataFrame:
+    return durable(external.asked(external.batches(_queue(spark, sf_dir)[0], 3), _client, wait=0), "answers")
+
+
+_ASKED = "asked as (select n // 3 as lote, len(arg_min(representante, n)) % 5 as kind, max(n) as last, count(*)::int as pedidos from queue group by 1)"
+
+
+@query(
+    C.sql(
+        O.NODES,
+        "select distinct representante as nombre, case when len(representante) % 2 = 1 then 'G' else '' end as seccion, case when len(representante) % 2 = 1 then '47' else '' end as division, case when len(representante) % 2 = 0 then 'ninguna' when len(representante) % 3 = 0 then 'baja' else 'alta' end as confianza from queue join asked on lote = n // 3 where kind > 1 and not (kind = 2 and n = last)",
+        _RESOLVED,
+        _QUEUE,
+        _ASKED,
+    )
+)
+def external_answers(spark, sf_dir):
+    """The queue asked batch by batch on the executors, read as JSON, put into a cache (twice, as one load) and validated from there."""
+    answers, cache = external.parsed(_asked(spark, sf_dir)), _own_file(spark, "cache")
+    for _ in range(2):
+        external.remember(answers, cache, "1")
+    return external.validated(external.remembered(spark, cache)).select("nombre", "seccion", "division", "confianza")
+
+
+@query(
+    C.sql(
+        O.NODES,
+        "select lote, pedidos, (case kind when 0 then 0 when 1 then 0 when 2 then pedidos - 1 else pedidos end)::int as respondidos, case kind when 1 then 3 else 1 end as intentos, case kind when 0 then 'malformada' when 1 then 'fallida' when 2 then 'parcial' else 'completa' end as estado from asked",
+        _RESOLVED,
+        _QUEUE,
+        _ASKED,
+    )
+)
+def answer_log(spark, sf_dir):
+    return external.answer_log(_asked(spark, sf_dir))
+
+
 @query(
     C.sql(
         O.NODES,
