@@ -135,15 +135,16 @@ def typo_correction(spark, sf_dir):
 
 
 _NEVER = O.items(sorted({*rules.LEGAL_SUFFIXES, *rules.STOPWORDS, "CO", "CIA", "INC", "CORP", "LTD", "SA", "S"}))
+_VALID = f"""bigrams as (select distinct t[i] as a, t[i + 1] as b from (select t, unnest(range(1, len(t))) as i from (select {O._split("j")} as t from joined))),
+valid as (select p.a || ' ' || p.b as pair, w.df as whole_df from bigrams p join frequency w on w.token = p.a || 'N' || p.b left join frequency f on f.token = p.a
+  where len(p.a) >= 2 and len(p.b) between 1 and 3 and p.a not in ({_NEVER}) and p.b not in ({_NEVER}) and w.df >= 3 and coalesce(f.df, 0) <= w.df)"""
 
 
 @query(
     C.sql(
         O.PARTS,
         "select pair, whole_df from valid",
-        f"""bigrams as (select distinct t[i] as a, t[i + 1] as b from (select t, unnest(range(1, len(t))) as i from (select {O._split("j")} as t from joined))),
-valid as (select p.a || ' ' || p.b as pair, w.df as whole_df from bigrams p join frequency w on w.token = p.a || 'N' || p.b left join frequency f on f.token = p.a
-  where len(p.a) >= 2 and len(p.b) between 1 and 3 and p.a not in ({_NEVER}) and p.b not in ({_NEVER}) and w.df >= 3 and coalesce(f.df, 0) <= w.df)""",
+        _VALID,
     )
 )
 def corpus_bigram_repair(spark, sf_dir):
@@ -154,6 +155,40 @@ def corpus_bigram_repair(spark, sf_dir):
     return merges.join(frequency, whole == F.col("token")).select("pair", F.col("df").alias("whole_df"))
 
 
+#: The names, and some once more with words split where an N was lost.
+_SPLIT = ("(LU|SIRE|MODER|LAGU|ORIE)N(A|O|TAL)", 100_000_000)
+S = O.Chain(K, f"{names_sql()} union all select idx + {_SPLIT[1]} as idx, regexp_replace(nombre_original, '{_SPLIT[0]}', '\\1 \\2', 'g') as nombre_original from ({names_sql()}) where regexp_matches(nombre_original, '{_SPLIT[0]}') and idx % 3 = 0")
+
+
+@query(
+    S.sql(
+        O.PARTS,
+        "select idx, case when len(t) = 0 then '' else replace(list_reduce(t, lambda acc, x: case when list_contains(m, split_part(acc, ' ', -1) || ' ' || x) then acc || 'N' || x || '.' else acc || ' ' || x end), '.', '') end as limpio from (select idx, "
+        + O._split("j")
+        + " as t from joined), (select coalesce(list(distinct pair), []::varchar[]) as m from valid)",
+        _VALID,
+    )
+)
+def second_pass_words(spark, sf_dir):
+    """The words of each name after the joins that the corpus supports, from left to right."""
+    whole = names(spark, sf_dir)
+    split = whole.where(F.col("nombre_original").rlike(_SPLIT[0]) & (F.col("idx") % 3 == 0))
+    split = split.select((F.col("idx") + _SPLIT[1]).alias("idx"), F.regexp_replace("nombre_original", _SPLIT[0], "$1 $2").alias("nombre_original"))
+    words = durable(records.base_words(whole.unionByName(split)), "words")
+    frequency = durable(records.document_frequency(records.parts(records.cleaned(words, K))), "frequency")
+    merges = durable(records.bigram_merges(words, frequency), "joins")
+    return records.joined_words(words, merges).select("idx", T.text_of(F.col("palabras")).alias("limpio"))
+
+
+@query(C.sql(O.CLEAN, "select idx, b as limpio from based"))
+def fold_compatibility(spark, sf_dir):
+    """The names written with full-width letters, ligatures, styled capitals and combining accents: cleaned, they are what they were."""
+    c = F.translate(F.replace("nombre_original", F.lit("FI"), F.lit("ﬁ")), "ABGKOST", "Ａ𝐁ＧKŐŠŢ")
+    for plain, odd in (("E", "E\u0301\u0323"), ("DZ", "ǅ"), ("IJ", "ĳ")):
+        c = F.replace(c, F.lit(plain), F.lit(odd))
+    return names(spark, sf_dir).select("idx", T.clean_base(c).alias("limpio"))
+
+
 @query(C.sql(O.PARTS, "select idx, sin_numero, sufijo_numerico from parts"))
 def split_numeric_suffix(spark, sf_dir):
     return first_pass(spark, sf_dir).select("idx", "sin_numero", "sufijo_numerico")

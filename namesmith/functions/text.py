@@ -6,7 +6,8 @@ Null text counts as empty.
 
 from __future__ import annotations
 
-from functools import reduce
+import unicodedata
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from . import rules
 from .rules import SETTINGS
 
+#: Letters that DuckDB twins fold, and what they become; ``decompositions`` has them all.
 ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
 
@@ -48,9 +50,35 @@ def strip_export_prefix(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), "^'", ""))
 
 
+@lru_cache
+def decompositions() -> tuple[str, str, dict[str, str]]:
+    """(characters, the ASCII ones that they become, those that become several): what Unicode's compatibility decomposition leaves without its marks.
+
+    Combining marks stand last among the characters and become nothing. Characters that leave no ASCII letter or digit aren't there.
+    """
+    from_, to, marks, several = [], [], [], {}
+    for code in range(0x80, 0x2FA20):
+        c = chr(code)
+        if unicodedata.combining(c):
+            marks.append(c)
+        elif unicodedata.decomposition(c):
+            parts = [x if x.isascii() else x.upper() for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)]
+            left = "".join(x if x.isascii() else " " for x in parts)
+            if len(left) > 1 and any(x.isalnum() for x in left):
+                several[c] = left
+            elif left.isalnum():
+                from_.append(c)
+                to.append(left)
+    return "".join(from_ + marks), "".join(to), several
+
+
 def fold_accents(c: Column) -> Column:
-    """Capitals without accents (Latin-1 letters; sharp s becomes SS)."""
-    return F.upper(F.translate(F.replace(c, F.lit("ß"), F.lit("ss")), ACCENTED, PLAIN))
+    """Capitals of the compatibility decomposition without its marks (sharp s becomes SS); characters with none stay."""
+    from_, to, several = decompositions()
+    plain = F.translate(F.replace(c, F.lit("ß"), F.lit("ss")), from_, to)
+    letters = F.transform(F.sequence(F.lit(1), F.length(plain)), lambda i: F.substring(plain, i, 1))
+    spread = F.array_join(F.transform(letters, lambda x: lookup(x, several, x)), "")
+    return F.upper(F.when(plain.rlike(f"[{''.join(several)}]"), spread).otherwise(plain))
 
 
 def keep_charset(c: Column) -> Column:

@@ -410,3 +410,20 @@ def test_figures_of_stages(spark, tmp_path, caplog):
     assert {k: stages.figures["t"][k] for k in ("filas", "pares")} == {"filas": 7, "pares": 4} and "'pares': 4" in caplog.text
     again = Stages(spark, f"file://{tmp_path}", "1")
     assert again("t", lambda: 1 / 0).count() == 7 and again.reused == ["t"] and not again.figures
+
+
+def test_fold_is_the_decomposition(spark):
+    import unicodedata
+
+    r = random.Random(3)
+    texts = ["ﬁn ½ Ａ１ ẹ́ ㎏ ™ ǅ 𝐀𝟗 Œ Łódź ﷺ ㈱ ¼", "", *("".join(chr(r.choice((r.randrange(32, 127), r.randrange(128, 0x600), r.randrange(0x1E00, 0x3400), r.randrange(0xF900, 0x10000), r.randrange(0x1D400, 0x1F200)))) for _ in range(40)) for _ in range(300))]
+    # Characters whose capital is another matter (in Java's Unicode version, too) are left out.
+    texts = ["".join(c for c in t if c in "ﬁ" or len(c.upper()) == 1 and not 0xD800 <= ord(c) < 0xE000 and not (not c.isascii() and c.upper().isascii())) for t in texts]
+
+    def plain(t):
+        t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).upper()
+        return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in t).split())
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.collapse_spaces(T.keep_charset(T.fold_accents(F.col("t")))).alias("x")).collect()
+    assert [g.x for g in got] == [plain(g.t) for g in got]
+    assert got[0].x.startswith("FIN 1 2 A1 E KG TM DZ A9")
